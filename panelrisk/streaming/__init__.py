@@ -1,0 +1,6 @@
+"""No stream operators: all inputs are whole tables.
+
+The row-wise expressions of ``panelrisk.functions`` and the cleaning and scoring
+operators built on them hold no state, so they accept a streaming DataFrame as
+they are; ``tests/test_streaming_rows.py`` runs them on one.
+"""
