@@ -38,14 +38,18 @@ def medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 
 def modes(train: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Most frequent value per column, the smallest on ties."""
-    out = {}
-    for c in columns:
-        top = (
-            train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-            .orderBy(F.desc("_n"), c).limit(1).collect()
-        )
-        out[c] = top[0][c] if top else MISSING_LABEL
-    return out
+    if not columns:
+        return {}
+    text = train.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counts = (
+        text.unpivot([], list(columns), "indicator", "value").where(F.col("value").isNotNull())
+        .groupBy("indicator", "value").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    best = counts.groupBy("indicator").agg(
+        F.min_by("value", F.struct(-F.col("_n"), F.col("value"))).alias("value")
+    )
+    found = {r["indicator"]: r["value"] for r in best.collect()}  # one row per column
+    return {c: found.get(c, MISSING_LABEL) for c in columns}
 
 
 def fill(df: DataFrame, values: dict) -> DataFrame:

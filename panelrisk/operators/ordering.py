@@ -15,6 +15,7 @@ from panelrisk.storage import materialize
 
 BLOCK, POSITION = "_block", "_position"
 LOW_BITS = (1 << 33) - 1  # row part of monotonically_increasing_id
+MAX_VALUES = 1_000_000  # distinct values one exact percentile may hold
 
 
 def ordered_blocks(df: DataFrame, order: Sequence[Column | str], label: str = "blocks") -> DataFrame:
@@ -86,17 +87,34 @@ def dense_rank_rows(
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
+    max_values: int = MAX_VALUES,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation, nulls left out.
 
-    Equal values are counted before the shuffle. No task holds a whole group:
-    running counts are local to a block of the ordered distinct values.
+    Equal values are counted first, and the counts are written and sized. Up to
+    ``max_values`` distinct values, the built-in exact percentile takes them with
+    their counts. Above, no task may hold a group: running counts are then local
+    to a block of the ordered distinct values.
     """
-    counted = (
+    counted = materialize(
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")),
+        "values",
     )
+    if counted.count() <= max_values:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        found = counted.groupBy(*keys).agg(F.percentile(F.col(value), wanted, F.col("_n")).alias("_q"))
+        if not keys:
+            found = found.where(F.col("_q").isNotNull())
+        return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return _ordered_quantiles(counted, keys, value, probs, names)
+
+
+def _ordered_quantiles(
+    counted: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+    names: Sequence[str],
+) -> DataFrame:
     blocks = ordered_blocks(counted, [*keys, value], "quantile")
     sizes = blocks.groupBy(*keys, BLOCK).agg(F.sum("_n").alias("_size"))
     group = Window.partitionBy(*keys)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelrisk.functions.columns import half_even, long_form
 from panelrisk.operators.joining import lookup_join
 from panelrisk.operators.ordering import quantiles
+from panelrisk.storage import materialize
 
-PAIRS_PER_AGGREGATE = 150  # keeps one aggregate below the code-generation limit
+MAX_JVM_PAIRS = 10  # more regression aggregates in one pass defeat code generation
+NOISE = 1e-12
 
 
 def moments(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
@@ -53,22 +57,69 @@ def _pearson(a: str, b: str) -> Column:
 
 
 def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
-    """Long table (a, b, r, n) of the named pairs, in one scan per slice of pairs."""
-    slices = [pairs[i:i + PAIRS_PER_AGGREGATE] for i in range(0, len(pairs), PAIRS_PER_AGGREGATE)]
-    parts = []
-    for part in slices:
-        one_row = df.agg(
-            F.array(*[
-                F.struct(
-                    F.lit(a).alias("a"), F.lit(b).alias("b"),
-                    half_even(_pearson(a, b), digits).alias("r"),
-                    F.regr_count(F.col(b), F.col(a)).alias("n"),
-                )
-                for a, b in part
-            ]).alias("p")
-        )
-        parts.append(one_row.select(F.inline("p")))
-    return reduce(DataFrame.unionByName, parts)
+    """Long table (a, b, r, n) of the named pairs, each over the rows that have both.
+
+    A few pairs are one JVM aggregate. Many pairs would outgrow generated code, so
+    their sums come from matrix products over Arrow batches instead.
+    """
+    if len(pairs) > MAX_JVM_PAIRS:
+        return _corr_by_matrix(df, pairs, digits)
+    one_row = df.agg(
+        F.array(*[
+            F.struct(
+                F.lit(a).alias("a"), F.lit(b).alias("b"),
+                half_even(_pearson(a, b), digits).alias("r"),
+                F.regr_count(F.col(b), F.col(a)).alias("n"),
+            )
+            for a, b in pairs
+        ]).alias("p")
+    )
+    return one_row.select(F.inline("p"))
+
+
+SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def _corr_by_matrix(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int) -> DataFrame:
+    """Pair sums per partition as six matrix products, then one small aggregate.
+
+    Values are shifted by the column mean, so that squares do not cancel.
+    """
+    cols = sorted({c for p in pairs for c in p})
+    at = {c: i for i, c in enumerate(cols)}
+    rows = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "corr")
+    means = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).first()
+    shift = np.array([means[c] for c in cols])
+    left, right = [at[a] for a, _ in pairs], [at[b] for _, b in pairs]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(SUMS), len(left)))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - shift
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            k = known.astype(float)
+            every = np.stack([k.T @ k, x.T @ k, k.T @ x, (x * x).T @ k, k.T @ (x * x), x.T @ x])
+            total += every[:, left, right]
+        yield pd.DataFrame(dict(zip(SUMS, total))).assign(pair=range(len(left)))
+
+    schema = ", ".join(f"{c} double" for c in SUMS) + ", pair int"
+    added = rows.mapInPandas(sums, schema).groupBy("pair").agg(
+        *[F.sum(c).alias(c) for c in SUMS]
+    )
+    n = F.col("n")
+    cxx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
+    cyy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
+    cxy = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    # what is left of a constant column is rounding noise
+    varies = (cxx > F.col("sxx") * NOISE) & (cyy > F.col("syy") * NOISE)
+    r = F.when(varies, cxy / F.sqrt(cxx * cyy))
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    name = names[F.col("pair")]
+    return added.select(
+        name["a"].alias("a"), name["b"].alias("b"), half_even(r, digits).alias("r"),
+        n.cast("long").alias("n"),
+    )
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:

@@ -13,12 +13,12 @@ from panelrisk.operators import cleaning, integrate, ordering, quality, ranking,
 from panelrisk.plans import inputs
 from panelrisk.plans.inputs import (
     FACT_COLUMNS, UNIT_KEYS, context_yearly, fact_integrated, formula_scored, joined_rows,
-    risk_scored, unit_rows, with_period, year_integrated,
+    risk_scored, with_period, year_integrated,
 )
 from panelrisk.sources import panel as recipe
 from panelrisk.sources import tables
 from panelrisk.sources.panel import INDICATORS, RATES, TARGET, context, panel
-from panelrisk.storage import new_path
+from panelrisk.storage import materialize, new_path
 
 CORR_PAIRS = [("aprov_em", "aband_em"), ("tdi_em", "aband_em"),
               ("reprov_em", "aband_em"), ("aband_ef", "aband_em")]
@@ -26,9 +26,9 @@ LINE_PAIRS = [("tdi_em", "aband_em"), ("tdi_em", "aband_ef"), ("reprov_em", "aba
 
 
 def doubled(spark: SparkSession, folder: str) -> DataFrame:
-    """Panel plus a second copy of every fifth unit: real rows that occur twice."""
-    rows = panel(spark, folder)
-    return rows.unionByName(rows.where(F.col("ent") % 5 == 0))
+    """Panel with every fifth unit twice, so that repeated rows exist."""
+    copies = F.when(F.col("ent") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return panel(spark, folder).withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
 # -- sources and sinks
@@ -174,9 +174,14 @@ def yearly_means(spark, folder):
 
 
 def _report_tables(spark, folder):
-    return {"panel_bruta": doubled(spark, folder), "context_bruta": context(spark, folder),
-            "panel_processada": unit_rows(spark, folder),
-            "fato_processada": joined_rows(spark, folder)}
+    """Each stage is written once; the report then reads narrow tables."""
+    raw = materialize(doubled(spark, folder), "raw")
+    units = inputs.with_levels(with_period(cleaning.dedup_rows(raw)))
+    base = context(spark, folder)
+    yearly = with_period(integrate.yearly_means(base, recipe.CONTEXT_RATES))
+    fact = integrate.integrate_fact(units, yearly, recipe.INDEX_WEIGHTS, distinct=True)
+    return {"panel_bruta": raw, "context_bruta": base, "panel_processada": units,
+            "fato_processada": fact}
 
 
 def missing_by_column(spark, folder):
