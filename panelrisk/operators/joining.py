@@ -29,11 +29,10 @@ def lookup_join(
     """
     on = list(on)
     right = materialize(right, "lookup")
-    rows = right.count()
-    if unique:
-        distinct = right.select(*on).distinct().count()
-        if distinct != rows:
-            raise ValueError(f"join keys {on} are not unique: {rows} rows, {distinct} keys")
+    size = right.agg(F.count(F.lit(1)), F.count_distinct(F.struct(*on))).first()
+    rows, distinct = size[0], size[1]
+    if unique and distinct != rows:
+        raise ValueError(f"join keys {on} are not unique: {rows} rows, {distinct} keys")
     if rows <= max_rows:
         return left.join(F.broadcast(right), on, how)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")

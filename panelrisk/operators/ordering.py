@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelrisk.storage import materialize
 
-BLOCK, POSITION = "_block", "_position"
+BLOCK, POSITION, COUNT = "_block", "_position", "_n"
 LOW_BITS = (1 << 33) - 1  # row part of monotonically_increasing_id
 MAX_VALUES = 1_000_000  # distinct values one exact percentile may hold
 
@@ -86,25 +86,43 @@ def dense_rank_rows(
     )
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Stored table (keys, value, _n) of the distinct non-null values per group.
+
+    Equal values meet on the map side, so a hot value costs one row per task.
+    Statistics of the value can be taken from this table instead of the source.
+    """
+    return materialize(
+        df.where(F.col(value).isNotNull())
+        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias(COUNT)),
+        "values",
+    )
+
+
 def quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
     max_values: int = MAX_VALUES,
 ) -> DataFrame:
-    """Exact quantiles per group with linear interpolation, nulls left out.
+    """Exact quantiles per group with linear interpolation, nulls left out."""
+    counted = value_counts(df, keys, value)
+    return quantiles_of_counts(counted, keys, value, probs, names, max_values)
 
-    Equal values are counted first, and the counts are written and sized. Up to
-    ``max_values`` distinct values, the built-in exact percentile takes them with
-    their counts. Above, no task may hold a group: running counts are then local
-    to a block of the ordered distinct values.
+
+def quantiles_of_counts(
+    counted: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+    names: Sequence[str], max_values: int = MAX_VALUES,
+) -> DataFrame:
+    """Quantiles from a table of value counts, whose size is checked first.
+
+    Up to ``max_values`` distinct values, the built-in exact percentile takes them
+    with their counts. Above, no task may hold a group: running counts are then
+    local to a block of the ordered distinct values.
     """
-    counted = materialize(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")),
-        "values",
-    )
     if counted.count() <= max_values:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
-        found = counted.groupBy(*keys).agg(F.percentile(F.col(value), wanted, F.col("_n")).alias("_q"))
+        found = counted.groupBy(*keys).agg(
+            F.percentile(F.col(value), wanted, F.col(COUNT)).alias("_q")
+        )
         if not keys:
             found = found.where(F.col("_q").isNotNull())
         return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -116,7 +134,7 @@ def _ordered_quantiles(
     names: Sequence[str],
 ) -> DataFrame:
     blocks = ordered_blocks(counted, [*keys, value], "quantile")
-    sizes = blocks.groupBy(*keys, BLOCK).agg(F.sum("_n").alias("_size"))
+    sizes = blocks.groupBy(*keys, BLOCK).agg(F.sum(COUNT).alias("_size"))
     group = Window.partitionBy(*keys)
     before = group.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(
@@ -129,8 +147,8 @@ def _ordered_quantiles(
     )
     running = (
         blocks.join(sizes, [*keys, BLOCK])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(local))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+        .withColumn("_end", F.col("_before") + F.sum(COUNT).over(local))
+        .withColumn("_start", F.col("_end") - F.col(COUNT))
     )
     picks = []
     for p, name in zip(probs, names):

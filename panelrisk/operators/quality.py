@@ -8,14 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from panelrisk.functions.columns import half_even
+from panelrisk.storage import materialize
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Long table (coluna, valores_ausentes, n_linhas) from a single pass."""
     cols = list(columns or df.columns)
+    # one short expression per column keeps wide tables cheap to plan
     counts = df.agg(
-        F.count(F.lit(1)).alias("n_linhas"),
-        *[F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(c) for c in cols],
+        F.expr("count(1) as n_linhas"), *[F.expr(f"count_if(`{c}` is null) as `{c}`") for c in cols]
     )
     return counts.unpivot(["n_linhas"], cols, "coluna", "valores_ausentes")
 
@@ -38,16 +39,12 @@ def missing_by_column(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def missing_global(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Cells, null cells and their percent per table."""
-    parts = [
-        null_counts(df).agg(
-            F.sum("n_linhas").alias("total_celulas"),
-            F.sum("valores_ausentes").alias("total_ausentes"),
-        ).select(F.lit(name).alias("tabela"), "*")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts).withColumn(
+def missing_global(detail: DataFrame) -> DataFrame:
+    """Cells, null cells and their percent per table, from the per-column report."""
+    sums = detail.groupBy("tabela").agg(
+        F.sum("n_linhas").alias("total_celulas"), F.sum("valores_ausentes").alias("total_ausentes")
+    )
+    return sums.withColumn(
         "pct_ausentes", half_even(_percent("total_ausentes", "total_celulas"), 4)
     )
 
@@ -69,6 +66,16 @@ def table_shapes(stages: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def shapes_of(detail: DataFrame) -> DataFrame:
+    """Rows and columns of each reported table, without another scan."""
+    return detail.groupBy("tabela").agg(
+        F.max("n_linhas").alias("n_linhas"), F.max("n_colunas").alias("n_colunas")
+    ).select(
+        F.regexp_replace("tabela", "_[^_]*$", "").alias("fonte"),
+        F.substring_index("tabela", "_", -1).alias("etapa"), "n_linhas", "n_colunas",
+    )
+
+
 def null_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null share (0..1) per column."""
     return null_counts(df, columns).select(
@@ -113,10 +120,9 @@ def report(
     """The three report tables; raw and processed are told apart by suffix."""
     tables = {f"{k}_bruta": v for k, v in raw.items()}
     tables |= {f"{k}_processada": v for k, v in processed.items()}
-    stages = [(k, "bruta", v) for k, v in raw.items()]
-    stages += [(k, "processada", v) for k, v in processed.items()]
+    detail = materialize(missing_by_column(tables), "missing")
     return {
-        "detalhe": missing_by_column(tables),
-        "resumo_global": missing_global(tables),
-        "formas": table_shapes(stages),
+        "detalhe": detail,
+        "resumo_global": missing_global(detail),
+        "formas": shapes_of(detail),
     }

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelrisk.functions.text import fixed, key_values, template
+from panelrisk.storage import materialize
 
 
 def top_rows(df: DataFrame, score: str, n: int, ties: Sequence[str]) -> DataFrame:
@@ -19,14 +20,15 @@ def best_per_group(
     """Row with the smallest error in each group, and whether it is the best of all.
 
     The arg-min is an aggregate with map-side combine, so a group of any size
-    costs one row per task.
+    costs one row per task. The winners are written once for the overall best.
     """
     rest = [c for c in df.columns if c not in (group, error, *ties)]
     row = F.struct(error, *ties, *rest)
-    best = (
+    best = materialize(
         df.where(F.col(error).isNotNull())
         .groupBy(group).agg(F.min_by(row, F.struct(error, *ties)).alias("b"))
-        .select(group, "b.*")
+        .select(group, "b.*"),
+        "best",
     )
     first = F.min(F.struct(F.col(error), F.col(group).alias("g")))
     top = best.select(first.alias("t")).select("t.g").scalar()

@@ -12,28 +12,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelrisk.functions.columns import half_even, long_form
 from panelrisk.operators.joining import lookup_join
-from panelrisk.operators.ordering import quantiles
+from panelrisk.operators.ordering import COUNT, quantiles_of_counts, value_counts
 from panelrisk.storage import materialize
 
 MAX_JVM_PAIRS = 10  # more regression aggregates in one pass defeat code generation
 NOISE = 1e-12
 
 
-def moments(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    return long.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+def moments(counted: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Count, mean, sample sd, min and max per group, from a table of value counts."""
+    n, v = F.col(COUNT), F.col(value)
+    first = counted.groupBy(*keys).agg(
+        F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"),
     )
+    gap = v - F.col("mean")
+    spread = counted.join(first.select(*keys, "mean"), list(keys)).groupBy(*keys).agg(
+        F.sum(gap * gap * n).alias("_ss")
+    )
+    return first.join(spread, list(keys)).withColumn(
+        "std", F.sqrt(F.try_divide(F.col("_ss"), F.col("n") - 1))
+    ).drop("_ss")
 
 
 def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """One row per column: count, mean, sample sd, min, exact quartiles, max."""
-    long = long_form(df, [], columns)
-    quart = quantiles(long, ["indicator"], "value", (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
-    out = moments(long, ["indicator"]).join(quart, "indicator")
+    counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
+    quart = quantiles_of_counts(
+        counted, ["indicator"], "value", (0.25, 0.5, 0.75), ("q25", "q50", "q75")
+    )
+    out = moments(counted, ["indicator"]).join(quart, "indicator")
     rounded = [half_even(c, digits).alias(c)
                for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
     return out.select("indicator", "n", *rounded)
@@ -41,9 +49,9 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Dat
 
 def exec_summary(df: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
     """Mean, median, max and min per column."""
-    long = long_form(df, [], columns)
-    mid = quantiles(long, ["indicator"], "value", (0.5,), ("median",))
-    out = moments(long, ["indicator"]).join(mid, "indicator")
+    counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
+    mid = quantiles_of_counts(counted, ["indicator"], "value", (0.5,), ("median",))
+    out = moments(counted, ["indicator"]).join(mid, "indicator")
     return out.select(
         "indicator", *[half_even(c, digits).alias(c) for c in ("mean", "median", "max", "min")]
     )
@@ -186,16 +194,23 @@ def line_points(fit: DataFrame, points: int = 100) -> DataFrame:
     )
 
 
-def trend_lines(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 4) -> DataFrame:
-    """Fitted line and mean reference lines of each (x, y) pair."""
-    parts = []
-    for x, y in pairs:
-        fit = line_fit(df, x, y)
-        parts.append(fit.select(
-            F.lit(x).alias("x"), F.lit(y).alias("y"), "n",
-            *[half_even(c, digits).alias(c) for c in ("slope", "intercept", "mean_x", "mean_y")],
-        ))
-    return reduce(DataFrame.unionByName, parts)
+def trend_lines(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 4, min_points: int = 3
+) -> DataFrame:
+    """Fitted line and mean reference lines of each (x, y) pair, in one scan."""
+
+    def line(x: str, y: str) -> Column:
+        a, b = F.col(x), F.col(y)
+        n = F.regr_count(b, a)
+        return F.struct(
+            F.lit(x).alias("x"), F.lit(y).alias("y"), n.alias("n"),
+            F.when(n >= min_points, F.regr_slope(b, a)).alias("slope"),
+            F.when(n >= min_points, F.regr_intercept(b, a)).alias("intercept"),
+            F.regr_avgx(b, a).alias("mean_x"), F.regr_avgy(b, a).alias("mean_y"),
+        )
+
+    table = df.agg(F.array(*[line(x, y) for x, y in pairs]).alias("p")).select(F.inline("p"))
+    return round_columns(table, dict.fromkeys(("slope", "intercept", "mean_x", "mean_y"), digits))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFrame:
@@ -203,47 +218,59 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
 
     The last bin is closed on both sides. A constant column has one bin.
     """
-    long = long_form(df, [], columns).where(F.col("value").isNotNull())
-    mid = quantiles(long, ["indicator"], "value", (0.5,), ("median",))
-    edges = long.groupBy("indicator").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean")
-    ).join(mid, "indicator")
+    counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
+    mid = quantiles_of_counts(counted, ["indicator"], "value", (0.5,), ("median",))
+    edges = moments(counted, ["indicator"]).drop("n", "std").join(mid, "indicator")
     # one row per named column
-    placed = lookup_join(long, edges, ["indicator"])
-    width = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    bucket = F.coalesce(
-        F.least(F.floor(F.try_divide(F.col("value") - F.col("low"), width)) + 1, F.lit(bins)),
-        F.lit(1),
-    )
+    placed = lookup_join(counted, edges, ["indicator"])
+    width = (F.col("max") - F.col("min")) / F.lit(float(bins))
+    step = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("min"), width)), F.lit(0))
+    bucket = F.least(step + 1, F.lit(bins))
     return (
         placed.withColumn("bin", bucket.cast("int"))
         .groupBy("indicator", "bin")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.sum(COUNT).alias("n"),
             half_even(F.first("mean"), 4).alias("mean"),
             half_even(F.first("median"), 4).alias("median"),
         )
     )
 
 
-def box_numbers(
-    df: DataFrame, group: str, value: str, reach: float = 1.5
-) -> tuple[DataFrame, DataFrame]:
-    """Quartiles and whisker ends per group, and the rows outside the fences."""
-    present = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    quart = quantiles(present, [group], value, (0.25, 0.5, 0.75), ("q1", "q2", "q3"))
-    spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
-    fences = quart.withColumns({"fence_low": F.col("q1") - spread, "fence_high": F.col("q3") + spread})
-    joined = lookup_join(present, fences, [group])
+def box_numbers(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
+    """Quartiles, whisker ends and number of outliers per group."""
+    fences, counted = _fences(df, group, value, reach)
+    joined = lookup_join(counted, fences, [group])
     inside = F.col(value).between(F.col("fence_low"), F.col("fence_high"))
-    numbers = joined.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
+    return joined.groupBy(group).agg(
+        F.sum(COUNT).alias("n"),
         *[F.first(q).alias(q) for q in ("q1", "q2", "q3")],
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.sum((~inside).cast("long")).alias("n_outliers"),
+        F.sum(F.when(inside, 0).otherwise(F.col(COUNT))).alias("n_outliers"),
+    )
+
+
+def box_outliers(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
+    """Rows outside the fences of their group."""
+    fences, _ = _fences(df, group, value, reach)
+    bounds = fences.select(group, "fence_low", "fence_high")
+    joined = lookup_join(df.where(F.col(value).isNotNull()), bounds, [group])
+    return joined.where(
+        ~F.col(value).between(F.col("fence_low"), F.col("fence_high"))
+    ).select(*df.columns)
+
+
+def _fences(
+    df: DataFrame, group: str, value: str, reach: float
+) -> tuple[DataFrame, DataFrame]:
+    counted = value_counts(df.where(F.col(group).isNotNull()), [group], value)
+    quart = quantiles_of_counts(counted, [group], value, (0.25, 0.5, 0.75), ("q1", "q2", "q3"))
+    spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
+    fences = quart.withColumns(
+        {"fence_low": F.col("q1") - spread, "fence_high": F.col("q3") + spread}
     )
-    return numbers, joined.where(~inside)
+    return fences, counted
 
 
 def regression_metrics(
@@ -270,4 +297,4 @@ def round_columns(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
 def residual_box(df: DataFrame, observed: str, predicted: str, group: str) -> DataFrame:
     """Box-plot numbers of predicted minus observed per model."""
     gap = df.withColumn("residual", F.col(predicted) - F.col(observed))
-    return box_numbers(gap, group, "residual")[0]
+    return box_numbers(gap, group, "residual")

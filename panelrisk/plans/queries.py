@@ -189,7 +189,7 @@ def missing_by_column(spark, folder):
 
 
 def missing_global(spark, folder):
-    return quality.missing_global(_report_tables(spark, folder))
+    return quality.missing_global(quality.missing_by_column(_report_tables(spark, folder)))
 
 
 def table_shapes(spark, folder):
@@ -250,12 +250,12 @@ def histogram25(spark, folder):
 def boxplot_period(spark, folder):
     rows = with_period(panel(spark, folder).select(*UNIT_KEYS, TARGET))
     cols = ("q1", "q2", "q3", "whisker_low", "whisker_high")
-    return stats.round_columns(stats.box_numbers(rows, "periodo", TARGET)[0], dict.fromkeys(cols, 6))
+    return stats.round_columns(stats.box_numbers(rows, "periodo", TARGET), dict.fromkeys(cols, 6))
 
 
 def outliers_period(spark, folder):
     rows = with_period(panel(spark, folder).select(*UNIT_KEYS, TARGET))
-    return stats.box_numbers(rows, "periodo", TARGET)[1].select(*UNIT_KEYS, "periodo", TARGET)
+    return stats.box_outliers(rows, "periodo", TARGET).select(*UNIT_KEYS, "periodo", TARGET)
 
 
 def extreme_years(spark, folder):

@@ -61,7 +61,7 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
         share(c("l_quantity") >= 40).alias("tdi_em"),
         (F.sum("l_quantity") / F.count(F.lit(1))).alias("atu_em"),
         # whole cents, so the sum is exact
-        (F.sum(F.round(c("l_tax") * 100).cast("long")).cast("double") / F.count(F.lit(1)))
+        (F.sum(F.rint(c("l_tax") * 100).cast("long")).cast("double") / F.count(F.lit(1)))
         .alias("had_em"),
     ).withColumn("aprov_em", F.lit(100.0) - c("aband_em") - c("reprov_em"))
     no_flow = (c("ent") + c("ano")) % 4 == 0
