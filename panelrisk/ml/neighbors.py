@@ -99,6 +99,36 @@ def _visits(
     return query.mapInPandas(choose, schema)
 
 
+def _by_pivots(
+    t: DataFrame, q: DataFrame, t_ids: Sequence[str], k: int, count: int
+) -> tuple[DataFrame, DataFrame, dict[int, int]]:
+    """Points with their cell, queries with each cell to visit, points per cell."""
+    picked = (
+        t.select("_t").distinct().orderBy(F.xxhash64("_t"), "_t").limit(count).collect()
+    )  # at most max_pivots vectors
+    pivots = np.array([r["_t"] for r in picked], dtype=float)
+
+    placed = materialize(_cells(t, "_t", pivots), "cells")
+    per_cell = Window.partitionBy("_cell").orderBy("_to", *t_ids)
+    inner = (
+        placed.withColumn("_rn", F.row_number().over(per_cell)).where(F.col("_rn") <= k)
+        .select("_cell", "_to").collect()
+    )  # at most k numbers per pivot
+    stats = (
+        placed.groupBy("_cell")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("_to").alias("r")).collect()
+    )
+    radius = np.full(len(pivots), -1.0)
+    closest: list[list[float]] = [[] for _ in pivots]
+    for row in stats:
+        radius[row["_cell"]] = row["r"]
+    for row in inner:
+        closest[row["_cell"]].append(row["_to"])
+    visits = _visits(q, "_q", pivots, radius, [np.array(v) for v in closest], k)
+    visits = materialize(visits.withColumn("_cell", F.explode("_visit")).drop("_visit"), "visits")
+    return placed.drop("_to"), visits, {r["_cell"]: r["n"] for r in stats}
+
+
 def nearest(
     query: DataFrame,
     train: DataFrame,
@@ -130,31 +160,13 @@ def nearest(
     n = t.count()
     if n == 0:
         raise ValueError("no training rows")
-    count = min(max_pivots, max(1, math.isqrt(n)))
-    picked = (
-        t.select("_t").distinct().orderBy(F.xxhash64("_t"), "_t").limit(count).collect()
-    )  # at most max_pivots vectors
-    pivots = np.array([r["_t"] for r in picked], dtype=float)
-
-    placed = materialize(_cells(t, "_t", pivots), "cells")
-    per_cell = Window.partitionBy("_cell").orderBy("_to", *t_ids)
-    inner = (
-        placed.withColumn("_rn", F.row_number().over(per_cell)).where(F.col("_rn") <= k)
-        .select("_cell", "_to").collect()
-    )  # at most k numbers per pivot
-    sizes = {
-        r["_cell"]: (r["n"], r["r"])
-        for r in placed.groupBy("_cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("_to").alias("r")).collect()
-    }
-    radius = np.full(len(pivots), -1.0)
-    closest: list[list[float]] = [[] for _ in pivots]
-    for c, (_, r) in sizes.items():
-        radius[c] = r
-    for row in inner:
-        closest[row["_cell"]].append(row["_to"])
-    visits = _visits(q, "_q", pivots, radius, [np.array(v) for v in closest], k)
-    visits = materialize(visits.withColumn("_cell", F.explode("_visit")).drop("_visit"), "visits")
+    if n <= train_block:
+        # one block of training points: every query visits it
+        placed, visits = t.withColumn("_cell", F.lit(0)), q.withColumn("_cell", F.lit(0))
+        visits = materialize(visits, "visits")
+        sizes = {0: n}
+    else:
+        placed, visits, sizes = _by_pivots(t, q, t_ids, k, min(max_pivots, math.isqrt(n)))
     visitors = {
         r["_cell"]: r["n"]
         for r in visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -162,7 +174,7 @@ def nearest(
 
     blocks = spark.createDataFrame(
         [(c, math.ceil(m / train_block), math.ceil(visitors.get(c, 0) / query_block))
-         for c, (m, _) in sizes.items()],
+         for c, m in sizes.items()],
         "_cell int, _tb int, _qb int",
     )  # at most max_pivots rows
 
@@ -176,7 +188,7 @@ def nearest(
         placed.join(F.broadcast(blocks), "_cell").where(F.col("_qb") > 0)
         .withColumn("_i", F.pmod(spread(t_ids), F.col("_tb")).cast("int"))
         .withColumn("_j", others("_qb"))
-        .drop("_tb", "_qb", "_to")
+        .drop("_tb", "_qb")
     )
     q_side = (
         visits.join(F.broadcast(blocks), "_cell")
