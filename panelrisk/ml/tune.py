@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelrisk import settings
 from panelrisk.functions.columns import half_even
@@ -23,11 +23,13 @@ from panelrisk.storage import materialize
 WORKERS = 2  # each fit is a distributed job of its own
 
 
-def in_threads(task: Callable, items: Sequence, workers: int = WORKERS) -> list:
+def in_threads(
+    spark: SparkSession, task: Callable, items: Sequence, workers: int = WORKERS
+) -> list:
     if workers <= 1 or len(items) <= 1:
         return [task(x) for x in items]
     with ThreadPool(workers) as pool:
-        return pool.map(inheritable_thread_target(task), items)
+        return pool.map(inheritable_thread_target(spark)(task), items)
 
 
 def draw_settings(space: Mapping[str, Sequence], draws: int, seed: int = models.SEED) -> list[dict]:
@@ -83,7 +85,7 @@ def tune(
                         _errors(model, outer, inputs, target)["mae"]))
         return out
 
-    rows = [r for part in in_threads(run_fold, folds) for r in part]
+    rows = [r for part in in_threads(train.sparkSession, run_fold, folds) for r in part]
     table = train.sparkSession.createDataFrame(
         rows, "tentativa int, fold int, parametros map<string,string>, treino double, validacao double"
     )
@@ -145,7 +147,7 @@ def cross_validate(
             out.append((number, role, e["mae"], e["rmse"], e["r2"]))
         return out
 
-    rows = [r for part in in_threads(run, folds) for r in part]
+    rows = [r for part in in_threads(train.sparkSession, run, folds) for r in part]
     return train.sparkSession.createDataFrame(
         rows, "fold int, role string, mae double, rmse double, r2 double"
     )
@@ -204,7 +206,7 @@ def learning_curve(
                  _errors(model, rows_of(numbered, late, year), inputs, target)["mae"])
                 for number, _, late in folds]
 
-    rows = [r for part in in_threads(run, sizes) for r in part]
+    rows = [r for part in in_threads(train.sparkSession, run, sizes) for r in part]
     table = train.sparkSession.createDataFrame(
         rows, "tamanho int, fold int, treino double, validacao double"
     )
@@ -281,7 +283,7 @@ def run_campaign(
         metrics = {f"test_{k}": v for k, v in found.items()}
         return runs.new_run(name, algorithm, params, metrics, tags, parent[0])
 
-    done = in_threads(run, list(plan))
+    done = in_threads(train.sparkSession, run, list(plan))
     return runs.runs_table(train.sparkSession, [parent, *done])
 
 
