@@ -199,12 +199,15 @@ def learning_curve(
     def run(size: int) -> list[tuple]:
         inner = numbered.where(F.col("_row") < size)
         preparation = fit_preparation(inner, numeric, categorical)
-        inputs = preparation.input_columns()
         model = models.fit(inner, target, preparation, build)
-        learnt = _errors(model, inner, inputs, target)["mae"]
-        return [(size, number, learnt,
-                 _errors(model, rows_of(numbered, late, year), inputs, target)["mae"])
-                for number, _, late in folds]
+        scored = models.score(model, numbered, preparation.input_columns())
+        gap = F.abs(F.col(target) - F.col(models.PREDICTION))
+        found = scored.agg(
+            F.avg(F.when(F.col("_row") < size, gap)).alias("learnt"),
+            *[F.avg(F.when(F.col(year).isin(late), gap)).alias(f"f{number}")
+              for number, _, late in folds],
+        ).first()
+        return [(size, number, found["learnt"], found[f"f{number}"]) for number, _, _ in folds]
 
     rows = [r for part in in_threads(train.sparkSession, run, sizes) for r in part]
     table = train.sparkSession.createDataFrame(
@@ -223,8 +226,9 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop in R2 when one input column is shuffled.
 
-    ``keep`` names further inputs of the model that stay as they are. A repeat numbers the rows in two orders, by id and by a hash of the id, and
-    joins them on the number: one permutation that serves every column.
+    ``keep`` names further inputs of the model that stay as they are. A repeat
+    numbers the rows in two orders, by id and by a hash of the id, and joins them on
+    the number: one permutation that serves every column.
     """
     inputs = [*columns, *keep]
     base = _errors(model, rows, inputs, target)["r2"]
@@ -236,14 +240,20 @@ def permutation_importance(
         other = number_rows(mixed, ["_h", *ids], "_row").select(
             "_row", *[F.col(c).alias(f"mix_{c}") for c in columns]
         )
-        both = materialize(own.join(other, "_row"), "mixed")
-        for c in columns:
-            shuffled = both.withColumn(c, F.col(f"mix_{c}"))
-            scored = models.score(model, shuffled, inputs)
-            parts.append(
-                regression_metrics(scored, target, models.PREDICTION)
-                .select(F.lit(c).alias("coluna"), F.lit(r).alias("repeticao"), "r2")
+        # one variant of the row per column, that column taken from the other row
+        variants = F.array(*[
+            F.struct(
+                F.lit(c).alias("coluna"),
+                *[F.col(f"mix_{x}" if x == c else x).alias(x) for x in columns],
             )
+            for c in columns
+        ])
+        mixed_rows = own.join(other, "_row").select(target, *keep, F.inline(variants))
+        scored = models.score(model, mixed_rows, inputs)
+        parts.append(
+            regression_metrics(scored, target, models.PREDICTION, ["coluna"])
+            .select("coluna", F.lit(r).alias("repeticao"), "r2")
+        )
     table = reduce(DataFrame.unionByName, parts)
     drop = F.lit(base) - F.col("r2")
     return table.groupBy("coluna").agg(

@@ -15,7 +15,7 @@ from panelrisk.operators.joining import lookup_join
 from panelrisk.operators.ordering import COUNT, quantiles_of_counts, value_counts
 from panelrisk.storage import materialize
 
-MAX_JVM_PAIRS = 10  # more regression aggregates in one pass defeat code generation
+MAX_JVM_PAIRS = 5  # more regression aggregates in one pass defeat code generation
 NOISE = 1e-12
 
 
