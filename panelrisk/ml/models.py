@@ -120,7 +120,7 @@ def missing_impact(
         parts.append(
             regression_metrics(scored, target, PREDICTION)
             .select(F.lit(label).alias("variante"), F.lit(len(num) + len(cat)).alias("n_colunas"),
-                    "n", "mae", "rmse", "r2")
+                    F.lit(",".join(sorted(drop))).alias("retiradas"), "n", "mae", "rmse", "r2")
         )
     return reduce(DataFrame.unionByName, parts)
 

@@ -74,7 +74,7 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct(column).alias("n_ids"),
-    ).withColumn("unique", F.col("n_rows") == F.col("n_ids"))
+    ).withColumn("unico", F.col("n_rows") == F.col("n_ids"))
 
 
 def union_splits(parts: Mapping[str, DataFrame], name: str = "split") -> DataFrame:

@@ -370,6 +370,8 @@ ORACLE: dict[str, str] = {
     " group by ano",
     "year_integrated": f"{P_YEAR} select * from yearly",
     "fact_integrated": f"{P_FACT} select * from fact",
+    "unique_ids": f"{P_FACT} select count(*) as n_rows, count(distinct id_linha) as n_ids,"
+    " count(*) = count(distinct id_linha) as unico from fact",
     "lookup_first": f"{P_YEAR} select c.ano, evasao_em, (select p.had_em from panel p where"
     " p.ano = c.ano and p.had_em is not null order by p.ent limit 1) as had_em from ctx c",
     "distinct_on_year": f"{BASE} select distinct on (ano) ano, ent, aband_ef from panel"

@@ -167,6 +167,10 @@ def distinct_on_year(spark, folder):
     )
 
 
+def unique_ids(spark, folder):
+    return integrate.check_unique(fact_integrated(spark, folder), "id_linha")
+
+
 # -- aggregates
 
 def yearly_means(spark, folder):
@@ -429,7 +433,8 @@ QUERIES = {
         scan_typed, sink_roundtrip, dedup_rows, duplicate_counts, clean_rates, coerce_numeric,
         period_label, period_label_alt, risk_level, score_level, pred_level, diagnose_thresholds,
         dense_row_id, risk_index, risk_score, level_ratio, year_filter, last_n_years, at_risk,
-        drop_nulls, identity_check, year_integrated, fact_integrated, lookup_first, yearly_means,
+        drop_nulls, identity_check, year_integrated, fact_integrated, unique_ids, lookup_first,
+        yearly_means,
         missing_by_column, missing_global, table_shapes, describe_long, exec_summary, corr_matrix,
         corr_target, corr_strength, corr_findings, trend_line, trend_points, histogram25,
         boxplot_period, outliers_period, extreme_years, series_delta, latest_vs_prev, kpi_cards,

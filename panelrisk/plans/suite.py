@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelrisk import settings
 from panelrisk.functions.columns import half_even
@@ -15,7 +15,7 @@ from panelrisk.ml.prep import fit_features, fit_preparation
 from panelrisk.ml.split import supervised_split
 from panelrisk.operators.integrate import union_splits
 from panelrisk.operators.ordering import dense_rank_rows
-from panelrisk.sources.tables import write_tables
+from panelrisk.sources.tables import read_or_none, write_tables
 from panelrisk.storage import materialize
 
 
@@ -124,6 +124,17 @@ def run_suite(rows: DataFrame, options: SuiteOptions, folder: str) -> dict[str,
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in tables}
 
 
+SUMMARY = "modelo string, n long, mae double, rmse double, r2 double"
+
+
+def read_summary(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The parsed JSON summary of a run, or None where there is none."""
+    stored = read_or_none(spark, f"{folder}/summary.parquet")
+    if stored is None:
+        return None
+    return stored.select(F.from_json("resumo", SUMMARY).alias("s")).select("s.*")
+
+
 def _run_log(tables: Mapping[str, DataFrame], o: SuiteOptions, parts: Mapping) -> DataFrame:
     spark = tables["metrics"].sparkSession
     parent = runs.new_run("suite", None, {"ano_corte": o.cutoff, "k": parts["k"]}, {})

@@ -25,8 +25,8 @@ def run(spark, small, tmp_path_factory):
     return suite.run_suite(joined_rows(spark, small), options, folder), folder
 
 
-def test_tables(run):
-    tables, _ = run
+def test_tables(spark, run):
+    tables, folder = run
     scored = tables["scored"]
     test, train = scored.where("split = 'teste'"), scored.where("split = 'treino'")
     assert train.where("posicao_risco is not null").count() == 0
@@ -39,7 +39,10 @@ def test_tables(run):
     assert tables["cv_folds"].count() == 4 and tables["cv_summary"].count() == 1
     assert tables["kmeans_curve"].where("escolhido").count() == 1
     assert tables["learning_curve"].count() >= 2
-    assert tables["summary"].count() == 4
+    parsed = suite.read_summary(spark, folder)
+    assert {r["modelo"] for r in parsed.where("mae is not null").collect()} == {
+        "pred_boosting", "pred_tree", "pred_knn", "pred_final"}
+    assert suite.read_summary(spark, folder + "/nothing") is None
 
 
 def test_saved_model_scores_new_rows(spark, small, run):
