@@ -19,3 +19,4 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op3_sharding": op3_sharding, "op9_decontamination": op9_decontamination}
+ORACLE_SQL: dict[str, str] = {}
