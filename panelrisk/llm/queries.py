@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelrisk.llm import decontamination, sharding
+from panelrisk.llm import bpe, decontamination, sharding
 from panelrisk.sources.tables import parquet_table
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_documents(parquet_table(spark, folder, "documents"), vocabulary())
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(parquet_table(spark, folder, "documents"), shards=40)
 
@@ -18,5 +28,5 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(found)
 
 
-QUERIES = {"op3_sharding": op3_sharding, "op9_decontamination": op9_decontamination}
+QUERIES = {"op1_bpe": op1_bpe, "op3_sharding": op3_sharding, "op9_decontamination": op9_decontamination}
 ORACLE_SQL: dict[str, str] = {}
