@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelrisk.llm import bpe, decontamination, sharding
+from panelrisk.llm import bpe, decontamination, language, quality, sharding
+from panelrisk.llm.sampling import remainder
 from panelrisk.sources.tables import parquet_table
 
 
@@ -18,15 +19,32 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(parquet_table(spark, folder, "documents"), vocabulary())
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet_table(spark, folder, "documents")
+    usable = remainder(F.col("doc_id"), 5) != 0
+    model = quality.train(docs, parquet_table(spark, folder, "labels"), usable)
+    scored = quality.score_documents(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "row.doc_id", (remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(parquet_table(spark, folder, "documents"), shards=40)
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet_table(spark, folder, "documents")
+    model = language.train(docs, remainder(F.col("doc_id"), 5) != 0)
+    return language.identify(docs, model).withColumn("held_out", remainder(F.col("doc_id"), 5) == 0)
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = parquet_table(spark, folder, "documents")
     found = decontamination.locate_windows(docs, parquet_table(spark, folder, "benchmark"))
     return decontamination.digest(found)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_sharding": op3_sharding, "op9_decontamination": op9_decontamination}
+QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_sharding": op3_sharding,
+    "op7_language": op7_language, "op9_decontamination": op9_decontamination}
 ORACLE_SQL: dict[str, str] = {}
