@@ -52,11 +52,13 @@ def features(column: pa.Array) -> np.ndarray:
     pair = hashes[1:] * np.uint64(3) + hashes[:-1] if len(hashes) else hashes
     inside = word_row[1:] == word_row[:-1]
     pairs = _distinct(word_row[1:][inside], B.mix(pair[inside]), n) / np.maximum(words - 1, 1)
+    again = np.bincount(word_row[1:][inside], (hashes[1:] == hashes[:-1])[inside], n) / many
     bucket = (hashes >> np.uint64(40)).astype(np.int64) % BUCKETS
     hashed = np.bincount(word_row * BUCKETS + bucket, minlength=n * BUCKETS).reshape(n, BUCKETS)
     shapes = np.column_stack([
         np.log1p(sizes), np.log1p(words), mean, spread, shouted, marked, distinct, pairs,
-        distinct ** 2, pairs ** 2, (words == 0).astype(float),
+        distinct ** 2, pairs ** 2, np.minimum(distinct, 0.3), np.minimum(pairs, 0.6), again,
+        (words == 0).astype(float),
     ])
     return np.hstack([share, np.sqrt(hashed / many[:, None]), shapes]).astype(np.float32)
 
