@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelrisk.llm import bpe, decontamination, language, quality, sharding
+from panelrisk.llm import bpe, decontamination, language, quality, repeats, sharding
 from panelrisk.llm.sampling import remainder
 from panelrisk.sources.tables import parquet_table
 
@@ -33,6 +33,10 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(parquet_table(spark, folder, "documents"), shards=40)
 
 
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(parquet_table(spark, folder, "documents"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = parquet_table(spark, folder, "documents")
     model = language.train(docs, remainder(F.col("doc_id"), 5) != 0)
@@ -46,5 +50,5 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_sharding": op3_sharding,
-    "op7_language": op7_language, "op9_decontamination": op9_decontamination}
+    "op4_repeats": op4_repeats, "op7_language": op7_language, "op9_decontamination": op9_decontamination}
 ORACLE_SQL: dict[str, str] = {}
