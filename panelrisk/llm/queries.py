@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelrisk.llm import bpe, decontamination, language, quality, repeats, sharding
+from panelrisk.llm import bpe, decontamination, jaccard, language, pii, quality, repeats, sharding
 from panelrisk.llm.sampling import remainder
 from panelrisk.sources.tables import parquet_table
 
 
+PII_KEY = "key of the registered query; a real run brings its own secret"
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -37,6 +40,10 @@ def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(parquet_table(spark, folder, "documents"))
 
 
+def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked_groups(parquet_table(spark, folder, "documents"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = parquet_table(spark, folder, "documents")
     model = language.train(docs, remainder(F.col("doc_id"), 5) != 0)
@@ -49,6 +56,13 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet_table(spark, folder, "documents").select("doc_id", "text")
+    return pii.replace_values(docs, PII_KEY)
+
+
 QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_sharding": op3_sharding,
-    "op4_repeats": op4_repeats, "op7_language": op7_language, "op9_decontamination": op9_decontamination}
+    "op4_repeats": op4_repeats, "op6_jaccard": op6_jaccard,
+    "op7_language": op7_language, "op10_pii": op10_pii,
+    "op9_decontamination": op9_decontamination}
 ORACLE_SQL: dict[str, str] = {}
