@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelrisk.llm import bpe, decontamination, jaccard, language, pii, quality, repeats, sharding
+from panelrisk.llm import bpe, decontamination, jaccard, language, neighbours, pii, quality, repeats, scoring, sharding
 from panelrisk.llm.sampling import remainder
 from panelrisk.sources.tables import parquet_table
 
@@ -40,6 +40,10 @@ def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(parquet_table(spark, folder, "documents"))
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(parquet_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_groups(parquet_table(spark, folder, "documents"))
 
@@ -50,6 +54,11 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, model).withColumn("held_out", remainder(F.col("doc_id"), 5) == 0)
 
 
+def op8_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = parquet_table(spark, folder, "documents")
+    return scoring.score_documents(docs, remainder(F.col("doc_id"), 5) == 1)
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = parquet_table(spark, folder, "documents")
     found = decontamination.locate_windows(docs, parquet_table(spark, folder, "benchmark"))
@@ -61,8 +70,9 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.replace_values(docs, PII_KEY)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_sharding": op3_sharding,
-    "op4_repeats": op4_repeats, "op6_jaccard": op6_jaccard,
-    "op7_language": op7_language, "op10_pii": op10_pii,
-    "op9_decontamination": op9_decontamination}
+QUERIES = {
+    "op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats,
+    "op5_neighbours": op5_neighbours, "op6_jaccard": op6_jaccard, "op7_language": op7_language,
+    "op8_scoring": op8_scoring, "op9_decontamination": op9_decontamination, "op10_pii": op10_pii,
+}
 ORACLE_SQL: dict[str, str] = {}
