@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 4 << 20  # bytes of text handled at once
+PIECE = 2 << 20  # bytes of text handled at once
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _RANDOM = np.random.default_rng(20240607)
