@@ -245,7 +245,7 @@ def _group_sets(source: DataFrame, sets: DataFrame, scratch: Scratch, words: int
         lists = open_lists
         if not remaining:
             break
-        last = turn > 0 and (remaining <= 2 * size or turn == ROUNDS)
+        last = turn == ROUNDS or (turn > 0 and remaining <= 2 * size)
         pairs = _all_pairs(lists) if last else _leader_pairs(lists, turn)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")

@@ -1,0 +1,162 @@
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from panelrisk.llm import language, quality, scoring
+from panelrisk.llm.eliasfano import EliasFano, NgramTrie
+from panelrisk.llm.sampling import remainder
+
+ODD = [None, "", " \n ", "...", "12 34", "x" * 300_000, "same", "same"]
+
+
+def held(spark):
+    return remainder(F.col("doc_id"), 5) == 0
+
+
+def test_remainder_is_crc32(make):
+    ids = [0, 7, 10**12, -3]
+    rows = make(["a"] * 4, ids=ids).select("doc_id", remainder(F.col("doc_id"), 5).alias("m")).collect()
+    assert [r["m"] for r in rows] == [zlib.crc32(str(i).encode()) % 5 for i in ids]
+
+
+# -- quality
+
+def test_quality_on_held_out_rows(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/../sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels, ~held(spark))
+    assert 0.6 < model.prior <= 0.98
+    rows = quality.score_documents(docs, model).select("row.doc_id", "score", "predicted").join(labels, "doc_id")
+    rows = rows.where(held(spark)).collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.9
+    good = [r["score"] for r in rows if r["quality"] == 1]
+    bad = [r["score"] for r in rows if r["quality"] == 0]
+    assert np.mean([a > b for a in good for b in bad]) > 0.95
+
+
+def test_negative_risk_is_walked_back():
+    draw = np.random.default_rng(0)
+    p, n = draw.normal(1, 1, (300, 5)), draw.normal(-1, 1, (100, 5))
+    u = np.vstack([draw.normal(1, 1, (200, 5)), draw.normal(-1, 1, (200, 5))])
+    model = quality.fit(p, u, np.vstack([p, n]), np.r_[np.ones(300), np.zeros(100)])
+    assert 0.3 < model.prior < 0.75
+    assert (model.margin(p) > 0).mean() > 0.9 and (model.margin(n) < 0).mean() > 0.9
+
+
+def test_quality_of_odd_texts(make, spark):
+    labels = spark.createDataFrame([(6, 1, 0), (1, 0, 0), (None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    docs = make(ODD)
+    model = quality.train(docs, labels, F.lit(True))
+    rows = quality.score_documents(docs, model).collect()
+    assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
+    assert len({r["score"] for r in rows if r["row"]["text"] == "same"}) == 1
+    assert quality.train(docs, labels.limit(0), F.lit(True)) is None
+    assert {r["score"] for r in quality.score_documents(docs, None).collect()} == {0.5}
+    assert quality.score_documents(make([]), model).count() == 0
+
+
+# -- language
+
+def test_language_on_held_out_rows(spark, small):
+    docs = spark.read.parquet(f"{small}/../sf0.01/documents.parquet")
+    model = language.train(docs, ~held(spark), per_language=60)
+    rows = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(held(spark)).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows) and not all(r["rejected"] for r in rows)
+
+
+def test_language_of_odd_texts(make):
+    docs = make(["the cat and the dog"] * 5, lang="en").unionByName(make(["le chat et le chien"] * 5, ids=range(10, 15), lang="fr"))
+    model = language.train(docs, F.lit(True))
+    rows = {r["doc_id"]: r for r in language.identify(make([*ODD, "the dog", "le chien", "жжж ъъъ"]), model).collect()}
+    assert [rows[i]["lang_pred"] for i in range(5)] == ["und"] * 5 and rows[0]["score"] == 0
+    assert rows[8]["lang_pred"] == "en" and rows[9]["lang_pred"] == "fr" and rows[10]["rejected"]
+    assert language.train(make([]), F.lit(True)) is None
+    assert [r["lang_pred"] for r in language.identify(make(["a"]), None).collect()] == ["und"]
+
+
+def test_smoothed_shares_sum_to_one():
+    """After every context the model spends at most one, and all of it over the seen characters."""
+    texts = ["abracadabra", "barbara"]
+    chars, first = language.letters(texts)
+    counts, prefix = {}, language._char_hash(chars)
+    for order in range(1, language.ORDER + 1):
+        gram, last = language.grams(chars, first, order)
+        found, where, n = np.unique(gram, return_index=True, return_counts=True)
+        spot = last[where]
+        from panelrisk.llm import bytesops as B
+
+        counts[order] = [np.zeros(len(found), np.int64), found, B.span_hash(prefix, spot - order + 1, spot),
+                         B.span_hash(prefix, spot - order + 2, spot + 1), n]
+    model = language.build(["x"], counts, np.array([np.inf]))
+    total = 0.0
+    for c in "abrcd ":  # each as the next letter of one context
+        at, begin = language.letters(["abr" + c])
+        total += math.exp(-model.entropies(at, begin)[0, 0] * len(at) + model.entropies(at[:-1], np.array([0, len(at) - 1]))[0, 0] * (len(at) - 1))
+    assert 0.9 < total <= 1.0 + 1e-6
+
+
+# -- scoring
+
+def reference(texts, out):
+    toks = [re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())) + [None] for t in texts]
+    c = collections.Counter(w for t, o in zip(toks, out) if not o for w in t)
+    n, v = sum(c.values()), len(c)
+    return [(len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)) for t in toks]
+
+
+@pytest.mark.parametrize("head", [2.0 ** -20, 0.2])
+def test_scores_same_as_brute_force(make, head):
+    texts = [*ODD, "the cat sat", "the cat ran", "the dog sat on the cat", "The CAT sat"] * 3
+    ids = list(range(len(texts)))
+    out = [zlib.crc32(str(i).encode()) % 5 == 1 for i in ids]
+    rows = scoring.score_documents(make(texts), remainder(F.col("doc_id"), 5) == 1, head=head, keep=0.001).collect()
+    for r in rows:
+        n, known, total, base = reference(texts, out)[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (n, known, total, out[r["doc_id"]])
+        assert abs(r["base_score"] - base) < 1e-8 * max(1, abs(base)) and r["score"] <= 1e-9
+    if head > 0.1:
+        return  # no word is frequent enough for an n-gram: both scores are the base
+    cats = [r for r in rows if texts[r["doc_id"]] == "the cat sat"]
+    assert all(r["score"] > r["base_score"] for r in cats)
+
+
+def test_scoring_without_training_rows(make):
+    rows = scoring.score_documents(make(["a b", None]), F.lit(True)).collect()
+    assert [r["train_tokens"] for r in rows] == [0, 0] and all(r["n_known"] == 0 for r in rows)
+    assert scoring.score_documents(make([]), F.lit(False)).count() == 0
+
+
+def test_elias_fano_reads_and_finds():
+    draw = np.random.default_rng(1)
+    for n, top in ((0, 1), (1, 1), (5, 3), (1000, 50), (2000, 1 << 50)):
+        values = np.sort(draw.integers(0, top, n))
+        ef = EliasFano(values)
+        assert (ef.get(np.arange(n)) == values.astype(np.uint64)).all()
+        if n:
+            probe = np.concatenate([values, draw.integers(0, top, 50)]).astype(np.uint64)
+            at = ef.find(probe, np.zeros(len(probe), np.int64), np.full(len(probe), n))
+            assert ((at >= 0) == np.isin(probe, values.astype(np.uint64))).all()
+            assert (ef.get(at[at >= 0]) == probe[at >= 0]).all()
+
+
+def test_trie_is_mapped_from_files(tmp_path):
+    pairs = np.array([[0, 1], [0, 2], [1, 0], [1, 2], [2, 0]])
+    triples = np.array([[0, 1, 0], [0, 1, 2], [1, 2, 0]])
+    trie = NgramTrie(3, pairs, -np.arange(1.0, 6), -np.ones(3), triples, -np.arange(1.0, 4), -np.ones(5))
+    trie.save(str(tmp_path))
+    for t in (trie, NgramTrie.load(str(tmp_path))):
+        at = t.pair(np.array([0, 0, 2, 2]), np.array([1, 0, 0, 2]))
+        assert at.tolist() == [0, -1, 4, -1]
+        third = t.triple(np.array([0, 0]), np.array([1, 1]), np.array([2, 3]))
+        assert third.tolist() == [0, 1] and np.allclose(t.triple_p.get(third), [-1, -2])
+
+
+def test_words_with_the_same_hash_input_order():
+    h, row = scoring.tokens(pa.array(["b a", None, "a"]))
+    assert row.tolist() == [0, 0, 0, 1, 2, 2] and h[1] == h[4] and h[2] == h[3] == h[5] == scoring.END
