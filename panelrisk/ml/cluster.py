@@ -9,7 +9,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from panelrisk.functions.columns import half_even
 from panelrisk.ml.prep import FEATURES
@@ -66,13 +66,11 @@ def cluster_profiles(assigned: DataFrame, columns: Sequence[str], target: str) -
     table = assigned.groupBy(CLUSTER).agg(
         F.count(F.lit(1)).alias("n"), *[half_even(F.avg(c), 2).alias(c) for c in columns]
     )
-    known = table.where(F.col(target).isNotNull())
-    worst = known.agg(F.max(F.struct(target, (-F.col(CLUSTER)).alias("c"))).alias("t"))
-    best = known.agg(F.min(F.struct(target, F.col(CLUSTER).alias("c"))).alias("t"))
-    return table.withColumns({
-        "pior": F.col(CLUSTER) == worst.select(-F.col("t.c")).scalar(),
-        "melhor": F.col(CLUSTER) == best.select("t.c").scalar(),
-    })
+    # one row per cluster
+    high = F.row_number().over(Window.orderBy(F.desc_nulls_last(target), CLUSTER)) == 1
+    low = F.row_number().over(Window.orderBy(F.asc_nulls_last(target), CLUSTER)) == 1
+    known = F.col(target).isNotNull()
+    return table.withColumns({"pior": high & known, "melhor": low & known})
 
 
 def cluster_text(profiles: DataFrame, columns: Sequence[str]) -> DataFrame:

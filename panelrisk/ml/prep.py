@@ -82,14 +82,20 @@ class Preparation:
     modes: dict[str, str]
 
     def stages(self) -> list:
-        """Impute, scale, one-hot, assemble. Values not seen in training are all zeros."""
+        """Impute, scale, one-hot, assemble. Values not seen in training are all zeros.
+
+        An empty text counts as missing: the encoder takes no empty name.
+        """
         parts = [
-            f"(coalesce(cast({c} as double), {_sql(v)}) - {_sql(self.scales[c][0])})"
-            f" / {_sql(self.scales[c][1])} as z_{c}"
+            f"(coalesce(cast({_name(c)} as double), {_sql(v)}) - {_sql(self.scales[c][0])})"
+            f" / {_sql(self.scales[c][1])} as {_name(f'z_{c}')}"
             for c, v in self.medians.items()
         ]
-        escaped = {c: v.replace("'", "\\'") for c, v in self.modes.items()}
-        parts += [f"coalesce({c}, '{v}') as s_{c}" for c, v in escaped.items()]
+        parts += [
+            f"coalesce(nullif(cast({_name(c)} as string), ''), {_text(v or MISSING_LABEL)})"
+            f" as {_name(f's_{c}')}"
+            for c, v in self.modes.items()
+        ]
         out: list = [SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")]
         inputs = [f"z_{c}" for c in self.medians]
         if self.modes:
@@ -115,6 +121,16 @@ class Preparation:
                 *[f"{p}_{c}" for c in cats for p in ("s", "i", "o")]]
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(v: str) -> str:
+    """String literal that reads back as ``v`` whatever it holds."""
+    return "'" + "".join(c if c.isalnum() or c == " " else f"\\u{ord(c):04x}" if ord(c) < 0x10000
+                         else f"\\U{ord(c):08x}" for c in v) + "'"
+
+
 def _sql(v: float) -> str:
     return f"cast('{float(v)!r}' as double)"
 

@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from panelrisk.storage import materialize
+from panelrisk.storage import materialize_at, new_path, stored_bytes
 
-BROADCAST_ROWS = 200_000
-SALTS = 64
+BROADCAST_BYTES = 8 << 20  # Parquet bytes of a lookup side that is sent to every task
 
 
 def lookup_join(
@@ -18,26 +17,25 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     unique: bool = True,
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``left`` with a lookup table whose keys must be unique.
 
-    The lookup side is written once, then counted. Up to ``max_rows`` it is
-    broadcast and ``left`` is not shuffled. Above that both sides are shuffled,
-    with the keys salted so that a key holding much of ``left`` is spread.
+    The lookup side is written once, then measured. Up to ``max_bytes`` it is
+    broadcast and ``left`` is not shuffled. Above that both sides are shuffled once;
+    a key that holds much of ``left`` is split by the adaptive skew join.
     """
     on = list(on)
-    right = materialize(right, "lookup")
-    size = right.agg(F.count(F.lit(1)), F.count_distinct(F.struct(*on))).first()
-    rows, distinct = size[0], size[1]
-    if unique and distinct != rows:
-        raise ValueError(f"join keys {on} are not unique: {rows} rows, {distinct} keys")
-    if rows <= max_rows:
+    spark = left.sparkSession
+    path = new_path(spark, "lookup")
+    right = materialize_at(right, path)
+    if unique:
+        repeated = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1)
+        if repeated.count():
+            raise ValueError(f"join keys {on} are not unique")
+    if stored_bytes(spark, path) <= max_bytes:
         return left.join(F.broadcast(right), on, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+    return left.join(right.hint("merge"), on, how)
 
 
 def without_clashes(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

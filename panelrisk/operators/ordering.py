@@ -15,7 +15,6 @@ from panelrisk.storage import materialize
 
 BLOCK, POSITION, COUNT = "_block", "_position", "_n"
 LOW_BITS = (1 << 33) - 1  # row part of monotonically_increasing_id
-MAX_VALUES = 1_000_000  # distinct values one exact percentile may hold
 
 
 def ordered_blocks(df: DataFrame, order: Sequence[Column | str], label: str = "blocks") -> DataFrame:
@@ -100,39 +99,21 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
-    max_values: int = MAX_VALUES,
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation, nulls left out."""
-    counted = value_counts(df, keys, value)
-    return quantiles_of_counts(counted, keys, value, probs, names, max_values)
+    return quantiles_of_counts(value_counts(df, keys, value), keys, value, probs, names)
 
 
 def quantiles_of_counts(
     counted: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-    names: Sequence[str], max_values: int = MAX_VALUES,
+    names: Sequence[str],
 ) -> DataFrame:
-    """Quantiles from a table of value counts, whose size is checked first.
+    """Quantiles from a table of value counts.
 
-    Up to ``max_values`` distinct values, the built-in exact percentile takes them
-    with their counts. Above, no task may hold a group: running counts are then
-    local to a block of the ordered distinct values.
+    No task holds a group: the distinct values are ordered in blocks, and running
+    counts are local to a block with the sizes of the blocks before it.
     """
-    if counted.count() <= max_values:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        found = counted.groupBy(*keys).agg(
-            F.percentile(F.col(value), wanted, F.col(COUNT)).alias("_q")
-        )
-        if not keys:
-            found = found.where(F.col("_q").isNotNull())
-        return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _ordered_quantiles(counted, keys, value, probs, names)
-
-
-def _ordered_quantiles(
-    counted: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-    names: Sequence[str],
-) -> DataFrame:
     blocks = ordered_blocks(counted, [*keys, value], "quantile")
     sizes = blocks.groupBy(*keys, BLOCK).agg(F.sum(COUNT).alias("_size"))
     group = Window.partitionBy(*keys)
@@ -157,6 +138,8 @@ def _ordered_quantiles(
             hit = (F.col("_start") <= rank) & (rank < F.col("_end"))
             picks.append(F.max(F.when(hit, F.col(value))).alias(f"_{name}_{side}"))
     found = running.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
+    if not keys:
+        found = found.where(F.col("_total").isNotNull())
     out = []
     for p, name in zip(probs, names):
         place = F.lit(float(p)) * (F.col("_total") - 1)

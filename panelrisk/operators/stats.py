@@ -10,29 +10,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelrisk.functions.columns import half_even, long_form
+from panelrisk.functions.columns import finite, half_even, long_form
 from panelrisk.operators.joining import lookup_join
 from panelrisk.operators.ordering import COUNT, quantiles_of_counts, value_counts
 from panelrisk.storage import materialize
 
-MAX_JVM_PAIRS = 5  # more regression aggregates in one pass defeat code generation
 NOISE = 1e-12
 
 
-def moments(counted: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Count, mean, sample sd, min and max per group, from a table of value counts."""
-    n, v = F.col(COUNT), F.col(value)
-    first = counted.groupBy(*keys).agg(
-        F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-    )
-    gap = v - F.col("mean")
-    spread = counted.join(first.select(*keys, "mean"), list(keys)).groupBy(*keys).agg(
-        F.sum(gap * gap * n).alias("_ss")
-    )
-    return first.join(spread, list(keys)).withColumn(
-        "std", F.sqrt(F.try_divide(F.col("_ss"), F.col("n") - 1))
-    ).drop("_ss")
+def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, mean, sample sd, min and max of each column: one aggregate over the wide table."""
+
+    def numbers(c: str) -> Column:
+        v = finite(F.col(c).cast("double"))
+        return F.struct(
+            F.lit(c).alias("indicator"), F.count(v).alias("n"), F.avg(v).alias("mean"),
+            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+
+    one = df.agg(*[numbers(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    out = one.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
+    return out.where("n > 0")
 
 
 def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
@@ -41,7 +38,7 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Dat
     quart = quantiles_of_counts(
         counted, ["indicator"], "value", (0.25, 0.5, 0.75), ("q25", "q50", "q75")
     )
-    out = moments(counted, ["indicator"]).join(quart, "indicator")
+    out = moments(df, columns).join(quart, "indicator")
     rounded = [half_even(c, digits).alias(c)
                for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
     return out.select("indicator", "n", *rounded)
@@ -51,51 +48,26 @@ def exec_summary(df: DataFrame, columns: Sequence[str], digits: int = 1) -> Data
     """Mean, median, max and min per column."""
     counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
     mid = quantiles_of_counts(counted, ["indicator"], "value", (0.5,), ("median",))
-    out = moments(counted, ["indicator"]).join(mid, "indicator")
+    out = moments(df, columns).join(mid, "indicator")
     return out.select(
         "indicator", *[half_even(c, digits).alias(c) for c in ("mean", "median", "max", "min")]
     )
 
 
-def _pearson(a: str, b: str) -> Column:
-    """Pearson r over the rows where both are present; null on a constant column."""
-    x, y = F.col(a), F.col(b)
-    spread = F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x))
-    return F.try_divide(F.regr_sxy(y, x), spread)
+SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
 def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
     """Long table (a, b, r, n) of the named pairs, each over the rows that have both.
 
-    A few pairs are one JVM aggregate. Many pairs would outgrow generated code, so
-    their sums come from matrix products over Arrow batches instead.
-    """
-    if len(pairs) > MAX_JVM_PAIRS:
-        return _corr_by_matrix(df, pairs, digits)
-    one_row = df.agg(
-        F.array(*[
-            F.struct(
-                F.lit(a).alias("a"), F.lit(b).alias("b"),
-                half_even(_pearson(a, b), digits).alias("r"),
-                F.regr_count(F.col(b), F.col(a)).alias("n"),
-            )
-            for a, b in pairs
-        ]).alias("p")
-    )
-    return one_row.select(F.inline("p"))
-
-
-SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
-
-
-def _corr_by_matrix(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int) -> DataFrame:
-    """Pair sums per partition as six matrix products, then one small aggregate.
-
-    Values are shifted by the column mean, so that squares do not cancel.
+    NaN and infinity count as missing; r is null if one side is constant. Pair sums
+    come from six matrix products per partition and one small aggregate, whatever
+    the number of pairs. Values are shifted by the column mean, so that squares do
+    not cancel.
     """
     cols = sorted({c for p in pairs for c in p})
     at = {c: i for i, c in enumerate(cols)}
-    rows = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "corr")
+    rows = materialize(df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols]), "corr")
     means = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).first()
     shift = np.array([means[c] for c in cols])
     left, right = [at[a] for a, _ in pairs], [at[b] for _, b in pairs]
@@ -220,7 +192,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
     """
     counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
     mid = quantiles_of_counts(counted, ["indicator"], "value", (0.5,), ("median",))
-    edges = moments(counted, ["indicator"]).drop("n", "std").join(mid, "indicator")
+    edges = moments(df, columns).drop("n", "std").join(mid, "indicator")
     # one row per named column
     placed = lookup_join(counted, edges, ["indicator"])
     width = (F.col("max") - F.col("min")) / F.lit(float(bins))

@@ -79,8 +79,10 @@ def formula_prediction() -> "F.Column":
     )
 
 
-def formula_scored(spark: SparkSession, folder: str) -> DataFrame:
+def formula_scored(
+    spark: SparkSession, folder: str, first: int | None = None, last: int | None = None
+) -> DataFrame:
     """Panel rows with a target and the formula prediction."""
-    return panel(spark, folder).where(F.col("aband_em").isNotNull()).withColumn(
+    return panel(spark, folder, first, last).where(F.col("aband_em").isNotNull()).withColumn(
         "pred", formula_prediction()
     )

@@ -58,8 +58,7 @@ def panel_sides(spark, folder) -> tuple[DataFrame, DataFrame]:
 # -- preparation and split
 
 def impute_median(spark, folder):
-    rows = panel(spark, folder)
-    train, _ = split.temporal_split(rows, recipe.SPLIT_YEAR)
+    rows, train = panel(spark, folder), panel(spark, folder, last=recipe.SPLIT_YEAR)
     found = medians(train, INDICATORS)
     return fill(rows, found).select(*UNIT_KEYS, *[half_even(c, 6).alias(c) for c in INDICATORS])
 
@@ -72,14 +71,14 @@ def impute_mode(spark, folder):
 
 
 def standardize_rows(spark, folder):
-    rows = panel(spark, folder)
-    train, _ = split.temporal_split(rows, recipe.SPLIT_YEAR)
+    rows, train = panel(spark, folder), panel(spark, folder, last=recipe.SPLIT_YEAR)
     scaled = standardize(rows, scales(train, INDICATORS))
     return scaled.select(*UNIT_KEYS, *[half_even(c, 6).alias(c) for c in INDICATORS])
 
 
 def temporal_split(spark, folder):
-    train, test = split.temporal_split(panel(spark, folder), recipe.SPLIT_YEAR)
+    train = panel(spark, folder, last=recipe.SPLIT_YEAR)
+    test = panel(spark, folder, first=recipe.SPLIT_YEAR + 1)
     return train.withColumn("split", F.lit("treino")).unionByName(
         test.withColumn("split", F.lit("teste"))
     )
@@ -90,8 +89,7 @@ def split_summary(spark, folder):
 
 
 def _train_years(spark, folder):
-    rows = formula_scored(spark, folder)
-    return rows.where(F.col("ano") <= recipe.SPLIT_YEAR)
+    return formula_scored(spark, folder, last=recipe.SPLIT_YEAR)
 
 
 def year_folds(spark, folder):

@@ -130,11 +130,12 @@ def level_ratio(spark, folder):
 
 
 def year_filter(spark, folder):
-    return cleaning.year_filter(panel(spark, folder), 1997, 1999)
+    return cleaning.year_filter(panel(spark, folder, 1997, 1999), 1997, 1999)
 
 
 def last_n_years(spark, folder):
-    return cleaning.last_n_years(panel(spark, folder), 4)
+    years = recipe.panel_years(spark, folder).orderBy(F.desc("ano")).limit(4).collect()
+    return panel(spark, folder, min(r["ano"] for r in years)) if years else panel(spark, folder)
 
 
 def at_risk(spark, folder):
@@ -303,12 +304,12 @@ def distinct_years(spark, folder):
 
 
 def sparse_columns(spark, folder):
-    train = panel(spark, folder).where(F.col("ano") <= recipe.SPLIT_YEAR)
+    train = panel(spark, folder, last=recipe.SPLIT_YEAR)
     return quality.sparse_columns(train, INDICATORS, 0.3)
 
 
 def rows_with_any_null(spark, folder):
-    train = panel(spark, folder).where(F.col("ano") <= recipe.SPLIT_YEAR)
+    train = panel(spark, folder, last=recipe.SPLIT_YEAR)
     return quality.rows_with_any_null(train, INDICATORS)
 
 
@@ -344,12 +345,12 @@ def yoy_change_by_unit(spark, folder):
 
 
 def risk_rank_dense(spark, folder):
-    rows = formula_scored(spark, folder).where(F.col("ano") > recipe.SPLIT_YEAR)
+    rows = formula_scored(spark, folder, first=recipe.SPLIT_YEAR + 1)
     return ordering.dense_rank_rows(rows.select(*UNIT_KEYS, "pred"), "pred", UNIT_KEYS, "posicao")
 
 
 def top_risk(spark, folder):
-    rows = formula_scored(spark, folder).where(F.col("ano") > recipe.SPLIT_YEAR)
+    rows = formula_scored(spark, folder, first=recipe.SPLIT_YEAR + 1)
     return ranking.top_rows(rows.select(*UNIT_KEYS, TARGET, "pred"), "pred", 15, UNIT_KEYS)
 
 

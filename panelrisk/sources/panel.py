@@ -6,6 +6,8 @@ whole numbers, so a rate does not depend on the order in which they were added.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelrisk.sources.tables import parquet_table
@@ -47,10 +49,33 @@ def share(condition: Column) -> Column:
     return F.lit(100.0) * hits / F.count(F.lit(1))
 
 
-def panel(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per supplier and shipping year, with the missing values of real data."""
+def within_years(df: DataFrame, day: str, first: int | None, last: int | None) -> DataFrame:
+    """Rows of a closed range of years, as a half-open range of the stored column.
+
+    The comparison is with the raw column, so it reaches the scan.
+    """
+    if first is not None:
+        df = df.where(F.col(day) >= F.lit(datetime(first, 1, 1)).cast(df.schema[day].dataType))
+    if last is not None:
+        df = df.where(F.col(day) < F.lit(datetime(last + 1, 1, 1)).cast(df.schema[day].dataType))
+    return df
+
+
+def panel_years(spark: SparkSession, folder: str) -> DataFrame:
+    """The distinct years of the panel, from one column of the scan."""
+    days = parquet_table(spark, folder, "lineitem").select(F.year("l_shipdate").alias("ano"))
+    return days.where(F.col("ano").isNotNull()).distinct()
+
+
+def panel(
+    spark: SparkSession, folder: str, first: int | None = None, last: int | None = None
+) -> DataFrame:
+    """One row per supplier and shipping year, with the missing values of real data.
+
+    ``first`` and ``last`` cut the scan to a closed range of years.
+    """
     c = F.col
-    lines = parquet_table(spark, folder, "lineitem").select(
+    lines = within_years(parquet_table(spark, folder, "lineitem"), "l_shipdate", first, last).select(
         c("l_suppkey").alias("ent"), F.year("l_shipdate").alias("ano"),
         "l_returnflag", "l_discount", "l_quantity", "l_tax",
     )
@@ -80,12 +105,11 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
 def context(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order year from 1996 on."""
     c = F.col
-    orders = parquet_table(spark, folder, "orders").select(
+    orders = within_years(parquet_table(spark, folder, "orders"), "o_orderdate", 1996, None).select(
         F.year("o_orderdate").alias("ano"), "o_orderstatus", "o_orderpriority"
     )
     return (
-        orders.where(c("ano") >= 1996)
-        .groupBy("ano")
+        orders.groupBy("ano")
         .agg(
             share((c("o_orderstatus") == "O") & (c("o_orderpriority") == "5-LOW"))
             .alias("evasao_em"),

@@ -11,8 +11,12 @@ from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, St
 from panelrisk.functions.columns import finite, to_number
 
 
+FILES_PER_VALUE = 8
+
+
 def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A stored table; NaN and infinity are null."""
+    return clear_nan(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def parquet_tables(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
@@ -28,16 +32,18 @@ def clear_nan(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with header and declared types; columns are matched by header name.
 
-    The file is read as text and cast, so that a bad number becomes null and a
-    changed column order cannot shift values.
+    The files are read as text and cast, so that a bad number becomes null. All
+    files of a folder must have the same header; another one is an error, never a
+    shift of values.
     """
     header = spark.read.option("header", True).csv(path).columns
     names = [c.strip() for c in header]
     missing = [f.name for f in schema if f.name not in names]
     if missing:
         raise ValueError("columns missing in the file: " + ", ".join(missing))
-    text = StructType([StructField(n, StringType()) for n in names])
-    raw = spark.read.schema(text).option("header", True).option("enforceSchema", True).csv(path)
+    text = StructType([StructField(n, StringType()) for n in header])
+    raw = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    raw = raw.toDF(*names)
     return raw.select(*[_typed(f).alias(f.name) for f in schema])
 
 
@@ -50,6 +56,11 @@ def _typed(field: StructField):
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Parquet; with ``partition_by``, few files per value: rows of one value are dealt to
+    ``FILES_PER_VALUE`` tasks at most."""
+    if partition_by:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_VALUE))
+        df = df.repartition(*partition_by, salt)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -13,6 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
+    from panelrisk.storage import release
+
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -20,11 +22,13 @@ def spark(tmp_path_factory):
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("steps")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

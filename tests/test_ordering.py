@@ -46,19 +46,17 @@ def test_dense_rank_over_blocks(spark, table, rows):
     assert len(out) == len(rows)
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles_match_numpy(table, rows, limit):
+def test_quantiles_match_numpy(table, rows):
     probs, names = (0.0, 0.25, 0.5, 0.9, 1.0), ("p0", "p25", "p50", "p90", "p100")
-    out = {r["g"]: r for r in quantiles(table, ["g"], "v", probs, names, limit).collect()}
+    out = {r["g"]: r for r in quantiles(table, ["g"], "v", probs, names).collect()}
     for g in ("a", "b"):
         v = [r[2] for r in rows if r[1] == g and r[2] is not None]
         for p, n in zip(probs, names):
             assert out[g][n] == pytest.approx(np.percentile(v, 100 * p), abs=1e-9)
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles_without_keys(table, rows, limit):
-    got = quantiles(table, [], "v", (0.5,), ("m",), limit).first()["m"]
+def test_quantiles_without_keys(table, rows):
+    got = quantiles(table, [], "v", (0.5,), ("m",)).first()["m"]
     assert got == pytest.approx(np.median([r[2] for r in rows if r[2] is not None]))
 
 
@@ -68,5 +66,5 @@ def test_quantiles_of_nothing(table):
 
 
 def test_single_value(table):
-    out = quantiles(table.where(F.col("v") == 7.5), ["g"], "v", (0.1, 0.9), ("a", "b"), 0)
+    out = quantiles(table.where(F.col("v") == 7.5), ["g"], "v", (0.1, 0.9), ("a", "b"))
     assert {(r["a"], r["b"]) for r in out.collect()} == {(7.5, 7.5)}

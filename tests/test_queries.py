@@ -30,7 +30,7 @@ def test_same_as_sql(spark, small, con, key):
 
 
 # run as part of another key or by tests/test_suite.py
-ELSEWHERE = {"risk_ranking", "compare_models", "cluster_profiles"}
+ELSEWHERE = {"risk_ranking", "compare_models", "cluster_profiles", *entry.TEXT_QUERIES}
 
 
 @pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(ORACLE) - ELSEWHERE))
