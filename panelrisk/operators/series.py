@@ -52,6 +52,17 @@ def extreme_years(df: DataFrame, columns: Sequence[str], year: str = "ano") -> D
     )
 
 
+def extreme_changes(changes: DataFrame, column: str, year: str = "ano") -> DataFrame:
+    """Year and value of the largest and smallest yearly change of a column (``var_`` column)."""
+    v = F.col(f"var_{column}")
+    top = F.max(F.struct(v.alias("v"), (-F.col(year)).alias("y"))).alias("t")
+    low = F.min(F.struct(v.alias("v"), F.col(year).alias("y"))).alias("l")
+    return changes.where(v.isNotNull()).agg(top, low).select(
+        F.lit(column).alias("indicator"), (-F.col("t.y")).alias("ano_pior"), half_even("t.v", 2).alias("var_pior"),
+        F.col("l.y").alias("ano_melhor"), half_even("l.v", 2).alias("var_melhor"),
+    )
+
+
 def ends(df: DataFrame, columns: Sequence[str], year: str = "ano") -> DataFrame:
     """First and last year with a value, per column."""
     long = long_form(df, [year], columns).where(F.col("value").isNotNull())

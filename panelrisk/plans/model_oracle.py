@@ -143,7 +143,33 @@ def _changes() -> str:
 
 LEVEL = f"case when aband_em is not null then {rate_level('aband_em')} end"
 
+RES = f"""
+res as (select case when ent % 2 = 0 then 'par' else 'impar' end as modelo, aband_em, pred,
+  pred - aband_em as residual from preds where aband_em is not null),
+resq as (select modelo, quantile_cont(residual, 0.25) as q1, median(residual) as q2,
+  quantile_cont(residual, 0.75) as q3 from res group by 1),
+resb as (select res.*, q1, q2, q3, residual between q1 - 1.5::double * (q3 - q1)
+  and q3 + 1.5::double * (q3 - q1) as inside from res join resq using (modelo))"""
+
 MODEL_ORACLE: dict[str, str] = {
+    "model_roundtrip": f"{P_PRED} select ent, ano, true as igual from preds"
+    f" where {TEST} and ano in (select year(o_orderdate) from orders where year(o_orderdate) >= 1996)",
+    "residual_box_formula": f"{P_PRED}, {RES} select modelo, count(*) as n, "
+    + ", ".join(f"{rnd(f'any_value({q})', 6)} as {q}" for q in ("q1", "q2", "q3"))
+    + f", {rnd('min(case when inside then residual end)', 6)} as whisker_low,"
+    f" {rnd('max(case when inside then residual end)', 6)} as whisker_high,"
+    " sum(case when inside then 0 else 1 end)::bigint as n_outliers from resb group by 1",
+    "compare_text_formula": f"{P_PRED}, {RES}, m as (select modelo, avg(abs(residual)) as mae,"
+    " sqrt(avg(residual * residual)) as rmse, 1 - sum(residual * residual)"
+    " / (var_pop(aband_em) * count(*)) as r2 from res group by 1) select modelo,"
+    " printf('%s: MAE %.2f p.p., RMSE %.2f, R2 %.2f (%s)', modelo, mae, rmse, coalesce(r2, 0),"
+    " case when mae = (select min(mae) from m) then 'menor erro medio' else 'comparado' end)"
+    " as texto from m",
+    "cluster_profiles_given": f"{BASE}, g as (select (ent % 3)::int as cluster, count(*) as n,"
+    f" {rnd('avg(aband_em)', 2)} as aband_em, {rnd('avg(tdi_em)', 2)} as tdi_em,"
+    f" {rnd('avg(atu_em)', 2)} as atu_em from panel group by 1) select *,"
+    " row_number() over (order by aband_em desc nulls last, cluster) = 1 and aband_em is not null as pior,"
+    " row_number() over (order by aband_em nulls last, cluster) = 1 and aband_em is not null as melhor from g",
     "impute_median": f"{BASE}, m as (select "
     + ", ".join(f"median({c}) as md_{c}" for c in INDICATORS)
     + f" from panel where {TRAIN}) select ent, ano, "

@@ -1,4 +1,9 @@
-"""Registered modelling queries. Fits are kept small; sizes are arguments."""
+"""Registered modelling queries.
+
+Expensive fits are made once per session and folder and shared by the queries
+that need them. The random search and the campaign draw fewer settings than
+their operators' defaults (see the README).
+"""
 
 from __future__ import annotations
 
@@ -24,7 +29,7 @@ NUMERIC = ["ano", "aband_ef", "reprov_em", "tdi_em", "atu_em", "had_em",
 CATEGORICAL = ["periodo", "risco_ef"]
 PROFILE = ["tdi_em", "reprov_em", "aband_ef", "atu_em", "had_em"]
 NEAR_PROFILE = ["tdi_em", "reprov_em", TARGET, "atu_em"]
-SMALL_BOOSTING = {"max_depth": 3, "max_iter": 6, "step": 0.3, "min_leaf": 5}
+SEARCHED_BOOSTING = {"max_depth": 3, "max_iter": 6, "step": 0.3, "min_leaf": 5}
 SMALL_SPACE = {"stepSize": (0.1, 0.3), "maxDepth": (2, 3), "maxIter": (3, 6),
                "minInstancesPerNode": (2, 5)}
 TREE_SPACE = {"maxDepth": tuple(range(2, 9)), "minInstancesPerNode": tuple(range(4, 31))}
@@ -44,6 +49,17 @@ SCENARIOS = {
 }
 
 
+_made: dict[tuple, object] = {}
+
+
+def once(spark, folder, name: str, make):
+    """What ``make`` gives, kept for this session and folder."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
 def sides(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Train and test rows of the fact, each written once because fits read them often."""
     rows = materialize(joined_rows(spark, folder).where(F.col(TARGET).isNotNull()), "fact")
@@ -166,8 +182,18 @@ def _test_scores(spark, folder, build):
     return models.score(model, test, preparation.input_columns()).select(*UNIT_KEYS, TARGET, "pred")
 
 
+def _boosted(spark, folder):
+    """(train, test, preparation, model): the boosting with its full number of trees."""
+    def make():
+        train, test = sides(spark, folder)
+        preparation = fit_preparation(train, NUMERIC, CATEGORICAL)
+        return train, test, preparation, models.fit(train, TARGET, preparation, models.boosting())
+    return once(spark, folder, "boosting", make)
+
+
 def boosting_fit(spark, folder):
-    return _test_scores(spark, folder, models.boosting(**SMALL_BOOSTING))
+    _, test, preparation, model = _boosted(spark, folder)
+    return models.score(model, test, preparation.input_columns()).select(*UNIT_KEYS, TARGET, "pred")
 
 
 def tree_fit(spark, folder):
@@ -175,10 +201,13 @@ def tree_fit(spark, folder):
 
 
 def _compared(spark, folder):
-    train, test = sides(spark, folder)
-    builders = {"boosting": models.boosting(**SMALL_BOOSTING), "tree": models.tree(),
-                "ridge": models.ridge()}
-    return models.compare(train, test, TARGET, UNIT_KEYS, NUMERIC, CATEGORICAL, builders, {"knn": 5})
+    def make():
+        train, test, _, _ = _boosted(spark, folder)
+        builders = {"tree": models.tree(), "ridge": models.ridge()}
+        rest = models.compare(train, test, TARGET, UNIT_KEYS, NUMERIC, CATEGORICAL, builders, {"knn": 5})
+        own = boosting_fit(spark, folder).select(F.lit("boosting").alias("modelo"), *UNIT_KEYS, TARGET, "pred")
+        return materialize(rest.unionByName(own), "compared")
+    return once(spark, folder, "compared", make)
 
 
 def compare_models(spark, folder):
@@ -193,6 +222,26 @@ def residual_box(spark, folder):
     return stats.residual_box(_compared(spark, folder), TARGET, "pred", "modelo")
 
 
+def _formula_rows(spark, folder):
+    return formula_scored(spark, folder).withColumn("modelo", F.when(F.col("ent") % 2 == 0, "par").otherwise("impar"))
+
+
+def residual_box_formula(spark, folder):
+    """Residual numbers of the formula prediction, for two groups of units."""
+    table = stats.residual_box(_formula_rows(spark, folder), TARGET, "pred", "modelo")
+    return stats.round_columns(table, {c: 6 for c in ("q1", "q2", "q3", "whisker_low", "whisker_high")})
+
+
+def compare_text_formula(spark, folder):
+    return models.compare_text(models.metrics_table(_formula_rows(spark, folder), TARGET))
+
+
+def cluster_profiles_given(spark, folder):
+    """Profiles of groups that a column already holds."""
+    rows = panel(spark, folder).withColumn("cluster", (F.col("ent") % 3).cast("int"))
+    return cluster.cluster_profiles(rows, [TARGET, "tdi_em", "atu_em"], TARGET)
+
+
 def missing_impact(spark, folder):
     train, test = sides(spark, folder)
     return models.missing_impact(train, test, TARGET, NUMERIC, CATEGORICAL, 0.3)
@@ -206,17 +255,15 @@ def tune_boosting(spark, folder):
 def learning_curve(spark, folder):
     train, _ = sides(spark, folder)
     return tune.learning_curve(
-        train, TARGET, NUMERIC, CATEGORICAL, models.tree(), UNIT_KEYS, n_splits=2
+        train, TARGET, NUMERIC, CATEGORICAL, models.tree(), UNIT_KEYS, n_splits=4
     )
 
 
 def perm_importance(spark, folder):
-    train, test = sides(spark, folder)
-    preparation = fit_preparation(train, NUMERIC, CATEGORICAL)
-    model = models.fit(train, TARGET, preparation, models.boosting(**SMALL_BOOSTING))
-    inputs = ["aband_ef", "reprov_em", "tdi_em", "atu_em", "had_em"]
-    rest = [c for c in preparation.input_columns() if c not in inputs]
-    return tune.permutation_importance(model, test, TARGET, inputs, UNIT_KEYS, 3, keep=rest)
+    _, test, preparation, model = _boosted(spark, folder)
+    # a row is told by ent alone within a shuffle: the year is an input too
+    rows = test.withColumn("_id", F.concat_ws("-", *UNIT_KEYS))
+    return tune.permutation_importance(model, rows, TARGET, preparation.input_columns(), ["_id"], 8)
 
 
 def _stored_model(spark, folder):
@@ -233,8 +280,7 @@ def model_roundtrip(spark, folder):
     model, preparation, test, path = _stored_model(spark, folder)
     direct = models.score(model, test, preparation.input_columns(), "pred_direto")
     return store.load_model(spark, path).predict(direct, "pred_lido").select(
-        *UNIT_KEYS, "pred_direto", "pred_lido",
-        (F.col("pred_direto") == F.col("pred_lido")).alias("igual"),
+        *UNIT_KEYS, (F.col("pred_direto") == F.col("pred_lido")).alias("igual"),
     )
 
 
@@ -254,7 +300,7 @@ def tree_leaf_table(spark, folder):
 
 def risk_ranking(spark, folder):
     options = suite.SuiteOptions(
-        TARGET, UNIT_KEYS, NUMERIC, CATEGORICAL, recipe.SPLIT_YEAR, SMALL_BOOSTING, {}, 5,
+        TARGET, UNIT_KEYS, NUMERIC, CATEGORICAL, recipe.SPLIT_YEAR, SEARCHED_BOOSTING, {}, 5,
         (2, 3), (42,), SMALL_SPACE, 2, 2,
     )
     return suite.scored_table(joined_rows(spark, folder), options)[0]
@@ -273,12 +319,15 @@ def run_campaign(spark, folder):
 
 # -- groups
 
-def _grouped(spark, folder, ks=(2, 3, 4), starts=(42, 43)):
-    train, test = sides(spark, folder)
-    features = fit_features(train, fit_preparation(train, NUMERIC, CATEGORICAL))
-    model, curve = cluster.choose_k(features.transform(train), ks, starts)
-    both = train.unionByName(test)
-    return train, both, features, model, curve
+def _grouped(spark, folder):
+    """Groups for the best k of 2 to 8, each from ten starts."""
+    def make():
+        train, test = sides(spark, folder)
+        features = fit_features(train, fit_preparation(train, NUMERIC, CATEGORICAL))
+        prepared = materialize(features.transform(train), "prepared")
+        model, curve = cluster.choose_k(prepared, tuple(range(2, 9)), tuple(range(42, 52)))
+        return train, train.unionByName(test), features, model, curve
+    return once(spark, folder, "groups", make)
 
 
 def kmeans_select(spark, folder):
@@ -287,12 +336,12 @@ def kmeans_select(spark, folder):
 
 
 def kmeans_assign(spark, folder):
-    _, both, features, model, _ = _grouped(spark, folder, (3,))
+    _, both, features, model, _ = _grouped(spark, folder)
     return cluster.assign(model, features, both).select(*UNIT_KEYS, "cluster")
 
 
 def _profiles(spark, folder):
-    _, both, features, model, _ = _grouped(spark, folder, (3,))
+    _, both, features, model, _ = _grouped(spark, folder)
     cols = [TARGET, "tdi_em", "reprov_em", "repet_em", "atu_em"]
     return cluster.cluster_profiles(cluster.assign(model, features, both), cols, TARGET), cols
 
@@ -351,12 +400,12 @@ def scenario_changes(spark, folder):
 
 def scenario_model(spark, folder):
     """What-if with a fitted model: the same rows scored before and after."""
-    train, test = sides(spark, folder)
+    train, _ = sides(spark, folder)
     preparation = fit_preparation(train, NUMERIC, CATEGORICAL)
     model = models.fit(train, TARGET, preparation, models.tree())
     inputs = preparation.input_columns()
     fixed = [c for c in inputs if c not in SCENARIO_INPUTS]
-    rows = test.select("ent", *inputs, "aprov_em")
+    rows = joined_rows(spark, folder).select("ent", *inputs, "aprov_em")
     grid = scenario.scenario_grid(rows, ["ent", *fixed], SCENARIO_INPUTS, SCENARIOS)
     return scenario.score_grid(grid, model, inputs, SCENARIO_INPUTS).select(
         *UNIT_KEYS, "cenario", "pred_original", "pred_simulada", "diferenca", "efeito"
@@ -370,7 +419,8 @@ QUERIES = {
         scenario_grid, scenario_delta, scenario_text, scenario_changes, scenario_model, ridge_fit,
         boosting_fit, tree_fit, compare_models, compare_text, residual_box, missing_impact,
         tune_boosting, learning_curve, perm_importance, model_roundtrip, score_batch,
-        tree_leaf_table, kmeans_select, kmeans_assign, cluster_profiles, cluster_text, pca_2d,
+        tree_leaf_table, residual_box_formula, compare_text_formula, cluster_profiles_given,
+        kmeans_select, kmeans_assign, cluster_profiles, cluster_text, pca_2d,
         risk_ranking, run_campaign,
     )
 } | {"standardize": standardize_rows}

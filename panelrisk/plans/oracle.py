@@ -422,6 +422,12 @@ ORACLE: dict[str, str] = {
     "outliers_period": f"{BASE}, {BOX} select ent, ano, periodo, aband_em from fenced"
     " where not inside",
     "extreme_years": _extremes(),
+    "extreme_changes": f"{P_YEAR}, c as (select ano, {_pct('evasao_em')} as v from yearly),"
+    " k as (select * from c where v is not null) select 'evasao_em' as indicator,"
+    " (select ano from k order by v desc, ano limit 1) as ano_pior,"
+    f" {rnd('(select max(v) from k)', 2)} as var_pior,"
+    " (select ano from k order by v, ano limit 1) as ano_melhor,"
+    f" {rnd('(select min(v) from k)', 2)} as var_melhor",
     "series_delta": f"{P_YEAR}, l as (select * from ({long('yearly', THREE, ['ano'])})"
     " where value is not null), e as (select indicator, min(ano) as ano_ini, max(ano) as ano_fim,"
     f" {rnd('first(value order by ano)', 1)} as val_ini,"

@@ -267,6 +267,10 @@ def extreme_years(spark, folder):
     return series.extreme_years(year_integrated(spark, folder), ["evasao_em", "aband_em", "tdi_em"])
 
 
+def extreme_changes(spark, folder):
+    return series.extreme_changes(yoy_change(spark, folder), "evasao_em")
+
+
 def series_delta(spark, folder):
     return series.series_delta(year_integrated(spark, folder), ["evasao_em", "aband_em", "tdi_em"])
 
@@ -438,7 +442,7 @@ QUERIES = {
         yearly_means,
         missing_by_column, missing_global, table_shapes, describe_long, exec_summary, corr_matrix,
         corr_target, corr_strength, corr_findings, trend_line, trend_points, histogram25,
-        boxplot_period, outliers_period, extreme_years, series_delta, latest_vs_prev, kpi_cards,
+        boxplot_period, outliers_period, extreme_years, extreme_changes, series_delta, latest_vs_prev, kpi_cards,
         improvement_count, shock_means, period_compare, distinct_years, sparse_columns,
         rows_with_any_null, best_per_group, project_trend, regression_metrics, yoy_change,
         yoy_change_by_unit, risk_rank_dense, top_risk, top_missing, row_top_indicators,

@@ -9,7 +9,7 @@ from panelrisk.operators import stats
 from panelrisk.plans import queries
 from panelrisk.settings import MISSING_LABEL
 from panelrisk.sources import tables
-from panelrisk.storage import materialize, release, run_dir
+from panelrisk.storage import delete, materialize_at, new_path, run_dir, stored_bytes
 
 SCHEMA = StructType([StructField("ano", IntegerType()), StructField("x", DoubleType()), StructField("y", DoubleType())])
 
@@ -72,11 +72,11 @@ def test_partitioned_writes_make_few_files(spark, tmp_path):
     assert found.count() == 1667 and "PartitionFilters: [isnotnull(ano" in found._jdf.queryExecution().executedPlan().toString()
 
 
-def test_run_folder_is_removed(spark):
-    path = run_dir(spark).removeprefix("file:")
-    materialize(spark.range(3).select(half_even("id", 1).alias("v")), "gone")
-    import os
-
-    assert os.path.isdir(path)
-    release(spark)
-    assert not os.path.isdir(path)
+def test_stored_tables_are_measured_and_removed(spark):
+    path = new_path(spark, "gone")
+    assert path.startswith(run_dir(spark))
+    materialize_at(spark.range(3).select(half_even("id", 1).alias("v")), path)
+    assert stored_bytes(spark, path) > 0
+    delete(spark, path)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
