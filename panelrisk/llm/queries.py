@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelrisk.llm import bpe, decontamination, jaccard, language, neighbours, pii, quality, repeats, scoring, sharding
+from panelrisk.llm.oracle import ORACLE_SQL  # noqa: F401
 from panelrisk.llm.sampling import remainder
 from panelrisk.sources.tables import parquet_table
 
@@ -75,4 +76,3 @@ QUERIES = {
     "op5_neighbours": op5_neighbours, "op6_jaccard": op6_jaccard, "op7_language": op7_language,
     "op8_scoring": op8_scoring, "op9_decontamination": op9_decontamination, "op10_pii": op10_pii,
 }
-ORACLE_SQL: dict[str, str] = {}
