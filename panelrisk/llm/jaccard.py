@@ -4,9 +4,10 @@ Exact join with a prefix index. The n-grams of a set are put in one global order
 frequent ones last; linked sets share an n-gram among the first (1 - t)|x| + 1.
 Two relations between sets save work:
 
-* Index lists are read by position: two sets that meet at positions i and j can
-  share at most min(i, j) + 1 + min(rest of x, rest of y) n-grams, so whole parts
-  of a list are skipped without looking at the sets, and so are sizes too far apart.
+* Index lists are read by position: two sets whose first common n-gram stands at
+  positions i and j share at most min(|x| - i, |y| - j) n-grams, so whole parts of a
+  list are skipped without looking at the sets, and so are sizes too far apart. A
+  linked pair passes at its first common n-gram, whatever happens at later ones.
 * Answers are derived from those of similar sets. Equal sets are one. In every
   list all members are first compared with one leader; members linked to it share
   its group, so their mutual comparisons are skipped. Other leaders follow in
@@ -20,11 +21,12 @@ sets are in one group already. The order of n-grams decides speed, never results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from panelrisk.llm import bytesops as B
 from panelrisk.llm.scratch import Scratch
@@ -33,7 +35,9 @@ WORDS = 5
 THRESHOLD = (80, 100)   # intersection * 100 >= union * 80
 FREQUENT = 1 << 17      # n-grams put last in the order (one megabyte)
 LOCAL_COUNT = 3         # rows of a batch that share an n-gram before it may count as frequent
+STALLED = 0.7           # share of open pairs that a round of leaders must not leave
 ROUNDS = 8              # leaders tried before remaining pairs are compared one by one
+COMPARED = 128          # pairs whose texts are in memory at once
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -147,8 +151,8 @@ def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, COMPARED):
+                batch = whole.slice(at, COMPARED)
                 link = []
                 for x, y in zip(sets(batch.column("za")), sets(batch.column("zb"))):
                     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -162,6 +166,18 @@ def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
         run, "a long, b long, link boolean")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside send at most ``rows`` rows at once to Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, label) with the smallest node of each connected part; edges are (a, b).
 
@@ -193,10 +209,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _possible(x: str, y: str) -> str:
-    """SQL: the sizes and positions of two index entries still allow a link."""
+    """SQL: the sizes and positions of two entries allow a link whose first common n-gram is here."""
     t, s = THRESHOLD
     least = f"{t} * ({x}.n + {y}.n)"  # overlap * (s + t) >= t * (|x| + |y|)
-    most = f"(least({x}.pos, {y}.pos) + 1 + least({x}.n - {x}.pos, {y}.n - {y}.pos) - 1)"
+    most = f"least({x}.n - {x}.pos, {y}.n - {y}.pos)"
     return f"{most} * {s + t} >= {least} and least({x}.n, {y}.n) * {s} >= greatest({x}.n, {y}.n) * {t}"
 
 
@@ -213,7 +229,7 @@ def linked_groups(docs: DataFrame, words: int = WORDS, frequent: int = FREQUENT)
     source = source.withColumn("uid", F.xxhash64("doc_id", "text"))
     sets = scratch.write(_prefixes(source, frequent_grams(source, words, frequent), words), "sets")
     labels = _group_sets(source, sets, scratch, words)
-    own = sets.select("doc_id", "sid", "n").join(labels, "sid", "left")
+    own = sets.select("doc_id", "sid", "n").join(labels.drop("shared"), "sid", "left")
     own = scratch.write(own.select("doc_id", "n", F.coalesce("comp", "sid").alias("comp")), "own")
     smallest = own.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least_id"))
     return own.join(smallest, "comp", "left").select(
@@ -223,21 +239,23 @@ def linked_groups(docs: DataFrame, words: int = WORDS, frequent: int = FREQUENT)
 
 
 def _group_sets(source: DataFrame, sets: DataFrame, scratch: Scratch, words: int) -> DataFrame:
-    """(sid, comp) of the sets that may be linked to another one."""
+    """(sid, shared, comp) of the sets that may be linked to another one."""
     entries = (
         sets.where("n > 0").dropDuplicates(["sid"])
         .select("sid", "n", F.posexplode("prefix").alias("pos", "gram"))
     )
     entries = scratch.write(entries, "entries")
-    met = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("_c")).where("_c >= 2").select("gram")
+    met = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("_c")).where("_c >= 2")
     lists = scratch.write(entries.join(met, "gram"), "lists")
     scratch.drop("entries")
     # a text for each set that met another: any of its documents
-    wanted = lists.select("sid").distinct()
-    reps = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("uid").alias("uid"))
+    # how much a set shares with others: the least changed of many near copies shares most
+    wanted = scratch.write(lists.groupBy("sid").agg(F.avg("_c").alias("shared")), "wanted")
+    lists = lists.drop("_c")
+    reps = sets.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.min("uid").alias("uid"))
     texts = scratch.write(_texts(source, reps), "texts")
-    comp = scratch.write(wanted.select("sid", F.col("sid").alias("comp")), "comp-0")
-    checked = None
+    comp = wanted.select("sid", "shared", F.col("sid").alias("comp"))
+    checked = before = None
     for turn in range(ROUNDS + 1):
         open_lists, remaining, size = _open_lists(lists, comp, scratch, turn)
         if turn:
@@ -245,11 +263,14 @@ def _group_sets(source: DataFrame, sets: DataFrame, scratch: Scratch, words: int
         lists = open_lists
         if not remaining:
             break
-        last = turn == ROUNDS or (turn > 0 and remaining <= 2 * size)
+        # leaders go on while they settle lists; what they leave is compared pair by pair
+        settled = before is not None and (remaining <= 2 * size or remaining > STALLED * before)
+        last, before = turn == ROUNDS or settled, remaining
         pairs = _all_pairs(lists) if last else _leader_pairs(lists, turn)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        found = scratch.write(_compare(pairs, texts, words), f"found-{turn}")
+        with small_batches(source.sparkSession, COMPARED):
+            found = scratch.write(_compare(pairs, texts, words), f"found-{turn}")
         checked = found.select("a", "b") if checked is None else checked.unionByName(found.select("a", "b"))
         links = found.where("link").select("a", "b")
         if links.limit(1).count():
@@ -261,7 +282,7 @@ def _group_sets(source: DataFrame, sets: DataFrame, scratch: Scratch, words: int
 
 def _open_lists(lists: DataFrame, comp: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, int, int]:
     """Lists that still hold several groups, how many pairs of different groups, and their entries."""
-    now = lists.drop("comp").join(comp, "sid")
+    now = lists.drop("comp", "shared").join(comp, "sid")
     mixed = now.groupBy("gram").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi")
     kept = scratch.write(now.join(mixed.select("gram"), "gram", "left_semi"), f"lists-{turn}")
     parts = kept.groupBy("gram", "comp").agg(F.count(F.lit(1)).cast("double").alias("c"))
@@ -271,9 +292,13 @@ def _open_lists(lists: DataFrame, comp: DataFrame, scratch: Scratch, turn: int)
 
 
 def _leader_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Every entry with the leader of its list, where sizes and positions allow a link."""
-    chosen = F.struct(F.xxhash64(F.lit(turn), "sid").alias("h"), "sid", "n", "pos", "comp")
-    leaders = lists.groupBy("gram").agg(F.min(chosen).alias("y"))
+    """Every entry with the leader of its list, where sizes and positions allow a link.
+
+    The leader shares most with others; later turns take it from another half of the sets.
+    """
+    half = F.xxhash64("sid").bitwiseAND(F.lit(1 << turn)) if turn else F.lit(0)
+    chosen = F.struct((half != 0).alias("half"), "shared", "sid", "n", "pos", "comp")
+    leaders = lists.groupBy("gram").agg(F.max(chosen).alias("y"))
     x = lists.join(leaders, "gram").where("comp <> y.comp").selectExpr("struct(sid, n, pos) as x", "y")
     return x.where(_possible("x", "y")).selectExpr(
         "least(x.sid, y.sid) as a", "greatest(x.sid, y.sid) as b").distinct()
@@ -292,7 +317,7 @@ def _joined(comp: DataFrame, links: DataFrame, scratch: Scratch, turn: int) -> D
     to = comp.select(F.col("sid").alias("b"), F.col("comp").alias("cb"))
     edges = links.join(of, "a").join(to, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     label = components(edges.distinct(), scratch, f"cc-{turn}").select(F.col("node").alias("comp"), "label")
-    out = comp.join(label, "comp", "left").select("sid", F.coalesce("label", "comp").alias("comp"))
+    out = comp.join(label, "comp", "left").select("sid", "shared", F.coalesce("label", "comp").alias("comp"))
     return scratch.write(out, f"comp-{turn + 1}")
 
 
