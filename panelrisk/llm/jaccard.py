@@ -146,8 +146,11 @@ def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     def sets(column: pa.Array) -> list[np.ndarray]:
         unpack = zstandard.ZstdDecompressor()
         raw = pa.array([unpack.decompress(z.as_py()) for z in column], pa.large_binary())
-        grams, first = shingles(raw, words)
-        return [grams[i:j] for i, j in zip(first[:-1], first[1:])]
+        out: list[np.ndarray] = []
+        for piece in B.pieces(pa.RecordBatch.from_arrays([raw], names=["text"]), "text"):
+            grams, first = shingles(piece.column("text"), words)
+            out += [grams[i:j] for i, j in zip(first[:-1], first[1:])]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
