@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import mmap
+import os
+
 import numpy as np
 
 _COUNT = np.array([bin(b).count("1") for b in range(256)], np.int64)
@@ -17,8 +21,10 @@ class EliasFano:
         self.n = len(values)
         top = int(values[-1]) + 1 if self.n else 1
         self.low_bits = max(0, (top // max(self.n, 1)).bit_length() - 1)
-        bits = (values[:, None] >> np.arange(self.low_bits, dtype=np.uint64)) & np.uint64(1)
-        low = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
+        bits = np.empty((self.n, self.low_bits), np.uint8)
+        for k in range(self.low_bits):
+            bits[:, k] = (values >> np.uint64(k)) & np.uint64(1)
+        low = np.packbits(bits.ravel(), bitorder="little")
         self.low = np.concatenate([low, np.zeros(9, np.uint8)])
         high = (values >> np.uint64(self.low_bits)).astype(np.int64) + np.arange(self.n)
         unary = np.zeros(int(high[-1]) + 1 if self.n else 1, np.uint8)
@@ -124,33 +130,53 @@ class NgramTrie:
         return self.third.find(context.astype(np.uint64) * np.uint64(self.span) + relative.astype(np.uint64), begin, end)
 
     def save(self, path: str) -> None:
-        """One uncompressed array file per level part, to be mapped into memory."""
-        import os
-
+        """All levels one after the other in one file of a folder, to be mapped into memory."""
         os.makedirs(path, exist_ok=True)
+        arrays = {}
         for name, value in self.__dict__.items():
             parts = value.__dict__ if hasattr(value, "__dict__") else {"value": value}
             for part, v in parts.items():
-                if part != "ranks":
-                    np.save(f"{path}/{name}.{part}.npy", np.asarray(v))
+                arrays[f"{name}.{part}"] = np.asarray(v)
+        write_arrays(f"{path}/levels", arrays)
 
     @classmethod
     def load(cls, path: str) -> NgramTrie:
-        """The trie with its arrays mapped from the files."""
+        """The trie with its arrays mapped from the file; pages are read where a search touches them."""
+        arrays = map_arrays(f"{path}/levels")
         out = cls.__new__(cls)
-        kinds = {"begin": EliasFano, "follow": EliasFano, "third_begin": EliasFano, "third": EliasFano,
-                 "pair_p": Quantised, "word_back": Quantised, "triple_p": Quantised, "pair_back": Quantised}
-        for name in ("words", "span"):
-            setattr(out, name, int(np.load(f"{path}/{name}.value.npy")))
-        for name, kind in kinds.items():
-            part = kind.__new__(kind)
-            if kind is EliasFano:
-                part.__setstate__({
-                    "n": int(np.load(f"{path}/{name}.n.npy")), "low_bits": int(np.load(f"{path}/{name}.low_bits.npy")),
-                    "low": np.load(f"{path}/{name}.low.npy", mmap_mode="r"),
-                    "high": np.load(f"{path}/{name}.high.npy", mmap_mode="r")})
-            else:
-                part.table = np.load(f"{path}/{name}.table.npy")
-                part.codes = np.load(f"{path}/{name}.codes.npy", mmap_mode="r")
-            setattr(out, name, part)
+        for name, v in arrays.items():
+            name, part = name.split(".")
+            if part == "value":
+                setattr(out, name, int(v))
+                continue
+            if name not in out.__dict__:
+                kind = EliasFano if f"{name}.high" in arrays else Quantised
+                setattr(out, name, kind.__new__(kind))
+            getattr(out, name).__dict__[part] = int(v) if part in ("n", "low_bits") else v
         return out
+
+
+def write_arrays(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """A line with names, types, shapes and places, and the arrays, each at a multiple of 8 bytes."""
+    head, at = {}, 0
+    for name, v in arrays.items():
+        head[name] = [v.dtype.str, list(v.shape), at]
+        at += -(-v.nbytes // 8) * 8
+    line = json.dumps(head).encode()
+    line += b" " * (-(len(line) + 1) % 8) + b"\n"
+    with open(path, "wb") as file:
+        file.write(line)
+        for v in arrays.values():
+            file.write(v.tobytes())
+            file.write(bytes(-v.nbytes % 8))
+
+
+def map_arrays(path: str) -> dict[str, np.ndarray]:
+    with open(path, "rb") as file:
+        line = file.readline()
+        held = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+    out = {}
+    for name, (kind, shape, at) in json.loads(line).items():
+        size = int(np.prod(shape, dtype=np.int64))
+        out[name] = np.frombuffer(held, kind, size, len(line) + at).reshape(shape) if size else np.zeros(shape, kind)
+    return out

@@ -1,15 +1,19 @@
 """Log probability of texts under a word trigram model in an Elias-Fano trie.
 
 Counts cover all training documents. The model interpolates trigrams, bigrams and
-an add-half unigram estimate with absolute discounting. What is broadcast has a
-size that does not grow with the corpus, because it is cut by relative frequency:
-at most 1/``HEAD`` words have a share of ``HEAD``, at most 1/``KEEP`` n-grams a
-share of ``KEEP``. All other words keep their exact counts in a table of their
-own size; their occurrences are joined with it.
+an add-half unigram estimate with absolute discounting. It holds every n-gram that
+occurs ``LEAST`` times, whatever the size of the corpus, and so grows with it: the
+n-grams are dealt by their middle word to parts of about ``PART`` training tokens,
+and the levels of each part are a file in the shared folder. A task maps one part
+at a time and looks up the distinct n-grams of its texts there. Words that have a
+share of ``HEAD`` (at most 1/``HEAD``) are broadcast with their counts; the
+occurrences of all others are joined with the table of counts.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,15 +23,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from panelrisk.llm import bytesops as B
-from panelrisk.llm.eliasfano import NgramTrie
+from panelrisk.llm.eliasfano import NgramTrie, map_arrays, write_arrays
 from panelrisk.llm.scratch import Scratch
 
 HEAD = 2.0 ** -20   # share of tokens from which a word is looked up in memory
-KEEP = 2.0 ** -17   # share of tokens from which a bigram or trigram is kept
+LEAST = 2.0         # occurrences from which a word, bigram or trigram is kept, at every size
+KEEP = 0.0          # share of tokens that it must have besides; not used unless asked for
+PART = 4_000_000    # training tokens whose n-grams make one part
 DISCOUNT = 0.75
 FLUSH = 4_000_000   # tokens counted together in a task
+GRAMS = 1_000_000   # the same for n-grams, which take more memory a token
 END = np.uint64(0x0DDC0FFEE0DDF00D)
-_BITS = 20          # bits of a word number in a packed n-gram; 1/KEEP numbers fit
+CONTEXT, FOLLOWER = -1, -2  # roles of a bigram in a part
+_BITS = 31          # bits of a word number in a packed bigram
+_MASK = (1 << _BITS) - 1
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,29 +79,116 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_grams(texts: DataFrame, words: np.ndarray, pairs: np.ndarray | None) -> DataFrame:
-    """Counts of bigrams of the given words, or of trigrams of the given (packed, sorted) bigrams."""
-    shared = texts.sparkSession.sparkContext.broadcast((words, pairs))
+class Vocabulary:
+    """Words with the model's least count in hash order, in mapped files of one hash range each."""
+
+    def __init__(self, files: list[tuple[int, str]]):
+        self.first = np.concatenate([[0], np.cumsum([n for n, _ in files])]).astype(np.int64)
+        self.paths, self.opened = [p for _, p in files], None
+
+    def __getstate__(self):
+        return {"first": self.first, "paths": self.paths, "opened": None}
+
+    def _maps(self) -> list:
+        if self.opened is None:
+            self.opened = [map_arrays(p) for p in self.paths]
+        return self.opened
+
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 for a word that is not here."""
+        out = np.full(len(h), -1, np.int64)
+        if not self.paths:
+            return out
+        of = _range_of(h, len(self.paths))
+        for k, part in enumerate(self._maps()):
+            spot = np.flatnonzero(of == k) if len(self.paths) > 1 else np.arange(len(h))
+            found = B.membership(part["word"], h[spot])
+            out[spot] = np.where(found >= 0, found + self.first[k], -1)
+        return out
+
+    def counts(self, number: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(number), np.int64)
+        of = np.searchsorted(self.first, number, "right") - 1
+        for k, part in enumerate(self._maps()):
+            spot = np.flatnonzero(of == k)
+            out[spot] = part["c"][number[spot] - self.first[k]]
+        return out
+
+
+def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def store_vocabulary(table: DataFrame, least: float, size: int, folder: str) -> Vocabulary:
+    """One file for each of the hash ranges; ``size`` words lie in a range on average."""
+    often = table.where(F.col("c") >= least)
+    ranges = max(1, -(-often.count() // size))
+    place = F.shiftright(F.shiftrightunsigned("word", 32) * F.lit(ranges), 32).cast("int")
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        words = rows["word"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(words)
+        path = f"{folder}/words-{uuid.uuid4().hex}"
+        os.makedirs(folder, exist_ok=True)
+        write_arrays(path, {"word": words[order], "c": rows["c"].to_numpy(np.int64)[order]})
+        return pd.DataFrame({"k": [int(rows["k"].iloc[0])], "n": [len(rows)], "path": [path]})
+
+    made = often.withColumn("k", place).groupBy("k").applyInPandas(write, "k int, n long, path string").collect()
+    files = {r["k"]: (r["n"], r["path"]) for r in made}  # one row for each range
+    if len(files) == ranges:
+        return Vocabulary([files[k] for k in range(ranges)])
+    if not files:
+        return Vocabulary([])
+    empty = f"{folder}/words-none"
+    os.makedirs(folder, exist_ok=True)
+    write_arrays(empty, {"word": np.zeros(0, np.uint64), "c": np.zeros(0, np.int64)})
+    return Vocabulary([files.get(k, (0, empty)) for k in range(ranges)])
+
+
+def count_grams(texts: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
+    """(pair, last, c): counts of n-grams of words that are in the vocabulary.
+
+    ``pair`` holds the numbers of two words; ``last`` is the third, -1 for bigrams.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def flush(held: list) -> pa.RecordBatch:
+        pair, last = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64),) * 2
+        pair, last, n = _distinct(pair, last)[:3]
+        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(last), pa.array(n)], names=["pair", "last", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = shared.value
-        counter = _Counter("gram")
+        held, size = [], 0
         for batch in batches:
             for piece in B.pieces(batch, "text"):
                 h, row = tokens(piece.column("text"))
-                number = B.membership(words, h)
+                number = shared.value.numbers(h)
                 ok = (number[1:] >= 0) & (number[:-1] >= 0) & (row[1:] == row[:-1])
-                two = (number[:-1] << _BITS) | number[1:]
-                if pairs is None:
-                    yield from counter.add(two[ok])
-                    continue
-                kept = np.zeros(len(two), bool)
-                kept[ok] = B.membership(pairs, two[ok]) >= 0
-                three = np.flatnonzero(kept[1:] & kept[:-1])
-                yield from counter.add((two[three] << _BITS) | number[three + 2])
-        yield counter.flush()
-
-    return texts.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+                two = number[:-1] << _BITS | number[1:]
+                if order == 2:
+                    held.append((two[ok], np.full(ok.sum(), -1, np.int64)))
+                else:
+                    at = np.flatnonzero(ok[1:] & ok[:-1])
+                    held.append((two[at], number[at + 2]))
+                size += len(held[-1][0])
+                if size >= GRAMS:
+                    yield flush(held)
+                    held, size = [], 0
+        yield flush(held)
+
+    return texts.mapInArrow(run, "pair long, last long, c long").groupBy("pair", "last").agg(F.sum("c").alias("c"))
+
+
+def _distinct(pair: np.ndarray, last: np.ndarray) -> tuple:
+    """Distinct rows in order, how often each is there, a place of each, and the number of each row's own."""
+    order = np.lexsort((last, pair))
+    a, b = pair[order], last[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(new)
+    back = np.empty(len(a), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return a[first], b[first], np.diff(np.append(first, len(a))), order[first], back
 
 
 @dataclass
@@ -101,19 +197,40 @@ class TrigramModel:
     counts: np.ndarray       # their counts
     total: int               # N
     distinct: int            # V
-    words: np.ndarray        # hashes of the words of n-grams, sorted
-    trie: NgramTrie
+    vocabulary: Vocabulary   # the words of n-grams
+    parts: int
+    spread: dict[int, int]   # over how many parts the n-grams around a very frequent word are dealt
+    paths: dict[int, str]    # the levels of each part
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
+    def part_of(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Part of the n-grams with v in the middle and u (-1: none) before it."""
+        at = B.mix(v.astype(np.uint64))
+        for word, times in self.spread.items():  # at most ``parts`` words
+            spot = np.flatnonzero(v == word)
+            at[spot] += B.mix((u[spot] + 1).astype(np.uint64)) % np.uint64(times)
+        return (at % np.uint64(self.parts)).astype(np.int64)
+
+    def parts_after(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in v, and all parts that hold the followers of the word there."""
+        times = np.ones(len(v), np.int64)
+        for word, n in self.spread.items():
+            times[v == word] = min(n, self.parts)
+        place = np.repeat(np.arange(len(v)), times)
+        turn = np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
+        return place, ((B.mix(v[place].astype(np.uint64)) + turn.astype(np.uint64)) % np.uint64(self.parts)).astype(np.int64)
+
 
 def _often(counts: DataFrame, least: float) -> pd.DataFrame:
     # at most one row per share: the shares of all rows sum to one
     return counts.where(F.col("c") >= least).toPandas()
 
 
-def train(texts: DataFrame, scratch: Scratch, head: float = HEAD, keep: float = KEEP) -> tuple[TrigramModel, DataFrame]:
+def train(
+    texts: DataFrame, scratch: Scratch, head: float = HEAD, keep: float = KEEP, part: int = PART
+) -> tuple[TrigramModel, DataFrame]:
     """Model and the table (word, c) of all training tokens."""
     table = scratch.write(count_words(texts), "words")
     n, v = table.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -122,41 +239,110 @@ def train(texts: DataFrame, scratch: Scratch, head: float = HEAD, keep: float =
     hashes = often["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     hashes, counts = hashes[order], often["c"].to_numpy(np.int64)[order]
-    least = max(2.0, keep * n)
-    chosen = counts >= least
-    words, word_c = hashes[chosen], counts[chosen]
-    pairs, pair_c = _kept(count_grams(texts, words, None), least)
-    triples, triple_c = _kept(count_grams(texts, words, pairs), least)
-    model = TrigramModel(hashes, counts, n, int(v), words, None)
-    model.trie = _trie(model, words, word_c, pairs, pair_c, triples, triple_c)
+    least = max(LEAST, keep * n)
+    folder = mounted(scratch.folder) + "/levels"
+    vocabulary = store_vocabulary(table, least, part, folder)
+    hot = _often(table, max(part, least))  # at most n / part words
+    number = vocabulary.numbers(hot["word"].to_numpy(np.int64).view(np.uint64))
+    spread = {int(k): int(-(-c // part)) for k, c in zip(number, hot["c"])}
+    model = TrigramModel(hashes, counts, n, int(v), vocabulary, max(1, -(-n // part)), spread, {})
+    pairs = scratch.write(count_grams(texts, vocabulary, 2).where(F.col("c") >= least), "pairs")
+    triples = scratch.write(count_grams(texts, vocabulary, 3).where(F.col("c") >= least), "triples")
+    model.paths = _store_parts(pairs.unionByName(triples), model, folder)
+    scratch.drop("pairs", "triples")
     return model, table
 
 
-def _kept(grams: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    found = _often(grams, least)
-    keys = found["gram"].to_numpy(np.int64)
-    order = np.argsort(keys)
-    return keys[order], found["c"].to_numpy(np.int64)[order]
+def mounted(folder: str) -> str:
+    """Path of the shared folder for open(); its files are mapped into memory."""
+    if not (folder.startswith("file:") or "://" not in folder):
+        raise ValueError("spark.checkpoint.dir must be a mounted folder: the levels of the model are mapped from it")
+    return "/" + folder.removeprefix("file:").lstrip("/")
+
 
+def _store_parts(grams: DataFrame, model: TrigramModel, folder: str) -> dict[int, str]:
+    """Deal the n-grams to the parts and write the levels of each.
 
-def _trie(model: TrigramModel, words, word_c, pairs, pair_c, triples, triple_c) -> NgramTrie:
-    mask = (1 << _BITS) - 1
-    u, v = pairs >> _BITS, pairs & mask
+    A part has the trigrams of its middle words, their contexts (``CONTEXT``) and
+    all followers of those words (``FOLLOWER``).
+    """
+    shared = grams.sparkSession.sparkContext.broadcast(model)
+    names = ["part", "pair", "last", "c"]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair, last, c = (batch.column(x).to_numpy() for x in names[1:])
+            u, v = pair >> _BITS, pair & _MASK
+            part = shared.value.part_of(u, v)
+            two = np.flatnonzero(last < 0)
+            place, after = shared.value.parts_after(u[two])
+            place = two[place]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([part, after])), pa.array(np.concatenate([pair, pair[place]])),
+                pa.array(np.concatenate([np.where(last < 0, CONTEXT, last), np.full(len(place), FOLLOWER)])),
+                pa.array(np.concatenate([c, c[place]]))], names=names)
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        path = f"{folder}/part-{uuid.uuid4().hex}"
+        words, trie = _levels(shared.value, *(rows[x].to_numpy(np.int64) for x in names[1:]))
+        trie.save(path)
+        write_arrays(f"{path}/words", {"words": words})
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "path": [path]})
+
+    dealt = grams.mapInArrow(deal, "part long, pair long, last long, c long")
+    made = dealt.groupBy("part").applyInPandas(write, "part long, path string").collect()  # a row for each part
+    return {r["part"]: r["path"] for r in made}
+
+
+def _levels(model: TrigramModel, pair: np.ndarray, last: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, NgramTrie]:
+    """Words of a part, sorted, and the trie over their places."""
+    triple = last >= 0
+    code, one = np.unique(pair[~triple], return_index=True)
+    pair_c = c[~triple][one]
+    whole = np.isin(code, pair[last == FOLLOWER])  # all followers of the first word are here
+    words = np.unique(np.concatenate([code >> _BITS, code & _MASK]))
+    u, v = np.searchsorted(words, code >> _BITS), np.searchsorted(words, code & _MASK)
+    word_c = model.vocabulary.counts(words)
     base = 10.0 ** model.base(word_c)
     share = np.maximum(pair_c - DISCOUNT, 0) / word_c[u]
-    back = 1 - np.bincount(u, share, len(words)) if len(u) else np.ones(len(words))
-    back = np.clip(back, 1e-9, 1.0)
-    pair_p = share + back[u] * base[v]
-    context, last = triples >> _BITS, triples & ((1 << 2 * _BITS) - 1)
-    at, end = np.searchsorted(pairs, context), np.searchsorted(pairs, last)
-    share3 = np.maximum(triple_c - DISCOUNT, 0) / pair_c[at] if len(at) else np.zeros(0)
-    back3 = 1 - np.bincount(at, share3, len(pairs)) if len(at) else np.ones(len(pairs))
-    back3 = np.clip(back3, 1e-9, 1.0)
-    triple_p = share3 + back3[at] * pair_p[end]
-    return NgramTrie(
-        max(len(words), 1), np.column_stack([u, v]), np.log10(pair_p), np.log10(back),
-        np.column_stack([triples >> 2 * _BITS, (triples >> _BITS) & mask, triples & mask]),
-        np.log10(triple_p), np.log10(back3))
+    back = np.clip(1 - np.bincount(u, np.where(whole, share, 0.0), len(words)), 1e-9, 1.0)
+    pair_p = np.log10(share + back[u] * base[v])
+    if whole.any():
+        pair_p[~whole] = pair_p[whole].mean()  # never read
+    order = np.lexsort((last[triple], pair[triple]))
+    context, third, triple_c = pair[triple][order], last[triple][order], c[triple][order]
+    at = np.searchsorted(code, context)
+    end = np.searchsorted(code, (context & _MASK) << _BITS | third)
+    share3 = np.maximum(triple_c - DISCOUNT, 0) / pair_c[at]
+    back3 = np.clip(1 - np.bincount(at, share3, len(code)), 1e-9, 1.0)
+    triple_p = np.log10(share3 + back3[at] * 10.0 ** pair_p[end])
+    trie = NgramTrie(
+        max(len(words), 1), np.column_stack([u, v]), pair_p, np.log10(back),
+        np.column_stack([u[at], v[at], np.searchsorted(words, third)]), triple_p, np.log10(back3))
+    return words, trie
+
+
+def _looked_up(path: str, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What n-grams of one part add to, or put in place of, the base of w; the part is mapped meanwhile only."""
+    words, trie = map_arrays(f"{path}/words")["words"], NgramTrie.load(path)
+    u, v, w = (B.membership(words, x) for x in (u, v, w))
+    value = np.zeros(len(w))
+    known = np.flatnonzero(v >= 0)
+    value[known] = trie.word_back.get(v[known])
+    pair, before, triple = (np.full(len(w), -1, np.int64) for _ in range(3))
+    has = np.flatnonzero((v >= 0) & (w >= 0))
+    pair[has] = trie.pair(v[has], w[has])
+    replaced = pair >= 0
+    value[replaced] = trie.pair_p.get(pair[replaced])
+    two = np.flatnonzero((u >= 0) & (v >= 0))
+    before[two] = trie.pair(u[two], v[two])
+    both = np.flatnonzero((before >= 0) & replaced)
+    triple[both] = trie.triple(before[both], v[both], pair[both])
+    weight = np.flatnonzero((before >= 0) & (triple < 0))
+    value[weight] += trie.pair_back.get(before[weight])
+    full = triple >= 0
+    value[full] = trie.triple_p.get(triple[full])
+    return value, replaced
 
 
 def score_piece(column: pa.Array, model: TrigramModel) -> dict:
@@ -169,39 +355,26 @@ def score_piece(column: pa.Array, model: TrigramModel) -> dict:
     if len(model.head):
         base[known] = model.base(model.counts[head[known]])
     score = base.copy()
-    number = B.membership(model.words, h)
+    number = model.vocabulary.numbers(h)
     ok = np.zeros(len(h), bool)  # a context stands before the token
     ok[1:] = (number[:-1] >= 0) & (row[1:] == row[:-1])
-    trie = model.trie
     at = np.flatnonzero(ok)
     if len(at):
         # equal contexts and words are looked up once
-        code = (np.where(np.r_[False, False, ok[1:-1]][at] if len(h) > 2 else False, number[at - 2] + 1, 0) << 2 * _BITS + 2) \
-            | (number[at - 1] + 1 << _BITS + 1) | (number[at] + 1)
-        _, one, back = np.unique(code, return_index=True, return_inverse=True)
-        spot = at[one]
-        v, w = number[spot - 1], number[spot]
-        pair = np.full(len(spot), -1, np.int64)
-        has = np.flatnonzero(w >= 0)
-        pair[has] = trie.pair(v[has], w[has])
-        # a pair that is not kept: the weight of the context, and the base that is in score already
-        value = np.where(pair >= 0, 0.0, trie.word_back.get(v))
-        replaced = pair >= 0
-        if replaced.any():
-            value[replaced] = trie.pair_p.get(pair[replaced])
-        before = np.full(len(spot), -1, np.int64)
-        two = np.flatnonzero(ok[spot - 1] & (spot >= 2))
-        before[two] = trie.pair(number[spot[two] - 2], v[two])
-        with_context = np.flatnonzero(before >= 0)
-        both = with_context[pair[with_context] >= 0]
-        triple = np.full(len(spot), -1, np.int64)
-        triple[both] = trie.triple(before[both], v[both], pair[both])
-        weight = with_context[triple[with_context] < 0]
-        value[weight] += trie.pair_back.get(before[weight])
-        full = triple >= 0
-        if full.any():
-            value[full] = trie.triple_p.get(triple[full])
-        score[at] = np.where(replaced[back], value[back], score[at] + value[back])
+        far = np.where(ok[at - 1], number[at - 2], -1)
+        _, _, _, one, back = _distinct((far + 1) << _BITS | number[at - 1], number[at])
+        u, v, w = far[one], number[at - 1][one], number[at][one]
+        value, replaced = np.zeros(len(one)), np.zeros(len(one), bool)
+        part = model.part_of(u, v)
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[order])) + 1
+        for spot in np.split(order, cuts):
+            path = model.paths.get(int(part[spot[0]]))
+            if path is not None:
+                value[spot], replaced[spot] = _looked_up(path, u[spot], v[spot], w[spot])
+        # the base of the word is in score already, or joined later
+        value[replaced] -= model.base(model.vocabulary.counts(w[replaced]))
+        score[at] += value[back]
     tail = ~known
     return {
         "n": np.bincount(row, minlength=n), "known": np.bincount(row, known, n).astype(np.int64),
