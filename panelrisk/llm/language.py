@@ -6,9 +6,8 @@ gets the language of lowest cross-entropy per character. A text whose best
 cross-entropy is above what training texts of that language show is flagged as
 rejected.
 
-The models are fitted on at most ``DOCS_PER_LANGUAGE`` documents per language in
-hash order, and at most ``CHARS_PER_DOC`` letters of each for counting; every
-document is scored on its whole text.
+The models are fitted on the whole texts of at most ``DOCS_PER_LANGUAGE`` documents
+per language in hash order; every document is scored on its whole text.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from panelrisk.llm.sampling import sample_ids
 
 ORDER = 5
 DOCS_PER_LANGUAGE = 800
-CHARS_PER_DOC = 20_000
 ALPHABET = 50_000  # characters an unseen one is drawn from
 SHARPNESS = 25.0   # nats per character that one unit of log odds stands for, inverted
 QUANTILE = 0.999
@@ -176,29 +174,32 @@ def train(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_LANGUAGE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang_of = np.array([names.index(x) for x in batch.column("lang").to_pylist()], np.int32)
-            texts = [t[:CHARS_PER_DOC] for t in clean(batch.column("text").to_pylist())]
-            chars, first = letters(texts)
-            lang = np.repeat(lang_of, np.diff(first))
-            prefix = _char_hash(chars)
-            for order in range(1, ORDER + 1):
-                gram, last = grams(chars, first, order)
-                mixed = _by_key(lang[last].astype(np.int64), gram, np.ones(len(last)))
-                _, where = np.unique(B.mix(gram + lang[last].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
-                spot = last[where]
-                n = len(spot)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(lang[spot]), pa.array(np.full(n, order, np.int32)),
-                    pa.array(mixed.key.view(np.int64)),
-                    pa.array(B.span_hash(prefix, spot - order + 1, spot).view(np.int64)),
-                    pa.array(B.span_hash(prefix, spot - order + 2, spot + 1).view(np.int64)),
-                    pa.array(mixed.value.astype(np.int64)),
-                ], names=["lang", "ord", "gram", "context", "shorter", "n"])
+            for piece in B.pieces(batch, "text"):
+                yield from count_piece(piece)
+
+    def count_piece(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lang_of = np.array([names.index(x) for x in piece.column("lang").to_pylist()], np.int32)
+        chars, first = letters(clean(piece.column("text").to_pylist()))
+        lang = np.repeat(lang_of, np.diff(first))
+        prefix = _char_hash(chars)
+        for order in range(1, ORDER + 1):
+            gram, last = grams(chars, first, order)
+            mixed = _by_key(lang[last].astype(np.int64), gram, np.ones(len(last)))
+            _, where = np.unique(B.mix(gram + lang[last].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
+            spot = last[where]
+            n = len(spot)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(lang[spot]), pa.array(np.full(n, order, np.int32)),
+                pa.array(mixed.key.view(np.int64)),
+                pa.array(B.span_hash(prefix, spot - order + 1, spot).view(np.int64)),
+                pa.array(B.span_hash(prefix, spot - order + 2, spot + 1).view(np.int64)),
+                pa.array(mixed.value.astype(np.int64)),
+            ], names=["lang", "ord", "gram", "context", "shorter", "n"])
 
     pdf = (
         sample.mapInArrow(count, schema)
         .groupBy("lang", "ord", "gram").agg(F.first("context").alias("context"), F.first("shorter").alias("shorter"), F.sum("n").alias("n"))
-        .toPandas()  # bounded by the sample and its characters
+        .toPandas()  # distinct n-grams of up to ORDER characters in at most per_language texts of a language
     )
     counts = {}
     for order in range(1, ORDER + 1):
@@ -218,11 +219,12 @@ def _limits(sample: DataFrame, model: LanguageModel) -> np.ndarray:
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang = np.array([shared.value.names.index(x) for x in batch.column("lang").to_pylist()])
-            chars, first = letters(clean(batch.column("text").to_pylist()))
-            h = shared.value.entropies(chars, first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.int32()), pa.array(h[np.arange(len(lang)), lang])], names=["lang", "h"])
+            for piece in B.pieces(batch, "text"):
+                lang = np.array([shared.value.names.index(x) for x in piece.column("lang").to_pylist()])
+                chars, first = letters(clean(piece.column("text").to_pylist()))
+                h = shared.value.entropies(chars, first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lang, pa.int32()), pa.array(h[np.arange(len(lang)), lang])], names=["lang", "h"])
 
     found = (
         sample.select("lang", "text").mapInArrow(own, "lang int, h double").groupBy("lang")

@@ -80,6 +80,16 @@ def test_language_of_odd_texts(make):
     assert [r["lang_pred"] for r in language.identify(make(["a"]), None).collect()] == ["und"]
 
 
+def test_language_is_learned_from_whole_texts(make):
+    english = "the cat and the dog went over there with that thing "
+    french = "le chat et le chien sont allés là-bas avec cette chose "
+    docs = make([english * 100] * 3, lang="en").unionByName(
+        make([english * 500 + french * 1500], ids=[10], lang="fr"))
+    model = language.train(docs, F.lit(True))
+    rows = language.identify(make(["le chien est avec cette chose", "the dog and that thing"]), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in rows} == {0: "fr", 1: "en"}
+
+
 def test_smoothed_shares_sum_to_one():
     """After every context the model spends at most one, and all of it over the seen characters."""
     texts = ["abracadabra", "barbara"]
