@@ -1,11 +1,14 @@
 """Approximate nearest neighbours by inner product: NN-descent graphs and greedy search.
 
 Equal vectors are one node. Nodes are dealt to blocks of about ``BLOCK`` by hash.
-Each block gets a neighbour graph: from random neighbours, every round joins the
-sampled lists of neighbours (and of reverse neighbours) with themselves, so that
-each node meets the neighbours of its neighbours, and keeps the best. A query
-walks the graph of every block greedily with a list of the ``BEAM`` best nodes;
-the best of all blocks are merged. Scores are exact, membership is approximate.
+Each block gets a neighbour graph: from random neighbours and those in the same
+cell of ``TREES`` random-projection trees, every round joins the sampled lists of
+neighbours (and of reverse neighbours) with themselves, so that each node meets the
+neighbours of its neighbours, and keeps the best. A query walks the graph of every
+block greedily with a list of the ``BEAM`` best nodes; it enters at the cells it
+falls into, which hold its own node, at one node of every component of the graph and
+at some fixed nodes. The best of all blocks are merged. Scores are exact, membership
+is approximate.
 
 ``BEAM`` sets the recall. Memory of a task is one block and ``QUERIES`` queries.
 """
@@ -25,6 +28,8 @@ ROUNDS = 6
 BEAM = 240
 STEP = 6      # nodes opened at once
 QUERIES = 1024
+TREES = 6
+LEAF = 32     # most nodes of a cell, but for equal projections
 
 
 def _usable(vector: Column) -> Column:
@@ -88,16 +93,67 @@ def _improved(candidates: DataFrame, blocks: DataFrame, degree: int) -> DataFram
         score, "block int, at int, near array<int>")
 
 
+class Cells:
+    """Cells of random-projection trees over directions, each cut at medians down to ``leaf`` nodes."""
+
+    def __init__(self, x: np.ndarray, trees: int = TREES, leaf: int = LEAF):
+        self.depth = max(0, int(np.ceil(np.log2(max(len(x), 1) / leaf))))
+        draw = np.random.default_rng(20240611)
+        self.trees = []
+        for _ in range(trees):
+            planes = draw.normal(size=(x.shape[1], self.depth))
+            along = _directions(x) @ planes
+            code, cuts = np.zeros(len(x), np.int64), []
+            for d in range(self.depth):
+                order = np.lexsort((along[:, d], code))
+                count = np.bincount(code, minlength=1 << d)
+                middle = np.minimum(np.cumsum(count) - count + count // 2, len(x) - 1)
+                cuts.append(along[order[middle], d])
+                code = code * 2 + (along[:, d] >= cuts[-1][code])
+            order = np.argsort(code, kind="stable")
+            self.trees.append((planes, cuts, order, np.searchsorted(code[order], np.arange((1 << self.depth) + 1))))
+
+    def members(self) -> list[np.ndarray]:
+        """The nodes of every cell."""
+        return [order[a:b] for _, _, order, first in self.trees for a, b in zip(first[:-1], first[1:])]
+
+    def around(self, q: np.ndarray) -> list[np.ndarray]:
+        """For each row of q the nodes of the cells it falls into."""
+        out: list[list] = [[] for _ in q]
+        for planes, cuts, order, first in self.trees:
+            along = _directions(q) @ planes
+            code = np.zeros(len(q), np.int64)
+            for d, cut in enumerate(cuts):
+                code = code * 2 + (along[:, d] >= cut[code])
+            for near, c in zip(out, code):
+                near.append(order[first[c]:first[c + 1]])
+        return [np.concatenate(near) for near in out]
+
+
+def _directions(x: np.ndarray) -> np.ndarray:
+    length = np.sqrt((x * x).sum(1, keepdims=True))
+    return x / np.where(length > 0, length, 1.0)
+
+
+def _started(rows: pd.DataFrame, degree: int) -> pd.DataFrame:
+    """(block, at, near): the best of random nodes and of those in the same cells."""
+    x = _matrix(rows)
+    draw = np.random.default_rng(int(rows["block"].iloc[0]))
+    near = [[r] for r in draw.integers(0, len(x), (len(x), degree))]
+    for cell in Cells(x).members():
+        for i in cell:
+            near[i].append(cell)
+    near = _best(np.arange(len(x)), [np.concatenate(v) for v in near], x, degree)
+    return pd.DataFrame({"block": rows["block"].iloc[0], "at": np.arange(len(x)), "near": near})
+
+
 def build_graph(
     blocks: DataFrame, scratch: Scratch, degree: int = DEGREE, sample: int = SAMPLE, rounds: int = ROUNDS
 ) -> DataFrame:
     """(block, at, near) after ``rounds`` rounds of joins of neighbours of neighbours."""
-    sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
-    pick = F.transform(
-        F.sequence(F.lit(1), F.lit(degree)),
-        lambda j: F.pmod(F.xxhash64("block", "at", j), F.col("size")).cast("int"))
-    start = blocks.select("block", "at").join(sizes, "block").select("block", "at", pick.alias("near"))
-    graph = scratch.write(_improved(start, blocks, degree), "graph-0")
+    start = blocks.select("block", F.col("at").alias("place"), "vec").groupBy("block").applyInPandas(
+        lambda rows: _started(rows, degree), "block int, at int, near array<int>")
+    graph = scratch.write(start, "graph-0")
     for turn in range(rounds):
         def some(near: str) -> Column:  # a sample in hash order, another one each round
             mixed = F.array_sort(F.transform(near, lambda v: F.struct(F.xxhash64(F.lit(turn), "at", v), v.alias("v"))))
@@ -122,14 +178,16 @@ def build_graph(
 
 
 def _links(near: list, n: int, degree: int) -> np.ndarray:
-    """Neighbours and reverse neighbours of each node, -1 where there are no more."""
+    """All neighbours and then reverse neighbours of each node, -1 where there are no more."""
     source = np.repeat(np.arange(n), [len(v) for v in near])
     target = np.fromiter((v for row in near for v in row), np.int64, len(source))
-    u, v = np.concatenate([source, target]), np.concatenate([target, source])
-    code = np.unique(u * n + v)
-    u, v = code // n, code % n
+    code = np.concatenate([source * n + target, target * n + source])
+    code, one = np.unique(code, return_index=True)  # the first place of a pair is that of the neighbour
+    u, v, reverse = code // n, code % n, one >= len(source)
+    order = np.lexsort((v, reverse, u))
+    u, v = u[order], v[order]
     first = np.searchsorted(u, np.arange(n + 1))
-    width = 3 * degree
+    width = 3 * max(degree, max(map(len, near), default=0))
     place = np.arange(len(u)) - first[u]
     out = np.full((n, width), -1, np.int64)
     kept = place < width
@@ -137,10 +195,29 @@ def _links(near: list, n: int, degree: int) -> np.ndarray:
     return out
 
 
-def greedy_search(x: np.ndarray, links: np.ndarray, q: np.ndarray, k: int, beam: int, step: int = STEP):
-    """Places and scores of the k best nodes that a walk from fixed entries finds."""
+def _components(links: np.ndarray) -> np.ndarray:
+    """One node of every component of the graph."""
+    n = len(links)
+    u = np.repeat(np.arange(n), (links >= 0).sum(1))
+    v = links[links >= 0]
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[u], label[v])
+        new = label.copy()
+        np.minimum.at(new, label[u], low)
+        np.minimum.at(new, label[v], low)
+        new = new[new]
+        if (new == label).all():
+            return np.unique(label)
+        label = new
+
+
+def greedy_search(
+    x: np.ndarray, links: np.ndarray, q: np.ndarray, k: int, beam: int, entries: np.ndarray, step: int = STEP
+):
+    """Places and scores of the k best nodes that a walk from the entries finds."""
     n = len(x)
-    entries = np.arange(n) if n <= beam else np.unique(np.linspace(0, n - 1, 48).astype(np.int64))
+    entries = np.arange(n) if n <= beam else np.unique(entries)
     seen = np.zeros(n, bool)
     seen[entries] = True
     ids, score = entries, x[entries] @ q
@@ -182,10 +259,11 @@ def search(
         x = np.array(rows["vec"].tolist(), np.float64)
         copies = rows["copies"].tolist()
         links = _links([list(v) for v in rows["near"]], len(x), degree)
+        always = np.concatenate([_components(links), np.linspace(0, len(x) - 1, 48).astype(np.int64)])
+        asked = np.array(part["vec"].tolist(), np.float64)
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        for query, vec in zip(part["query_id"], part["vec"]):
-            q = np.asarray(vec, np.float64)
-            ids, score = greedy_search(x, links, q, k + 1, beam)
+        for query, q, around in zip(part["query_id"], asked, Cells(x).around(asked)):
+            ids, score = greedy_search(x, links, q, k + 1, beam, np.concatenate([always, around]))
             for i, s in zip(ids, score):
                 for c in copies[i]:
                     if c != query:

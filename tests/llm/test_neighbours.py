@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from panelrisk.llm import neighbours
@@ -39,3 +40,29 @@ def test_few_and_no_candidates(spark):
     assert len(rows) == 6
     assert neighbours.nearest(table(spark, []), F.lit(True)).count() == 0
     assert neighbours.nearest(table(spark, [[1.0, 2.0]]), F.lit(True)).count() == 0
+
+
+def test_recall_in_tight_groups(spark):
+    """Groups with more near copies than links, in one block, from the first graph and from the built one."""
+    draw = np.random.default_rng(7)
+    for size in (25, 40, 100):
+        centres = draw.normal(size=(2000 // size, 32))
+        x = np.repeat(centres / np.linalg.norm(centres, axis=1)[:, None], size, 0)
+        x = x + draw.normal(size=x.shape) * 0.01
+        x = np.array(x[draw.permutation(len(x))], np.float32).astype(float)
+        rows = pd.DataFrame({"block": 0, "place": np.arange(len(x)), "vec": list(x)})
+        links = neighbours._links(neighbours._started(rows, 20)["near"].tolist(), len(x), 20)
+        hits, asked = 0, x[::50]
+        entries = neighbours._components(links)
+        for i, around in zip(range(0, len(x), 50), neighbours.Cells(x).around(asked)):
+            ids, _ = neighbours.greedy_search(x, links, x[i], 21, 240, np.concatenate([entries, around]))
+            hits += len(set(ids) & set(brute(x, i, 20)))
+        assert hits / (20 * len(asked)) >= 0.9
+    found = neighbours.nearest(table(spark, x), F.col("vec_id") % 50 == 0, k=20).collect()
+    assert sum(r["vec_id"] in brute(x, r["query_id"], 20) for r in found) / (20 * len(asked)) >= 0.9
+
+
+def test_own_links_are_never_cut():
+    near = [[299, 300, 301], *[[0, i - 1] for i in range(1, 302)]]  # all point to node 0
+    links = neighbours._links(near, len(near), 3)
+    assert all(set(row) <= set(links[i].tolist()) for i, row in enumerate(near))
