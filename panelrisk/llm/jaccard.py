@@ -5,11 +5,12 @@ frequent ones last; linked sets share an n-gram among the first (1 - t)|x| + 1.
 Two relations between sets save work:
 
 * Index lists are read by position: two sets whose first common n-gram stands at
-  positions i and j share at most min(|x| - i, |y| - j) n-grams, so whole parts of a
-  list are skipped without looking at the sets, and so are sizes too far apart. A
-  linked pair passes at its first common n-gram, whatever happens at later ones.
-* Answers are derived from those of similar sets. Equal sets are one. In every
-  list all members are first compared with one leader; members linked to it share
+  positions i and j share at most min(|x| - i, |y| - j) n-grams. This and the sizes
+  decide pair by pair before the sets are read; there are no blocks of a list that
+  are skipped as a whole, so the pairs looked at in a long list grow with its square.
+  A linked pair passes at its first common n-gram, whatever happens at later ones.
+* Groups replace answers derived from those of similar sets. Equal sets are one. In
+  every list all members are first compared with one leader; members linked to it share
   its group, so their mutual comparisons are skipped. Other leaders follow in
   further rounds; pairs of different groups that remain are compared one by one.
 
