@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelrisk.llm import bpe, decontamination, jaccard, language, neighbours, pii, quality, repeats, scoring, sharding
+from panelrisk.llm import (
+    bpe, decontamination, jaccard, language, neighbours, pii, quality, repeats, scoring, sharding, spelling, urls, whitening,
+)
 from panelrisk.llm.oracle import ORACLE_SQL  # noqa: F401
 from panelrisk.llm.sampling import remainder
 from panelrisk.sources.tables import parquet_table
@@ -71,8 +73,22 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.replace_values(docs, PII_KEY)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(parquet_table(spark, folder, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(parquet_table(spark, folder, "documents"))
+
+
+def op13_urls(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(parquet_table(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op4_repeats": op4_repeats,
     "op5_neighbours": op5_neighbours, "op6_jaccard": op6_jaccard, "op7_language": op7_language,
     "op8_scoring": op8_scoring, "op9_decontamination": op9_decontamination, "op10_pii": op10_pii,
+    "op11_whitening": op11_whitening, "op12_spelling": op12_spelling, "op13_urls": op13_urls,
 }
