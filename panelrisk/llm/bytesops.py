@@ -57,14 +57,15 @@ def flat_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``PIECE`` bytes of text each (one row at least)."""
+def pieces(batch: pa.RecordBatch, text: str, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``PIECE`` bytes of text, and at most ``rows`` rows, each (one row at least)."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths, dtype=np.int64)
     first = 0
     while first < len(lengths):
         before = ends[first - 1] if first else 0
         last = max(first + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+        last = min(last, first + rows) if rows else last
         yield batch.slice(first, last - first)
         first = last
 

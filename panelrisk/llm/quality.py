@@ -12,6 +12,7 @@ The model is fitted on at most ``SAMPLE`` positives, ``SAMPLE`` unlabelled and
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,8 @@ SAMPLE = 6000
 STEPS, RATE, SHRINK = 400, 0.05, 1e-4
 CUT = 0.3
 BUCKETS = 256
+FOLDS = 3    # parts of the fitting rows, each judged by the others when the prior is estimated
+ROWS = 1024  # texts whose features are in memory at once
 
 
 def features(column: pa.Array) -> np.ndarray:
@@ -110,20 +113,41 @@ class _Adam:
         return RATE * (self.m / (1 - 0.9 ** self.t)) / (np.sqrt(self.v / (1 - 0.999 ** self.t)) + 1e-8)
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def estimate_prior(folds: list[tuple[np.ndarray, np.ndarray]]) -> float:
     """Largest share of positives that the scores of unlabelled rows allow.
 
-    For each cut the share of unlabelled rows above it is compared with that of
-    positives; the smallest ratio, with a margin for the sample size, is kept.
+    ``folds`` holds scores of positives and of unlabelled rows, each by weights that
+    were fitted without them. For each cut, a quantile of the positives of its fold,
+    the share of unlabelled rows above it is compared with that of positives; the
+    smallest ratio, with a margin for the sample size, is kept.
     """
-    cuts = np.quantile(positive, np.linspace(0.02, 0.9, 45))
-    above_p = np.array([(positive >= c).mean() for c in cuts])
-    above_u = np.array([(unlabelled >= c).mean() for c in cuts])
-    noise = np.sqrt(np.log(40) / (2 * len(positive))) + np.sqrt(np.log(40) / (2 * len(unlabelled)))
+    levels = np.linspace(0.02, 0.9, 45)
+    above_p, above_u, positives, unlabelled = np.zeros(45), np.zeros(45), 0, 0
+    for p, u in folds:
+        cuts = np.quantile(p, levels)
+        above_p += (p >= cuts[:, None]).sum(1)
+        above_u += (u >= cuts[:, None]).mean(1) * len(u)
+        positives, unlabelled = positives + len(p), unlabelled + len(u)
+    above_p, above_u = above_p / positives, above_u / unlabelled
+    noise = np.sqrt(np.log(40) / (2 * positives)) + np.sqrt(np.log(40) / (2 * unlabelled))
     best = int(np.argmin((above_u + noise) / above_p))
     return float(np.clip(above_u[best] / above_p[best], 0.05, 0.98))
 
 
+def _held_out_scores(p: np.ndarray, u: np.ndarray, fold_p: np.ndarray, fold_u: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Scores of each fold by weights of the others; a fold without rows of both kinds joins no list."""
+    out = []
+    for k in range(FOLDS):
+        own_p, own_u = fold_p == k, fold_u == k
+        if own_p.any() and own_u.any() and not own_p.all() and not own_u.all():
+            w = _discriminate(p[~own_p], u[~own_u])[:-1]
+            out.append((p[own_p] @ w, u[own_u] @ w))
+    if not out:
+        w = _discriminate(p, u)[:-1]
+        out.append((p @ w, u @ w))
+    return out
+
+
 def _discriminate(p: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Weights that tell positives from unlabelled rows."""
     w, adam = np.zeros(p.shape[1] + 1), _Adam(p.shape[1] + 1)
@@ -136,14 +160,20 @@ def _discriminate(p: np.ndarray, u: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, labelled: np.ndarray, labels: np.ndarray) -> QualityModel:
-    """Non-negative risk minimiser, put on a probability scale by the labelled rows."""
+def fit(
+    positive: np.ndarray, unlabelled: np.ndarray, labelled: np.ndarray, labels: np.ndarray,
+    fold_p: np.ndarray, fold_u: np.ndarray,
+) -> QualityModel:
+    """Non-negative risk minimiser, put on a probability scale by the labelled rows.
+
+    ``fold_p`` and ``fold_u`` deal the documents of both kinds to folds; a document
+    that is of both kinds is in one fold.
+    """
     both = np.vstack([positive, unlabelled]).astype(np.float64)
     mean, scale = both.mean(0), both.std(0)
     scale[scale < 1e-6] = np.inf  # a column without spread has no say
     p, u = (positive - mean) / scale, (unlabelled - mean) / scale
-    apart = _discriminate(p, u)
-    prior = estimate_prior(p @ apart[:-1], u @ apart[:-1])
+    prior = estimate_prior(_held_out_scores(p, u, fold_p, fold_u))
     w, adam = np.zeros(p.shape[1] + 1), _Adam(p.shape[1] + 1)
     for _ in range(STEPS):
         fp, fu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
@@ -192,7 +222,7 @@ def sampled_features(docs: DataFrame, ids: DataFrame) -> list:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in B.pieces(batch, "text"):
+            for piece in B.pieces(batch, "text", ROWS):
                 x = features(piece.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), pa.array([r.tobytes() for r in x], pa.binary())],
@@ -230,19 +260,28 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     is_good, is_bad = set(sets[0]), set(sets[1])
     judged = [i for i in sets[2] if i in is_good or i in is_bad]
     take = lambda keys: np.array([found[i] for i in keys])
-    return fit(take(sets[0]), take(sets[3]), take(judged), np.array([int(i in is_good) for i in judged]))
+    folds = lambda keys: np.array([zlib.crc32(str(i).encode()) // 5 % FOLDS for i in keys])
+    return fit(
+        take(sets[0]), take(sets[3]), take(judged), np.array([int(i in is_good) for i in judged]),
+        folds(sets[0]), folds(sets[3]))
 
 
 def score_documents(docs: DataFrame, model: QualityModel | None, cut: float = CUT) -> DataFrame:
-    """(doc_id, text and all other columns, score, predicted); without a model every score is 0.5."""
+    """Struct ``row`` of all columns, score and predicted; without a model every score is 0.5.
+
+    Null and empty texts get the score of a text without words; equal texts get equal
+    scores, repeated rows and rows without an id one each; an empty table gives no row.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
-    packed = docs.select(F.struct(*names).alias("row"), F.col("text").cast("string").alias("text"))
+    packed = docs.select(F.struct(*[F.col(c).cast("string").alias(c) if c == "text" else c for c in names]).alias("row"))
     schema = T.StructType([packed.schema["row"]]).add("score", T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in B.pieces(batch, "text"):
+            rows = batch.column("row")
+            # the text is a view into the row
+            for piece in B.pieces(pa.RecordBatch.from_arrays([rows, rows.field("text")], names=["row", "text"]), "text", ROWS):
                 if shared.value is None:
                     score = np.full(piece.num_rows, 0.5)
                 else:
