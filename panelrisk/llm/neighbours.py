@@ -45,8 +45,6 @@ def nodes_of(vectors: DataFrame, k: int) -> DataFrame:
     # 0.0 and -0.0 are one value to an inner product
     v = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
     valid = vectors.where(F.col("vec_id").isNotNull()).select("vec_id", v.alias("vec")).where(_usable(F.col("vec")))
-    size = valid.agg(F.max(F.size("vec"))).first()[0] or 0
-    valid = valid.where(F.size("vec") == size)
     rank = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
     return (
         valid.distinct().withColumn("_r", rank).where(F.col("_r") <= k + 1)
@@ -54,14 +52,26 @@ def nodes_of(vectors: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _blocks(nodes: DataFrame, scratch: Scratch, block: int) -> DataFrame:
-    """(block, at, vec, copies) with ``at`` counting from 0 in each block."""
+def _blocks(nodes: DataFrame, scratch: Scratch, block: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """(block, at, vec, copies) with ``at`` counting from 0 in each block, and the first block and number per length.
+
+    Vectors of one length only meet each other: no block holds two lengths.
+    """
     stored = scratch.write(nodes, "nodes")
-    count = max(1, -(-stored.count() // block))
+    spans, first = {}, 0
+    for length, n in stored.groupBy(F.size("vec")).count().orderBy(F.size("vec")).collect():  # a row per length
+        spans[length] = (first, -(-n // block))
+        first += spans[length][1]
     h = F.xxhash64(F.col("copies")[0])
-    placed = stored.withColumn("block", F.pmod(h, F.lit(count)).cast("int"))
+    placed = stored.withColumn("block", (_by_length(spans, 0) + F.pmod(h, _by_length(spans, 1))).cast("int"))
     order = Window.partitionBy("block").orderBy(F.col("copies")[0])  # about ``block`` rows each
-    return scratch.write(placed.withColumn("at", F.row_number().over(order) - 1), "blocks")
+    return scratch.write(placed.withColumn("at", F.row_number().over(order) - 1), "blocks"), spans
+
+
+def _by_length(spans: dict[int, tuple[int, int]], part: int) -> Column:
+    """First block (0) or number of blocks (1) for the length of ``vec``; null for another length."""
+    pairs = [F.lit(v) for length, span in spans.items() for v in (length, span[part])]
+    return F.create_map(*pairs)[F.size("vec")] if pairs else F.lit(None).cast("int")
 
 
 def _best(u: np.ndarray, lists: list, x: np.ndarray, degree: int) -> list:
@@ -239,17 +249,15 @@ def greedy_search(
 
 
 def search(
-    blocks: DataFrame, graph: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, chunk: int = QUERIES,
-    degree: int = DEGREE,
+    blocks: DataFrame, graph: DataFrame, queries: DataFrame, spans: dict[int, tuple[int, int]], k: int, beam: int = BEAM,
+    chunk: int = QUERIES, degree: int = DEGREE,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found, ties to the smaller id."""
-    spark = blocks.sparkSession
-    count = blocks.agg(F.max("block")).first()[0]
     chunks = max(1, -(-queries.count() // chunk))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(int(n) - 1)))
+    first, count = _by_length(spans, 0), _by_length(spans, 1)
     asked = queries.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")).withColumn(
-        "block", every((count if count is not None else 0) + 1))
-    index = blocks.join(graph, ["block", "at"]).withColumn("chunk", every(chunks))
+        "block", F.explode(F.sequence(first, first + count - 1)))
+    index = blocks.join(graph, ["block", "at"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
     def walk(part: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
@@ -282,16 +290,15 @@ def search(
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, beam: int = BEAM, block: int = BLOCK) -> DataFrame:
     """The k nearest other vectors of every row where ``is_query`` holds.
 
-    Vectors that are null, zero or hold null or non-finite numbers take no part,
-    nor do those shorter than the longest. Rows repeated with id and vector count
+    Vectors that are null, zero or hold null or non-finite numbers take no part.
+    Vectors of different lengths have no product: each finds those of its own length. Rows repeated with id and vector count
     once. Without a usable vector the result is empty. Only ``vec_id`` and
     ``embedding`` are read.
     """
     scratch = Scratch(vectors.sparkSession, "neighbours")
-    blocks = _blocks(nodes_of(vectors, k), scratch, block)
+    blocks, spans = _blocks(nodes_of(vectors, k), scratch, block)
     graph = build_graph(blocks, scratch)
     v = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
     queries = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), v.alias("vec"))
-    size = blocks.agg(F.max(F.size("vec"))).first()[0] or 0
-    queries = queries.where(_usable(F.col("vec")) & (F.size("vec") == size)).distinct()
-    return search(blocks, graph, scratch.write(queries, "queries"), k, beam)
+    queries = queries.where(_usable(F.col("vec"))).distinct()
+    return search(blocks, graph, scratch.write(queries, "queries"), spans, k, beam)

@@ -35,6 +35,17 @@ def test_copies_ties_and_unusable_vectors(spark):
     assert found == {3: [0, 1, 2, 4, 5], 40: [0, 1, 2, 3, 4]} and {r["query_id"] for r in rows} == {3, 40}
 
 
+def test_lengths_do_not_meet(spark):
+    draw = np.random.default_rng(5)
+    x = [*draw.normal(size=(60, 4)).tolist(), *draw.normal(size=(9, 3)).tolist(), [1.0] * 7]
+    rows = neighbours.nearest(table(spark, x), F.lit(True), k=20).collect()
+    for lo, hi in ((0, 60), (60, 69)):
+        for q in range(lo, hi):
+            found = [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q]
+            assert found == [lo + i for i in brute(x[lo:hi], q - lo, 20)]
+    assert len(rows) == 60 * 20 + 9 * 8
+
+
 def test_few_and_no_candidates(spark):
     rows = neighbours.nearest(table(spark, [[1.0, 2.0], [3.0, 1.0], [2.0, 2.0]]), F.lit(True), k=20).collect()
     assert len(rows) == 6
