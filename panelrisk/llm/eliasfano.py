@@ -13,6 +13,13 @@ _COUNT = np.array([bin(b).count("1") for b in range(256)], np.int64)
 _PLACE = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for k in range(8)] for b in range(256)], np.int64)
 
 
+def _directory(high: np.ndarray) -> np.ndarray:
+    """Ones before every word of 64 bits, as narrow as their number allows."""
+    counts = np.cumsum(np.bitwise_count(high.view(np.uint64)), dtype=np.int64)
+    kind = np.uint32 if not len(counts) or counts[-1] < 1 << 32 else np.int64
+    return np.concatenate([[0], counts[:-1]]).astype(kind)
+
+
 class EliasFano:
     """A non-decreasing sequence: low bits packed, high bits in unary, read by rank and select."""
 
@@ -29,19 +36,25 @@ class EliasFano:
         high = (values >> np.uint64(self.low_bits)).astype(np.int64) + np.arange(self.n)
         unary = np.zeros(int(high[-1]) + 1 if self.n else 1, np.uint8)
         unary[high] = 1
-        self.high = np.packbits(unary, bitorder="little")
-        self.ranks = np.concatenate([[0], np.cumsum(_COUNT[self.high])])
+        high = np.packbits(unary, bitorder="little")
+        self.high = np.concatenate([high, np.zeros(-len(high) % 8, np.uint8)])
+        self.ranks = _directory(self.high)
 
     def __getstate__(self):
         return {"n": self.n, "low_bits": self.low_bits, "low": self.low, "high": self.high}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self.ranks = np.concatenate([[0], np.cumsum(_COUNT[self.high])])
+        self.ranks = _directory(self.high)
 
     def get(self, at: np.ndarray) -> np.ndarray:
-        byte = np.searchsorted(self.ranks, at, "right") - 1
-        place = byte * 8 + _PLACE[self.high[byte], at - self.ranks[byte]]
+        word = np.searchsorted(self.ranks, at, "right") - 1
+        left = at - self.ranks[word].astype(np.int64)  # ones to pass in the word
+        counts = np.cumsum(_COUNT[self.high.reshape(-1, 8)[word]], 1)
+        byte = (counts <= left[:, None]).sum(1)
+        left -= np.where(byte > 0, counts[np.arange(len(at)), np.maximum(byte - 1, 0)], 0)
+        byte += word * 8
+        place = byte * 8 + _PLACE[self.high[byte], left]
         out = (place - at).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
             bit = at * self.low_bits

@@ -29,7 +29,7 @@ from panelrisk.llm.scratch import Scratch
 HEAD = 2.0 ** -20   # share of tokens from which a word is looked up in memory
 LEAST = 2.0         # occurrences from which a word, bigram or trigram is kept, at every size
 KEEP = 0.0          # share of tokens that it must have besides; not used unless asked for
-PART = 4_000_000    # training tokens whose n-grams make one part
+PART = 1_000_000    # training tokens whose n-grams make one part
 DISCOUNT = 0.75
 FLUSH = 4_000_000   # tokens counted together in a task
 GRAMS = 1_000_000   # the same for n-grams, which take more memory a token
