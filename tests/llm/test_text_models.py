@@ -43,7 +43,8 @@ def test_negative_risk_is_walked_back():
     draw = np.random.default_rng(0)
     p, n = draw.normal(1, 1, (300, 5)), draw.normal(-1, 1, (100, 5))
     u = np.vstack([draw.normal(1, 1, (200, 5)), draw.normal(-1, 1, (200, 5))])
-    model = quality.fit(p, u, np.vstack([p, n]), np.r_[np.ones(300), np.zeros(100)])
+    model = quality.fit(
+        p, u, np.vstack([p, n]), np.r_[np.ones(300), np.zeros(100)], np.arange(len(p)) % 3, np.arange(len(u)) % 3)
     assert 0.3 < model.prior < 0.75
     assert (model.margin(p) > 0).mean() > 0.9 and (model.margin(n) < 0).mean() > 0.9
 
