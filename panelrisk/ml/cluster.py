@@ -13,19 +13,23 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from panelrisk.functions.columns import half_even
 from panelrisk.ml.prep import FEATURES
+from panelrisk.ml.tune import in_threads
 from panelrisk.operators.ranking import row_top_indicators
 
 CLUSTER = "cluster"
+WORKERS = 8  # fits at the same time: each is many short jobs with gaps between them
+
+
+def _fits(rows: DataFrame, points: Sequence[tuple[int, int]], workers: int = WORKERS) -> list[KMeansModel]:
+    """A model for each (k, seed); fits run side by side over one stored table of vectors."""
+    return in_threads(
+        rows.sparkSession,
+        lambda p: KMeans(featuresCol=FEATURES, predictionCol=CLUSTER, k=p[0], seed=p[1]).fit(rows), points, workers)
 
 
 def fit_kmeans(rows: DataFrame, k: int, seeds: Sequence[int]) -> KMeansModel:
-    """Best of several starts by within-cluster cost."""
-    best = None
-    for seed in seeds:
-        model = KMeans(featuresCol=FEATURES, predictionCol=CLUSTER, k=k, seed=seed).fit(rows)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    """Best of several starts by within-cluster cost, the first on ties."""
+    return min(_fits(rows, [(k, seed) for seed in seeds]), key=lambda m: m.summary.trainingCost)
 
 
 def choose_k(
@@ -38,13 +42,17 @@ def choose_k(
     """
     evaluator = ClusteringEvaluator(featuresCol=FEATURES, predictionCol=CLUSTER)
     best, best_value, curve = None, None, []
-    for k in ks:
-        model = fit_kmeans(rows, k, seeds)
+    # shared by all fits; blocks of a lost executor are read again from the table behind
+    vectors = rows.select(FEATURES).persist()
+    models = _fits(vectors, [(k, seed) for k in ks for seed in seeds])
+    for i, k in enumerate(ks):
+        model = min(models[i * len(seeds):(i + 1) * len(seeds)], key=lambda m: m.summary.trainingCost)
         found = model.summary.k - sum(1 for n in model.summary.clusterSizes if n == 0)
-        value = evaluator.evaluate(model.transform(rows)) if found > 1 else None
+        value = evaluator.evaluate(model.transform(vectors)) if found > 1 else None
         curve.append((k, float(model.summary.trainingCost), value))
         if best is None or (value is not None and (best_value is None or value > best_value)):
             best, best_value = model, value
+    vectors.unpersist()
     if best is None:
         raise ValueError("no k to try")
     return best, curve

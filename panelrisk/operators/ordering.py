@@ -8,9 +8,11 @@ written once, and each block gets the count of the blocks before it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelrisk.operators.joining import lookup_join
 from panelrisk.storage import materialize
 
 BLOCK, POSITION, COUNT = "_block", "_position", "_n"
@@ -85,64 +87,103 @@ def dense_rank_rows(
     )
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Stored table (keys, value, _n) of the distinct non-null values per group.
-
-    Equal values meet on the map side, so a hot value costs one row per task.
-    Statistics of the value can be taken from this table instead of the source.
-    """
-    return materialize(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value).agg(F.count(F.lit(1)).alias(COUNT)),
-        "values",
-    )
+ACCURACY = 10_000   # a sketched quantile is off by at most 1/ACCURACY of the rows of its group
+WHOLE = 4 * ACCURACY  # rows up to which a group is not narrowed
+GRID = 256          # steps of a further narrowing
+LIMIT = 1 << 22     # values of one group that are ordered in one task
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]
-) -> DataFrame:
-    """Exact quantiles per group with linear interpolation, nulls left out."""
-    return quantiles_of_counts(value_counts(df, keys, value), keys, value, probs, names)
-
-
-def quantiles_of_counts(
-    counted: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-    names: Sequence[str],
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """Quantiles from a table of value counts.
+    """Exact quantiles per group with linear interpolation, nulls left out.
 
-    No task holds a group: the distinct values are ordered in blocks, and running
-    counts are local to a block with the sizes of the blocks before it.
+    Selection in place of sorting: one scan sketches every group and gives, for each
+    wanted rank, an interval that must hold it; the next scan counts what lies between
+    the intervals and, value by value, what lies inside. Only those few values are
+    ordered. Where an interval would still hold too many, it is narrowed by further
+    scans first. Equal values are one, so a hot value costs one row per task.
     """
-    blocks = ordered_blocks(counted, [*keys, value], "quantile")
-    sizes = blocks.groupBy(*keys, BLOCK).agg(F.sum(COUNT).alias("_size"))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(
-        *keys, BLOCK,
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(group).alias("_total"),
-    )
-    local = Window.partitionBy(*keys, BLOCK).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    running = (
-        blocks.join(sizes, [*keys, BLOCK])
-        .withColumn("_end", F.col("_before") + F.sum(COUNT).over(local))
-        .withColumn("_start", F.col("_end") - F.col(COUNT))
-    )
+    keys = list(keys)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    by = keys or ["_all"]
+    rows = rows if keys else rows.withColumn("_all", F.lit(0))
+    bounds, largest = _sketched(rows, by, probs)
+    held = largest * 6 * len(probs) / ACCURACY
+    while largest > WHOLE and held > limit:
+        bounds, held = _narrowed(rows, by, bounds, probs), held * 4 / GRID
+    return _picked(rows, by, bounds, probs, names).select(*keys, *names)
+
+
+def _sketched(rows: DataFrame, by: list[str], probs: Sequence[float]) -> tuple[DataFrame, int]:
+    """(by, _size, _lo, _hi): an interval per wanted rank; and the size of the largest group."""
+    reach = 2 / ACCURACY
+    wanted = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
+    found = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", F.array(*map(F.lit, wanted)), F.lit(ACCURACY)).alias("_q"))
+    whole, k = F.col("_size") <= WHOLE, len(probs)
+
+    def side(first: int, end: str, edge: float) -> Column:
+        return F.array(*[F.when(whole | F.lit(wanted[first + i] == edge), F.col(end)).otherwise(F.col("_q")[first + i])
+                         for i in range(k)])
+
+    bounds = materialize(found.select(*by, "_size", side(0, "_min", 0.0).alias("_lo"), side(k, "_max", 1.0).alias("_hi")), "bounds")
+    return bounds, bounds.agg(F.max("_size")).first()[0] or 0
+
+
+def _ranks(p: float) -> tuple[Column, Column]:
+    place = F.lit(float(p)) * (F.col("_size") - 1)
+    return F.floor(place), F.ceil(place)
+
+
+def _narrowed(rows: DataFrame, by: list[str], bounds: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """The same intervals after a sketch of what lies inside each of them."""
+    joined = lookup_join(rows, bounds, by, unique=False)
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    parts = []
+    for j in range(len(probs)):
+        lo, hi = F.col("_lo")[j], F.col("_hi")[j]
+        inside = F.col("_v").between(lo, hi)
+        parts += [
+            F.sum((F.col("_v") < lo).cast("long")).alias(f"_below_{j}"), F.sum(inside.cast("long")).alias(f"_in_{j}"),
+            F.percentile_approx(F.when(inside, F.col("_v")), grid, F.lit(ACCURACY)).alias(f"_grid_{j}")]
+    found = joined.groupBy(*by).agg(
+        F.first("_size").alias("_size"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), *parts)
+    lows, highs = [], []
+    for j, p in enumerate(probs):
+        first, last = ((r - F.col(f"_below_{j}")) / F.col(f"_in_{j}") for r in _ranks(p))
+        down = F.floor((first - 2 / ACCURACY) * GRID).cast("int")
+        up = F.ceil((last + 2 / ACCURACY) * GRID).cast("int") + 1
+        few = F.col(f"_in_{j}") <= WHOLE
+        lows.append(F.when(few | (down <= 0), F.col("_lo")[j]).otherwise(F.get(f"_grid_{j}", down)))
+        highs.append(F.when(few | (up >= GRID), F.col("_hi")[j]).otherwise(F.get(f"_grid_{j}", up)))
+    return materialize(found.select(*by, "_size", F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi")), "bounds")
+
+
+def _picked(
+    rows: DataFrame, by: list[str], bounds: DataFrame, probs: Sequence[float], names: Sequence[str]
+) -> DataFrame:
+    """The values at the wanted ranks, which lie inside the intervals, interpolated."""
+    joined = lookup_join(rows, bounds, by, unique=False)
+    between = [F.col("_v").between(F.col("_lo")[j], F.col("_hi")[j]) for j in range(len(probs))]
+    inside = reduce(lambda a, b: a | b, between)
+    gap = reduce(lambda a, b: a + b, [(F.col("_v") > F.col("_hi")[j]).cast("int") for j in range(len(probs))])
+    counted = joined.groupBy(*by, F.when(inside, F.col("_v")).alias("_value"), F.when(~inside, gap).alias("_gap")).agg(
+        F.count(F.lit(1)).alias(COUNT), F.max("_v").alias("_at"), F.first("_size").alias("_size"))
+    # at most ``limit`` values of a group and one row for each gap
+    running = Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("_end", F.sum(COUNT).over(running)).withColumn("_start", F.col("_end") - F.col(COUNT))
     picks = []
     for p, name in zip(probs, names):
-        place = F.lit(float(p)) * (F.col("_total") - 1)
-        for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+        for side, rank in zip(("lo", "hi"), _ranks(p)):
             hit = (F.col("_start") <= rank) & (rank < F.col("_end"))
-            picks.append(F.max(F.when(hit, F.col(value))).alias(f"_{name}_{side}"))
-    found = running.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
-    if not keys:
-        found = found.where(F.col("_total").isNotNull())
+            picks.append(F.max(F.when(hit, F.col("_value"))).alias(f"_{name}_{side}"))
+    found = placed.groupBy(*by).agg(F.max("_size").alias("_size"), *picks)
     out = []
     for p, name in zip(probs, names):
-        place = F.lit(float(p)) * (F.col("_total") - 1)
+        place = F.lit(float(p)) * (F.col("_size") - 1)
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         out.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
-    return found.select(*keys, *out)
+    return found.select(*by, *out)

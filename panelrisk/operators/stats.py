@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelrisk.functions.columns import finite, half_even, long_form
 from panelrisk.operators.joining import lookup_join
-from panelrisk.operators.ordering import COUNT, quantiles_of_counts, value_counts
+from panelrisk.operators.ordering import quantiles
 from panelrisk.storage import materialize
 
 NOISE = 1e-12
@@ -34,9 +34,8 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """One row per column: count, mean, sample sd, min, exact quartiles, max."""
-    counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
-    quart = quantiles_of_counts(
-        counted, ["indicator"], "value", (0.25, 0.5, 0.75), ("q25", "q50", "q75")
+    quart = quantiles(
+        long_form(df, [], columns), ["indicator"], "value", (0.25, 0.5, 0.75), ("q25", "q50", "q75")
     )
     out = moments(df, columns).join(quart, "indicator")
     rounded = [half_even(c, digits).alias(c)
@@ -46,8 +45,7 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Dat
 
 def exec_summary(df: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
     """Mean, median, max and min per column."""
-    counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
-    mid = quantiles_of_counts(counted, ["indicator"], "value", (0.5,), ("median",))
+    mid = quantiles(long_form(df, [], columns), ["indicator"], "value", (0.5,), ("median",))
     out = moments(df, columns).join(mid, "indicator")
     return out.select(
         "indicator", *[half_even(c, digits).alias(c) for c in ("mean", "median", "max", "min")]
@@ -190,11 +188,11 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
 
     The last bin is closed on both sides. A constant column has one bin.
     """
-    counted = value_counts(long_form(df, [], columns), ["indicator"], "value")
-    mid = quantiles_of_counts(counted, ["indicator"], "value", (0.5,), ("median",))
+    rows = long_form(df, [], columns).where(F.col("value").isNotNull())
+    mid = quantiles(rows, ["indicator"], "value", (0.5,), ("median",))
     edges = moments(df, columns).drop("n", "std").join(mid, "indicator")
     # one row per named column
-    placed = lookup_join(counted, edges, ["indicator"])
+    placed = lookup_join(rows, edges, ["indicator"], unique=False)
     width = (F.col("max") - F.col("min")) / F.lit(float(bins))
     step = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("min"), width)), F.lit(0))
     bucket = F.least(step + 1, F.lit(bins))
@@ -202,7 +200,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
         placed.withColumn("bin", bucket.cast("int"))
         .groupBy("indicator", "bin")
         .agg(
-            F.sum(COUNT).alias("n"),
+            F.count(F.lit(1)).alias("n"),
             half_even(F.first("mean"), 4).alias("mean"),
             half_even(F.first("median"), 4).alias("median"),
         )
@@ -211,21 +209,21 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
 
 def box_numbers(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends and number of outliers per group."""
-    fences, counted = _fences(df, group, value, reach)
-    joined = lookup_join(counted, fences, [group])
+    fences = _fences(df, group, value, reach)
+    joined = lookup_join(df.where(F.col(value).isNotNull()).select(group, value), fences, [group], unique=False)
     inside = F.col(value).between(F.col("fence_low"), F.col("fence_high"))
     return joined.groupBy(group).agg(
-        F.sum(COUNT).alias("n"),
+        F.count(F.lit(1)).alias("n"),
         *[F.first(q).alias(q) for q in ("q1", "q2", "q3")],
         F.min(F.when(inside, F.col(value))).alias("whisker_low"),
         F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col(COUNT))).alias("n_outliers"),
+        F.sum(F.when(inside, 0).otherwise(1)).alias("n_outliers"),
     )
 
 
 def box_outliers(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
     """Rows outside the fences of their group."""
-    fences, _ = _fences(df, group, value, reach)
+    fences = _fences(df, group, value, reach)
     bounds = fences.select(group, "fence_low", "fence_high")
     joined = lookup_join(df.where(F.col(value).isNotNull()), bounds, [group])
     return joined.where(
@@ -233,16 +231,13 @@ def box_outliers(df: DataFrame, group: str, value: str, reach: float = 1.5) -> D
     ).select(*df.columns)
 
 
-def _fences(
-    df: DataFrame, group: str, value: str, reach: float
-) -> tuple[DataFrame, DataFrame]:
-    counted = value_counts(df.where(F.col(group).isNotNull()), [group], value)
-    quart = quantiles_of_counts(counted, [group], value, (0.25, 0.5, 0.75), ("q1", "q2", "q3"))
+def _fences(df: DataFrame, group: str, value: str, reach: float) -> DataFrame:
+    known = df.where(F.col(group).isNotNull())
+    quart = quantiles(known, [group], value, (0.25, 0.5, 0.75), ("q1", "q2", "q3"))
     spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
-    fences = quart.withColumns(
+    return quart.withColumns(
         {"fence_low": F.col("q1") - spread, "fence_high": F.col("q3") + spread}
     )
-    return fences, counted
 
 
 def regression_metrics(

@@ -154,6 +154,9 @@ resb as (select res.*, q1, q2, q3, residual between q1 - 1.5::double * (q3 - q1)
 MODEL_ORACLE: dict[str, str] = {
     "model_roundtrip": f"{P_PRED} select ent, ano, true as igual from preds"
     f" where {TEST} and ano in (select year(o_orderdate) from orders where year(o_orderdate) >= 1996)",
+    # what the rules of the fitted tree must give on every row with a target
+    "tree_paths_hold": f"{P_PRED} select ent, ano, true as mesma_folha, true as mesma_previsao from preds"
+    " where ano in (select year(o_orderdate) from orders where year(o_orderdate) >= 1996)",
     "residual_box_formula": f"{P_PRED}, {RES} select modelo, count(*) as n, "
     + ", ".join(f"{rnd(f'any_value({q})', 6)} as {q}" for q in ("q1", "q2", "q3"))
     + f", {rnd('min(case when inside then residual end)', 6)} as whisker_low,"

@@ -298,6 +298,40 @@ def tree_leaf_table(spark, folder):
     return models.tree_leaf_table(model, train, TARGET, PROFILE, "folha_")
 
 
+def _tree_rules(spark, folder):
+    """(paths, train and test rows, model, feature names) of the fitted tree."""
+    def make():
+        train, test = sides(spark, folder)
+        preparation = fit_preparation(train, NUMERIC, CATEGORICAL)
+        model = models.fit(train, TARGET, preparation, models.tree(leaf_col="folha_"))
+        names = models.feature_names(model, train)
+        paths = materialize(models.tree_paths(models.tree_nodes(spark, model, names)), "paths")
+        return paths, train.unionByName(test), model, names
+    return once(spark, folder, "rules", make)
+
+
+def tree_paths(spark, folder):
+    return _tree_rules(spark, folder)[0]
+
+
+def tree_rules(spark, folder):
+    return models.tree_rules(_tree_rules(spark, folder)[0])
+
+
+def tree_shape(spark, folder):
+    return models.tree_shape(_tree_rules(spark, folder)[0])
+
+
+def tree_paths_hold(spark, folder):
+    """Whether the rules give every row the leaf and the prediction of the model."""
+    paths, rows, model, names = _tree_rules(spark, folder)
+    placed = model.transform(rows).select(*rows.columns, F.col("folha_").cast("int").alias("folha_"), "pred")
+    told = models.apply_paths(paths, placed, model, names)
+    return told.select(
+        *UNIT_KEYS, F.col("folha_regra").eqNullSafe(F.col("folha_")).alias("mesma_folha"),
+        F.col("pred_regra").eqNullSafe(F.col("pred")).alias("mesma_previsao"))
+
+
 def risk_ranking(spark, folder):
     options = suite.SuiteOptions(
         TARGET, UNIT_KEYS, NUMERIC, CATEGORICAL, recipe.SPLIT_YEAR, SEARCHED_BOOSTING, {}, 5,
@@ -419,7 +453,7 @@ QUERIES = {
         scenario_grid, scenario_delta, scenario_text, scenario_changes, scenario_model, ridge_fit,
         boosting_fit, tree_fit, compare_models, compare_text, residual_box, missing_impact,
         tune_boosting, learning_curve, perm_importance, model_roundtrip, score_batch,
-        tree_leaf_table, residual_box_formula, compare_text_formula, cluster_profiles_given,
+        tree_leaf_table, tree_paths, tree_rules, tree_shape, tree_paths_hold, residual_box_formula, compare_text_formula, cluster_profiles_given,
         kmeans_select, kmeans_assign, cluster_profiles, cluster_text, pca_2d,
         risk_ranking, run_campaign,
     )

@@ -1,9 +1,12 @@
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from panelrisk.ml import models, runs, split, store, tune
-from panelrisk.ml.prep import fit_preparation, medians, modes, scales, split_columns
+from panelrisk.ml.prep import feature_array, fit_preparation, medians, modes, scales, split_columns
 from panelrisk.operators.stats import regression_metrics
 from panelrisk.storage import new_path
 
@@ -56,6 +59,40 @@ def test_models_beat_the_mean_and_unseen_values_pass(rows):
         models.score(model, test.drop("kind"), preparation.input_columns())
 
 
+def test_tree_rules_applied_by_sql_give_the_leaf_and_prediction(spark, rows):
+    preparation = fit_preparation(rows, ["a", "b"], ["kind"])
+    model = models.fit(rows, "y", preparation, models.tree(leaf_col="leaf"))
+    names = models.feature_names(model, rows)
+    paths = models.tree_paths(models.tree_nodes(spark, model, names))
+    tree = model.stages[-1]
+    shape = models.tree_shape(paths).first()
+    assert (shape["profundidade"], shape["folhas"], shape["n"]) == (tree.depth, (tree.numNodes + 1) // 2, 300)
+    told = models.apply_paths(paths, model.transform(rows).select("id", "a", "b", "kind", "leaf", "pred"), model, names).toPandas()
+    assert (told["folha_regra"] == told["leaf"]).all() and (told["pred_regra"] == told["pred"]).all()
+    vectors = feature_array(rows, PipelineModel(model.stages[:-1])).select("id", "vec").toPandas()
+    long = pd.DataFrame([(i, n, v) for i, vec in zip(vectors["id"], vectors["vec"]) for n, v in zip(names, vec)],  # noqa: F841
+                        columns=["id", "coluna", "v"])
+    steps = paths.toPandas()  # noqa: F841
+    by_sql = duckdb.sql("""
+        select id, folha, any_value(previsao) as previsao from long join steps using (coluna)
+        group by id, folha having bool_and(case when lado = '<=' then v <= corte else v > corte end)""").df().set_index("id")
+    assert len(by_sql) == 300
+    for r in told.itertuples():
+        assert by_sql.loc[r.id, "folha"] == r.leaf and by_sql.loc[r.id, "previsao"] == r.pred
+    rules = {r["folha"]: r["regra"] for r in models.tree_rules(paths).collect()}
+    assert len(rules) == shape["folhas"] and all(" e " in t or "<=" in t or ">" in t for t in rules.values())
+
+
+def test_tree_of_one_leaf(spark, rows):
+    flat = rows.withColumn("y", F.lit(4.0))
+    preparation = fit_preparation(flat, ["a"], [])
+    model = models.fit(flat, "y", preparation, models.tree())
+    paths = models.tree_paths(models.tree_nodes(spark, model, models.feature_names(model, flat)))
+    assert [(r["folha"], r["passo"], r["coluna"], r["previsao"]) for r in paths.collect()] == [(0, 0, None, 4.0)]
+    assert models.tree_rules(paths).first()["regra"] == "sempre"
+    assert models.tree_shape(paths).first()["profundidade"] == 0
+
+
 def test_empty_split_is_an_error(rows):
     with pytest.raises(ValueError, match="empty"):
         split.supervised_split(rows, "y", 1990)

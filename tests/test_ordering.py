@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelrisk.operators import ordering
 from panelrisk.operators.ordering import dense_rank_rows, number_rows, quantiles
 
 
@@ -55,6 +56,20 @@ def test_quantiles_match_numpy(table, rows):
             assert out[g][n] == pytest.approx(np.percentile(v, 100 * p), abs=1e-9)
 
 
+@pytest.mark.parametrize("limit", [1 << 22, 300, 1])
+def test_quantiles_of_narrowed_groups(table, rows, monkeypatch, limit):
+    """Groups larger than what is taken whole, in one scan and with further narrowing."""
+    monkeypatch.setattr(ordering, "WHOLE", 40)
+    monkeypatch.setattr(ordering, "ACCURACY", 200)
+    table = table.withColumn("v", F.col("v") + F.col("id") % 13 / 100)
+    found = {}
+    for r in table.where("v is not null").collect():
+        found.setdefault(r["g"], []).append(r["v"])
+    probs, names = (0.0, 0.01, 0.333, 0.5, 0.99, 1.0), tuple("abcdef")
+    for r in quantiles(table, ["g"], "v", probs, names, limit).collect():
+        assert [r[n] for n in names] == pytest.approx(list(np.percentile(found[r["g"]], [100 * p for p in probs])), abs=1e-9)
+
+
 def test_quantiles_without_keys(table, rows):
     got = quantiles(table, [], "v", (0.5,), ("m",)).first()["m"]
     assert got == pytest.approx(np.median([r[2] for r in rows if r[2] is not None]))
