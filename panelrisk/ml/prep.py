@@ -11,8 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from panelrisk.functions.columns import long_form
-from panelrisk.operators.ordering import quantiles
+from panelrisk.operators.ordering import column_quantiles
 from panelrisk.settings import MISSING_LABEL
 
 FEATURES = "features"
@@ -31,7 +30,7 @@ def medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median per column; a column without values is filled with zero."""
     if not columns:
         return {}
-    table = quantiles(long_form(train, [], columns), ["indicator"], "value", (0.5,), ("q",))
+    table = column_quantiles(train, list(columns), (0.5,), ("q",))
     found = {r["indicator"]: r["q"] for r in table.collect()}  # one row per column
     return {c: found.get(c, 0.0) for c in columns}
 

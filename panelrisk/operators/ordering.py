@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelrisk.functions.columns import finite, long_form
 from panelrisk.operators.joining import lookup_join
 from panelrisk.storage import materialize
 
@@ -133,6 +134,41 @@ def _sketched(rows: DataFrame, by: list[str], probs: Sequence[float]) -> tuple[D
     return bounds, bounds.agg(F.max("_size")).first()[0] or 0
 
 
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str], limit: int = LIMIT
+) -> DataFrame:
+    """(indicator, names): exact quantiles of whole columns, as ``quantiles``, without a join.
+
+    The intervals of all columns come from one aggregate over the wide table and are
+    literals of the second scan. Columns without a value have no row.
+    """
+    reach = 2 / ACCURACY
+    wanted = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
+    number = {c: finite(F.col(c).cast("double")) for c in columns}
+    row = df.agg(*[F.struct(
+        F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.percentile_approx(v, F.array(*map(F.lit, wanted)), F.lit(ACCURACY)).alias("q")).alias(f"_{i}")
+        for i, v in enumerate(number.values())]).first()
+    found = {c: row[f"_{i}"] for i, c in enumerate(columns) if row[f"_{i}"]["n"]}
+    if any(r["n"] > WHOLE and r["n"] * 6 * len(probs) / ACCURACY > limit for r in found.values()):
+        return quantiles(long_form(df, [], columns), ["indicator"], "value", probs, names, limit)
+    parts, k = [], len(probs)
+    for c, r in found.items():
+        q = [r["min"]] * k + [r["max"]] * k if r["n"] <= WHOLE else [
+            r["min"] if i < k and w == 0.0 else r["max"] if i >= k and w == 1.0 else v
+            for i, (w, v) in enumerate(zip(wanted, r["q"]))]
+        inside = reduce(lambda a, b: a | b, [number[c].between(q[j], q[k + j]) for j in range(k)])
+        gap = reduce(lambda a, b: a + b, [(number[c] > q[k + j]).cast("int") for j in range(k)])
+        parts.append(F.struct(
+            F.lit(c).alias("indicator"), number[c].alias("_v"), F.when(inside, number[c]).alias("_value"),
+            F.when(~inside, gap).alias("_gap"), F.lit(r["n"]).alias("_size")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "indicator string, " + ", ".join(f"{n} double" for n in names))
+    counted = df.select(F.inline(F.array(*parts))).where("_v is not null").groupBy("indicator", "_value", "_gap").agg(
+        F.count(F.lit(1)).alias(COUNT), F.max("_v").alias("_at"), F.first("_size").alias("_size"))
+    return _at_ranks(counted, ["indicator"], probs, names)
+
+
 def _ranks(p: float) -> tuple[Column, Column]:
     place = F.lit(float(p)) * (F.col("_size") - 1)
     return F.floor(place), F.ceil(place)
@@ -165,13 +201,18 @@ def _narrowed(rows: DataFrame, by: list[str], bounds: DataFrame, probs: Sequence
 def _picked(
     rows: DataFrame, by: list[str], bounds: DataFrame, probs: Sequence[float], names: Sequence[str]
 ) -> DataFrame:
-    """The values at the wanted ranks, which lie inside the intervals, interpolated."""
+    """What lies inside the intervals, value by value, and how much lies between them."""
     joined = lookup_join(rows, bounds, by, unique=False)
     between = [F.col("_v").between(F.col("_lo")[j], F.col("_hi")[j]) for j in range(len(probs))]
     inside = reduce(lambda a, b: a | b, between)
     gap = reduce(lambda a, b: a + b, [(F.col("_v") > F.col("_hi")[j]).cast("int") for j in range(len(probs))])
     counted = joined.groupBy(*by, F.when(inside, F.col("_v")).alias("_value"), F.when(~inside, gap).alias("_gap")).agg(
         F.count(F.lit(1)).alias(COUNT), F.max("_v").alias("_at"), F.first("_size").alias("_size"))
+    return _at_ranks(counted, by, probs, names)
+
+
+def _at_ranks(counted: DataFrame, by: list[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Values at the wanted ranks, interpolated, from counts of values and gaps in the order of ``_at``."""
     # at most ``limit`` values of a group and one row for each gap
     running = Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counted.withColumn("_end", F.sum(COUNT).over(running)).withColumn("_start", F.col("_end") - F.col(COUNT))

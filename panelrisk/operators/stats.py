@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelrisk.functions.columns import finite, half_even, long_form
 from panelrisk.operators.joining import lookup_join
-from panelrisk.operators.ordering import quantiles
+from panelrisk.operators.ordering import column_quantiles, quantiles
 from panelrisk.storage import materialize
 
 NOISE = 1e-12
@@ -34,9 +34,8 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """One row per column: count, mean, sample sd, min, exact quartiles, max."""
-    quart = quantiles(
-        long_form(df, [], columns), ["indicator"], "value", (0.25, 0.5, 0.75), ("q25", "q50", "q75")
-    )
+    df = materialize(df.select(*columns), "columns")
+    quart = column_quantiles(df, columns, (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
     out = moments(df, columns).join(quart, "indicator")
     rounded = [half_even(c, digits).alias(c)
                for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
@@ -45,7 +44,8 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Dat
 
 def exec_summary(df: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
     """Mean, median, max and min per column."""
-    mid = quantiles(long_form(df, [], columns), ["indicator"], "value", (0.5,), ("median",))
+    df = materialize(df.select(*columns), "columns")
+    mid = column_quantiles(df, columns, (0.5,), ("median",))
     out = moments(df, columns).join(mid, "indicator")
     return out.select(
         "indicator", *[half_even(c, digits).alias(c) for c in ("mean", "median", "max", "min")]
@@ -188,8 +188,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
 
     The last bin is closed on both sides. A constant column has one bin.
     """
+    df = materialize(df.select(*columns), "columns")
     rows = long_form(df, [], columns).where(F.col("value").isNotNull())
-    mid = quantiles(rows, ["indicator"], "value", (0.5,), ("median",))
+    mid = column_quantiles(df, columns, (0.5,), ("median",))
     edges = moments(df, columns).drop("n", "std").join(mid, "indicator")
     # one row per named column
     placed = lookup_join(rows, edges, ["indicator"], unique=False)
@@ -209,8 +210,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
 
 def box_numbers(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends and number of outliers per group."""
-    fences = _fences(df, group, value, reach)
-    joined = lookup_join(df.where(F.col(value).isNotNull()).select(group, value), fences, [group], unique=False)
+    rows = materialize(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value), "box")
+    fences = _fences(rows, group, value, reach)
+    joined = lookup_join(rows, fences, [group], unique=False)
     inside = F.col(value).between(F.col("fence_low"), F.col("fence_high"))
     return joined.groupBy(group).agg(
         F.count(F.lit(1)).alias("n"),

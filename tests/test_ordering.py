@@ -70,6 +70,18 @@ def test_quantiles_of_narrowed_groups(table, rows, monkeypatch, limit):
         assert [r[n] for n in names] == pytest.approx(list(np.percentile(found[r["g"]], [100 * p for p in probs])), abs=1e-9)
 
 
+@pytest.mark.parametrize("limit", [1 << 22, 1])
+def test_quantiles_of_columns(table, rows, monkeypatch, limit):
+    monkeypatch.setattr(ordering, "WHOLE", 40)
+    monkeypatch.setattr(ordering, "ACCURACY", 200)
+    wide = table.select("v", (F.col("id") * 37 % 1009).alias("w"), F.lit(None).cast("double").alias("e"), F.lit(2.5).alias("c"))
+    probs, names = (0.0, 0.25, 0.77, 1.0), tuple("abcd")
+    out = {r["indicator"]: [r[n] for n in names] for r in ordering.column_quantiles(wide, ["v", "w", "e", "c"], probs, names, limit).collect()}
+    want = {"v": [r[2] for r in rows if r[2] is not None], "w": [r[0] * 37 % 1009 for r in rows], "c": [2.5]}
+    assert out == {k: pytest.approx(list(np.percentile(v, [100 * p for p in probs])), abs=1e-9) for k, v in want.items()}
+    assert ordering.column_quantiles(wide.select("e"), ["e"], probs, names).count() == 0
+
+
 def test_quantiles_without_keys(table, rows):
     got = quantiles(table, [], "v", (0.5,), ("m",)).first()["m"]
     assert got == pytest.approx(np.median([r[2] for r in rows if r[2] is not None]))
