@@ -135,23 +135,32 @@ def _sketched(rows: DataFrame, by: list[str], probs: Sequence[float]) -> tuple[D
 
 
 def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str], limit: int = LIMIT
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], names: Sequence[str], limit: int = LIMIT,
+    moments: bool = False,
 ) -> DataFrame:
-    """(indicator, names): exact quantiles of whole columns, as ``quantiles``, without a join.
+    """(indicator, names): exact quantiles of whole columns, as ``quantiles``, from two scans.
 
     The intervals of all columns come from one aggregate over the wide table and are
-    literals of the second scan. Columns without a value have no row.
+    literals of the second scan. ``moments`` adds n, mean, std, min and max, which the
+    same aggregate gives. Columns without a value have no row.
     """
     reach = 2 / ACCURACY
     wanted = [max(p - reach, 0.0) for p in probs] + [min(p + reach, 1.0) for p in probs]
     number = {c: finite(F.col(c).cast("double")) for c in columns}
     row = df.agg(*[F.struct(
         F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
+        *([F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")] if moments else []),
         F.percentile_approx(v, F.array(*map(F.lit, wanted)), F.lit(ACCURACY)).alias("q")).alias(f"_{i}")
         for i, v in enumerate(number.values())]).first()
     found = {c: row[f"_{i}"] for i, c in enumerate(columns) if row[f"_{i}"]["n"]}
+    known = None
+    if moments:  # a row per column
+        known = F.broadcast(df.sparkSession.createDataFrame(
+            [(c, *[r[m] for m in ("n", "mean", "std", "min", "max")]) for c, r in found.items()],
+            "indicator string, n long, mean double, std double, min double, max double"))
     if any(r["n"] > WHOLE and r["n"] * 6 * len(probs) / ACCURACY > limit for r in found.values()):
-        return quantiles(long_form(df, [], columns), ["indicator"], "value", probs, names, limit)
+        out = quantiles(long_form(df, [], columns), ["indicator"], "value", probs, names, limit)
+        return out.join(known, "indicator") if moments else out
     parts, k = [], len(probs)
     for c, r in found.items():
         q = [r["min"]] * k + [r["max"]] * k if r["n"] <= WHOLE else [
@@ -163,10 +172,12 @@ def column_quantiles(
             F.lit(c).alias("indicator"), number[c].alias("_v"), F.when(inside, number[c]).alias("_value"),
             F.when(~inside, gap).alias("_gap"), F.lit(r["n"]).alias("_size")))
     if not parts:
-        return df.sparkSession.createDataFrame([], "indicator string, " + ", ".join(f"{n} double" for n in names))
+        out = df.sparkSession.createDataFrame([], "indicator string, " + ", ".join(f"{n} double" for n in names))
+        return out.join(known, "indicator") if moments else out
     counted = df.select(F.inline(F.array(*parts))).where("_v is not null").groupBy("indicator", "_value", "_gap").agg(
         F.count(F.lit(1)).alias(COUNT), F.max("_v").alias("_at"), F.first("_size").alias("_size"))
-    return _at_ranks(counted, ["indicator"], probs, names)
+    out = _at_ranks(counted, ["indicator"], probs, names)
+    return out.join(known, "indicator") if moments else out
 
 
 def _ranks(p: float) -> tuple[Column, Column]:

@@ -18,25 +18,9 @@ from panelrisk.storage import materialize
 NOISE = 1e-12
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample sd, min and max of each column: one aggregate over the wide table."""
-
-    def numbers(c: str) -> Column:
-        v = finite(F.col(c).cast("double"))
-        return F.struct(
-            F.lit(c).alias("indicator"), F.count(v).alias("n"), F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-
-    one = df.agg(*[numbers(c).alias(f"_{i}") for i, c in enumerate(columns)])
-    out = one.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
-    return out.where("n > 0")
-
-
 def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """One row per column: count, mean, sample sd, min, exact quartiles, max."""
-    df = materialize(df.select(*columns), "columns")
-    quart = column_quantiles(df, columns, (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
-    out = moments(df, columns).join(quart, "indicator")
+    out = column_quantiles(df, columns, (0.25, 0.5, 0.75), ("q25", "q50", "q75"), moments=True)
     rounded = [half_even(c, digits).alias(c)
                for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]
     return out.select("indicator", "n", *rounded)
@@ -44,9 +28,7 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Dat
 
 def exec_summary(df: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
     """Mean, median, max and min per column."""
-    df = materialize(df.select(*columns), "columns")
-    mid = column_quantiles(df, columns, (0.5,), ("median",))
-    out = moments(df, columns).join(mid, "indicator")
+    out = column_quantiles(df, columns, (0.5,), ("median",), moments=True)
     return out.select(
         "indicator", *[half_even(c, digits).alias(c) for c in ("mean", "median", "max", "min")]
     )
@@ -188,10 +170,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 25) -> DataFram
 
     The last bin is closed on both sides. A constant column has one bin.
     """
-    df = materialize(df.select(*columns), "columns")
     rows = long_form(df, [], columns).where(F.col("value").isNotNull())
-    mid = column_quantiles(df, columns, (0.5,), ("median",))
-    edges = moments(df, columns).drop("n", "std").join(mid, "indicator")
+    edges = column_quantiles(df, columns, (0.5,), ("median",), moments=True).drop("n", "std")
     # one row per named column
     placed = lookup_join(rows, edges, ["indicator"], unique=False)
     width = (F.col("max") - F.col("min")) / F.lit(float(bins))
