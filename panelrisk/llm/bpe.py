@@ -185,6 +185,10 @@ class BPE:
             self.parts[part] = known
         return known
 
+    def forget(self) -> None:
+        """Empty the memo: a worker that goes on to other stages must not carry it along."""
+        self.words, self.parts = {}, {}
+
     def stream(self, text: str) -> Iterator[list[int]]:
         """Token ids of a text in order, some at a time."""
         at, parts = 0, self.parts
@@ -290,9 +294,12 @@ def encode_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(shared.value)
-        for batch in batches:
-            for piece in B.pieces(batch, "text"):
-                yield _encode_batch(bpe, piece, schema.names, with_ids)
+        try:
+            for batch in batches:
+                for piece in B.pieces(batch, "text"):
+                    yield _encode_batch(bpe, piece, schema.names, with_ids)
+        finally:
+            bpe.forget()
 
     return source.mapInArrow(run, schema)
 
