@@ -4,17 +4,21 @@ Exact join with a prefix index. The n-grams of a set are put in one global order
 frequent ones last; linked sets share an n-gram among the first (1 - t)|x| + 1.
 Two relations between sets save work:
 
-* Index lists are read by position: two sets whose first common n-gram stands at
-  positions i and j share at most min(|x| - i, |y| - j) n-grams. This and the sizes
-  decide pair by pair before the sets are read; there are no blocks of a list that
-  are skipped as a whole, so the pairs looked at in a long list grow with its square.
-  A linked pair passes at its first common n-gram, whatever happens at later ones.
-* Groups replace answers derived from those of similar sets. Equal sets are one. In
-  every list all members are first compared with one leader; members linked to it share
-  its group, so their mutual comparisons are skipped. Other leaders follow in
-  further rounds; pairs of different groups that remain are compared one by one.
-
-Nothing is left out: a pair is skipped only if its bound excludes it, or if both
+* Block skipping. Two sets whose first common n-gram stands at positions i and j share
+  at most min(|x| - i, |y| - j) n-grams. An index list of more than ``BLOCK`` entries is
+  cut into blocks of like sizes and positions. Only block summaries are joined with each
+  other; blocks are opened together if the bounds of the two allow any link, and pairs
+  are told apart inside a task. A linked pair passes at its first common n-gram,
+  whatever happens at later ones.
+* Derived answers. In every list all members are first compared with one leader, the set
+  whose n-grams are in most other sets. Members linked to it
+  share its group, so their mutual comparisons are skipped. The overlap of a member
+  with its leader bounds its overlap with every other member of the same leader:
+  |x & y| + |y & z| - |y| <= |x & z| <= |y & z| + |x| - |x & y|. A pair is linked, or
+  excluded, from these two numbers alone where they suffice; only the rest is compared
+  by whole texts. Equal sets are one.
+
+Nothing is left out: a pair is skipped only if a bound excludes it, or if both
 sets are in one group already. The order of n-grams decides speed, never results:
 ``FREQUENT`` bounds the list of n-grams that are put last.
 """
@@ -36,8 +40,10 @@ WORDS = 5
 THRESHOLD = (80, 100)   # intersection * 100 >= union * 80
 FREQUENT = 1 << 17      # n-grams put last in the order (one megabyte)
 LOCAL_COUNT = 3         # rows of a batch that share an n-gram before it may count as frequent
-STALLED = 0.7           # share of open pairs that a round of leaders must not leave
-ROUNDS = 8              # leaders tried before remaining pairs are compared one by one
+STALLED = 0.7           # share of open entries that a round of leaders must not leave
+ROUNDS = 8              # leaders tried before lists are read block by block
+BLOCK = 256             # entries of a block of an index list
+POSITIONS = 40          # blocks tell positions apart by this part of a set
 COMPARED = 128          # pairs whose texts are in memory at once
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -142,7 +148,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """(a, b, link) of each pair of sets, by their whole texts."""
+    """(a, b, both, link) of each pair of sets, by their whole texts: common n-grams, and if they are enough."""
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         unpack = zstandard.ZstdDecompressor()
@@ -157,17 +163,19 @@ def _compare(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, COMPARED):
                 batch = whole.slice(at, COMPARED)
-                link = []
+                common, link = [], []
                 for x, y in zip(sets(batch.column("za")), sets(batch.column("zb"))):
                     both = len(np.intersect1d(x, y, assume_unique=True))
+                    common.append(both)
                     link.append(both * THRESHOLD[1] >= (len(x) + len(y) - both) * THRESHOLD[0])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("a"), batch.column("b"), pa.array(link, pa.bool_())], names=["a", "b", "link"])
+                    [batch.column("a"), batch.column("b"), pa.array(common, pa.int32()), pa.array(link, pa.bool_())],
+                    names=["a", "b", "both", "link"])
 
     left = texts.select(F.col("sid").alias("a"), F.col("z").alias("za"))
     right = texts.select(F.col("sid").alias("b"), F.col("z").alias("zb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "za", "zb").mapInArrow(
-        run, "a long, b long, link boolean")
+        run, "a long, b long, both int, link boolean")
 
 
 @contextmanager
@@ -253,70 +261,166 @@ def _group_sets(source: DataFrame, sets: DataFrame, scratch: Scratch, words: int
     lists = scratch.write(entries.join(met, "gram"), "lists")
     scratch.drop("entries")
     # a text for each set that met another: any of its documents
-    # how much a set shares with others: the least changed of many near copies shares most
-    wanted = scratch.write(lists.groupBy("sid").agg(F.avg("_c").alias("shared")), "wanted")
+    # how much a set shares with others: the least changed of many near copies has fewest n-grams of its own
+    wanted = scratch.write(lists.groupBy("sid").agg((F.sum("_c") / F.max("n")).alias("shared")), "wanted")
     lists = lists.drop("_c")
     reps = sets.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.min("uid").alias("uid"))
     texts = scratch.write(_texts(source, reps), "texts")
     comp = wanted.select("sid", "shared", F.col("sid").alias("comp"))
-    checked = before = None
+    answers = checked = before = None
     for turn in range(ROUNDS + 1):
-        open_lists, remaining, size = _open_lists(lists, comp, scratch, turn)
-        if turn:
-            scratch.drop("lists" if turn == 1 else f"lists-{turn - 1}")
-        lists = open_lists
-        if not remaining:
+        lists, size = _open_lists(lists, comp, scratch, turn)
+        scratch.drop("lists" if not turn else f"lists-{turn - 1}")
+        if not size:
             break
-        # leaders go on while they settle lists; what they leave is compared pair by pair
-        settled = before is not None and (remaining <= 2 * size or remaining > STALLED * before)
-        last, before = turn == ROUNDS or settled, remaining
-        pairs = _all_pairs(lists) if last else _leader_pairs(lists, turn)
+        # leaders go on while they settle lists; what they leave is read block by block
+        last = turn == ROUNDS or (before is not None and size > STALLED * before)
+        before = size
+        if last:
+            pairs = scratch.write(_block_pairs(lists, answers, scratch), "pairs")
+            comp = _joined(comp, pairs.where("sure").select("a", "b"), scratch, turn)
+            of = comp.select("sid", "comp")
+            pairs = (
+                pairs.where("not sure").select("a", "b")
+                .join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
+            )
+        else:
+            pairs = scratch.write(_leader_pairs(lists, turn), f"leaders-{turn}")
+        open_pairs = pairs.select("a", "b")
         if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+            open_pairs = open_pairs.join(checked, ["a", "b"], "left_anti")
         with small_batches(source.sparkSession, COMPARED):
-            found = scratch.write(_compare(pairs, texts, words), f"found-{turn}")
-        checked = found.select("a", "b") if checked is None else checked.unionByName(found.select("a", "b"))
-        links = found.where("link").select("a", "b")
-        if links.limit(1).count():
-            comp = _joined(comp, links, scratch, turn)
+            found = scratch.write(_compare(open_pairs, texts, words), f"found-{turn}")
+        comp = _joined(comp, found.where("link").select("a", "b"), scratch, turn + (ROUNDS + 1) * last)
         if last:
             break
+        done = found.select("a", "b")
+        checked = done if checked is None else checked.unionByName(done)
+        answers = _answers(pairs.join(found, ["a", "b"]), answers)
     return comp
 
 
-def _open_lists(lists: DataFrame, comp: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, int, int]:
-    """Lists that still hold several groups, how many pairs of different groups, and their entries."""
+def _answers(found: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(sid, lead, both, ln): the overlap of a set with the leader that shares most, and that leader's size."""
+    member = F.when(F.col("lead") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("sid")
+    new = found.select(member, F.struct("shared", "lead", "both", "ln").alias("best"))
+    rows = new if before is None else new.unionByName(before)
+    return rows.groupBy("sid").agg(F.max("best").alias("best"))
+
+
+def _open_lists(lists: DataFrame, comp: DataFrame, scratch: Scratch, turn: int) -> tuple[DataFrame, int]:
+    """Lists that still hold several groups, and the number of their entries."""
     now = lists.drop("comp", "shared").join(comp, "sid")
     mixed = now.groupBy("gram").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi")
     kept = scratch.write(now.join(mixed.select("gram"), "gram", "left_semi"), f"lists-{turn}")
-    parts = kept.groupBy("gram", "comp").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    sizes = parts.groupBy("gram").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
-    row = sizes.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.sum("all")).first()
-    return kept, int(row[0] or 0), int(row[1] or 0)
+    return kept, kept.count()
 
 
 def _leader_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Every entry with the leader of its list, where sizes and positions allow a link.
+    """(a, b, lead, ln, shared): every entry with the leader of its list, where sizes and positions allow a link.
 
-    The leader shares most with others; later turns take it from another half of the sets.
+    All lists prefer leaders in the same order, so near copies meet the same one;
+    later turns take it from another half of the sets.
     """
     half = F.xxhash64("sid").bitwiseAND(F.lit(1 << turn)) if turn else F.lit(0)
     chosen = F.struct((half != 0).alias("half"), "shared", "sid", "n", "pos", "comp")
     leaders = lists.groupBy("gram").agg(F.max(chosen).alias("y"))
     x = lists.join(leaders, "gram").where("comp <> y.comp").selectExpr("struct(sid, n, pos) as x", "y")
     return x.where(_possible("x", "y")).selectExpr(
-        "least(x.sid, y.sid) as a", "greatest(x.sid, y.sid) as b").distinct()
+        "least(x.sid, y.sid) as a", "greatest(x.sid, y.sid) as b", "y.sid as lead", "y.n as ln", "y.shared as shared",
+    ).dropDuplicates(["a", "b"])
 
 
-def _all_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs of different groups that meet in a list, where sizes and positions allow a link."""
-    x, y = lists.alias("x"), lists.alias("y")
-    met = x.join(y, F.expr(f"x.gram = y.gram and x.sid < y.sid and x.comp <> y.comp and {_possible('x', 'y')}"))
-    return met.selectExpr("x.sid as a", "y.sid as b").distinct()
+def _block_pairs(lists: DataFrame, answers: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """(a, b, sure): pairs of different groups that bounds do not exclude; ``sure`` ones are linked by their answers.
+
+    A list of up to ``BLOCK`` entries is one block. Longer ones are cut by size and
+    position; groups with many entries there have blocks of their own.
+    """
+    entries = lists.drop("shared")
+    if answers is None:
+        entries = entries.withColumn("best", F.lit(None).cast("struct<lead:long,both:int,ln:int>"))
+    else:
+        entries = entries.join(answers, "sid", "left")
+    entries = entries.select(
+        "gram", "sid", "n", "pos", "comp", F.coalesce("best.lead", "sid").alias("lead"),
+        F.coalesce("best.both", "n").alias("both"), F.coalesce("best.ln", "n").alias("ln"))
+    total = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("total"))
+    like = F.floor(F.log("n") / F.log(F.lit(THRESHOLD[1] / THRESHOLD[0]))) * (POSITIONS + 1) + F.floor(F.col("pos") * POSITIONS / F.col("n"))
+    entries = scratch.write(entries.join(total, "gram").withColumn(
+        "like", F.when(F.col("total") > BLOCK, like).otherwise(F.lit(-1)).cast("long")), "classed")
+    long_lists = entries.where(F.col("total") > BLOCK)
+    parts = long_lists.groupBy("gram", "like", "comp").agg(F.count(F.lit(1)).alias("own"))
+    sums = parts.where(F.col("own") <= BLOCK).groupBy("gram", "like").agg(F.sum("own").alias("others"))
+    salted = (
+        long_lists.join(parts, ["gram", "like", "comp"]).join(sums, ["gram", "like"], "left")
+        .withColumn("mine", F.when(F.col("own") > BLOCK, F.col("comp")))
+        .withColumn("salt", F.when(F.col("own") > BLOCK, F.expr(f"pmod(xxhash64(sid), ceil(own / {BLOCK}))"))
+                    .otherwise(F.expr(f"pmod(xxhash64(comp), ceil(others / {BLOCK}))")))
+    )
+    short = entries.where(F.col("total") <= BLOCK).withColumn("mine", F.lit(None).cast("long")).withColumn("salt", F.lit(0).cast("long"))
+    fields = ("sid", "n", "pos", "comp", "lead", "both", "ln")
+    names = ("gram", "like", "mine", "salt", *fields)
+    blocks = salted.select(*names).unionByName(short.select(*names)).groupBy("gram", "like", "mine", "salt").agg(
+        *(F.collect_list(x).alias(x) for x in fields),  # about BLOCK entries
+        F.min("n").alias("small"), F.max("n").alias("large"), F.max(F.col("n") - F.col("pos")).alias("most"),
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    blocks = scratch.write(blocks.withColumn("block", F.xxhash64("like", "mine", "salt")), "blocks")
+    scratch.drop("classed")
+    t, s = THRESHOLD
+    brief = blocks.select("gram", "block", "small", "large", "most", "lo", "hi")
+    met = brief.alias("x").join(brief.alias("y"), F.expr(
+        f"x.gram = y.gram and x.block <= y.block and not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)"
+        f" and least(x.most, y.most) * {s + t} >= {t} * (x.small + y.small)"
+        f" and x.large * {s} >= y.small * {t} and y.large * {s} >= x.small * {t}",
+    )).selectExpr("x.gram as gram", "x.block as bx", "y.block as by")
+    left = blocks.selectExpr("gram", "block as bx", "struct({}) as x".format(", ".join(fields)))
+    right = blocks.selectExpr("gram", "block as by", "struct({}) as y".format(", ".join(fields)))
+    both = met.join(left, ["gram", "bx"]).join(right, ["gram", "by"])
+    pairs = both.selectExpr("bx = by as same", "x", "y").mapInArrow(_opened, "a long, b long, sure boolean")
+    return pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of entries of two blocks that their sizes, positions and answers do not exclude."""
+    t, s = THRESHOLD
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            x, y = ({k.name: row.column(side).field(k.name).flatten().to_numpy().astype(np.int64)
+                     for k in row.column(side).type} for side in ("x", "y"))
+            apart = x["comp"][:, None] != y["comp"][None, :]
+            if row.column("same")[0].as_py():
+                apart &= x["sid"][:, None] < y["sid"][None, :]
+            n, m = x["n"][:, None], y["n"][None, :]
+            most = np.minimum(n - x["pos"][:, None], m - y["pos"][None, :])
+            least = np.zeros_like(most)
+            led = x["lead"][:, None] == y["lead"][None, :]
+            o, p = x["both"][:, None], y["both"][None, :]
+            most = np.where(led, np.minimum(most, np.minimum(p + n - o, o + m - p)), most)
+            least = np.where(led, o + p - x["ln"][:, None], least)
+            apart &= (most * (s + t) >= t * (n + m)) & (np.minimum(n, m) * s >= np.maximum(n, m) * t)
+            u, v = np.nonzero(apart)
+            sure = least[u, v] * (s + t) >= (t * (n + m))[u, v]
+            # one sure pair for two groups is enough, and settles the others of these groups
+            groups = np.sort(np.column_stack([x["comp"][u], y["comp"][v]]), axis=1)
+            _, number = np.unique(groups, axis=0, return_inverse=True)
+            number = number.reshape(-1)
+            settled = np.zeros(number.max(initial=-1) + 1, bool)
+            settled[number[sure]] = True
+            first = np.zeros(len(u), bool)
+            at = np.flatnonzero(sure)
+            first[at[np.unique(number[at], return_index=True)[1]]] = True
+            keep = first | ~settled[number]
+            a, b = x["sid"][u[keep]], y["sid"][v[keep]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure[keep])], names=["a", "b", "sure"])
 
 
 def _joined(comp: DataFrame, links: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
     """Groups after new links between them."""
+    if not links.limit(1).count():
+        return comp
     of = comp.select(F.col("sid").alias("a"), F.col("comp").alias("ca"))
     to = comp.select(F.col("sid").alias("b"), F.col("comp").alias("cb"))
     edges = links.join(of, "a").join(to, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))

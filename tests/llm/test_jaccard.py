@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from panelrisk.llm import jaccard
@@ -43,9 +44,10 @@ def texts():
     return out + out[6:9]
 
 
-@pytest.mark.parametrize("rounds,frequent", [(8, 1 << 17), (1, 4), (0, 0)])
-def test_same_as_brute_force(make, monkeypatch, rounds, frequent):
+@pytest.mark.parametrize("rounds,frequent,block", [(8, 1 << 17, 256), (1, 4, 4), (0, 0, 3)])
+def test_same_as_brute_force(make, monkeypatch, rounds, frequent, block):
     monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     given = texts()
     rows = {r["doc_id"]: r for r in jaccard.linked_groups(make(given), frequent=frequent).collect()}
     for i, (n, c) in enumerate(brute(given)):
@@ -68,3 +70,27 @@ def test_one_of_each_group_stays(make):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(expected)
     twice = jaccard.keep_one(make(["a b c d e f"] * 3, ids=[1, 1, 2]))
     assert [r["doc_id"] for r in twice.collect()] == [1]
+
+
+def entries(comp, both, lead, n, pos):
+    return [{"sid": 10 * c + i, "n": n, "pos": pos, "comp": 10 * c + i, "lead": lead, "both": o, "ln": 100}
+            for c, o in zip(comp, both) for i in range(2)]
+
+
+def opened(x, y, same=False):
+    def columns(rows):
+        return {k: [r[k] for r in rows] for k in rows[0]}
+
+    batch = pa.RecordBatch.from_pylist([{"same": same, "x": columns(x), "y": columns(y)}])
+    return [tuple(r.values()) for out in jaccard._opened(iter([batch])) for r in out.to_pylist()]
+
+
+def test_answers_of_a_leader_link_or_exclude():
+    # 100 n-grams each: an overlap of 89 links; 96 + 95 - 100 = 91 is enough, 100 - 100 + 80 is not
+    near, other = entries([1], [96], 7, 100, 2), entries([2], [95], 7, 100, 2)
+    assert opened(near, other) == [(a, b, True) for a in (10, 11) for b in (20, 21)]
+    assert opened(near, entries([3], [80], 7, 100, 2)) == []
+    # nothing is derived from another leader, positions alone exclude
+    assert {s for *_, s in opened(near, entries([4], [80], 8, 100, 2))} == {False}
+    assert opened(near, entries([5], [95], 8, 100, 12)) == []
+    assert len(opened(near, near, same=True)) == 1
