@@ -12,9 +12,12 @@ hundred symbols. Short words, whose end is in sight, are kept in a bounded memo.
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
+import heapq
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -28,6 +31,61 @@ WINDOW = 1024     # symbols of a long word in memory, beside the lookahead
 MEMO_LENGTH = 96  # characters of a piece between spaces that may be kept
 MEMO_SIZE = 1 << 19
 READ = 1 << 16    # characters of a text handled at once
+SHORT = 64        # symbols up to which a scan finds the next merge faster than a heap
+
+# Where the Unicode tables of the tokenizer library differ from those of Python 3.13 (15.1).
+# Its letters, numbers and lower case are newer, its composition is older.
+LETTERS = (
+    "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E "
+    "11390-113B5 113B7 113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0")
+NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+CAPITALS = {  # distance to the small letter
+    "1C89 A7CC A7CE A7D2 A7D4 A7DA": 1, "A7CB": -42343, "A7DC": -42561, "10D50-10D65": 32, "16EA0-16EB8": 27}
+STARTERS = (  # marks that do not move past others there, and a sign that does not compose
+    "7FD 898-89F 8CA-8D3 9FE C3C D3B-D3C EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF "
+    "10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 "
+    "11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF")
+
+
+def _spans(ranges: str) -> list[tuple[int, int]]:
+    ends = [r.split("-") for r in ranges.split()]
+    return [(int(e[0], 16), int(e[-1], 16)) for e in ends]
+
+
+def _class(spans: list[tuple[int, int]]) -> str:
+    """Inside of a pattern's brackets."""
+    return "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in spans)
+
+
+@functools.cache
+def letter_class(kind: str) -> str:
+    """The code points of category L or N as the tokenizer library knows them."""
+    spans = _spans({"L": LETTERS, "N": NUMBERS}[kind])
+    begin = None
+    for code in range(sys.maxunicode + 2):
+        inside = code <= sys.maxunicode and unicodedata.category(chr(code))[0] == kind
+        if inside and begin is None:
+            begin = code
+        elif not inside and begin is not None:
+            spans.append((begin, code - 1))
+            begin = None
+    return _class(spans)
+
+
+_SMALL = {c: c + d for ranges, d in CAPITALS.items() for a, b in _spans(ranges) for c in range(a, b + 1)}
+_CAPITAL = re.compile(f"[{_class([(c, c) for c in _SMALL])}]")
+_STARTER = re.compile(f"([{_class(_spans(STARTERS))}])")
+
+
+def normal_form(text: str) -> str:
+    """Composed and in lower case, letter by letter: no final form of sigma."""
+    if text.isascii():
+        return text.lower()
+    # marks on the two sides of a starter neither move nor compose across it
+    text = "".join(unicodedata.normalize("NFC", part) for part in _STARTER.split(text))
+    if _CAPITAL.search(text):
+        text = text.translate(_SMALL)
+    return text.replace("Σ", "σ").lower()
 
 
 def byte_letters() -> list[str]:
@@ -85,7 +143,7 @@ class BPE:
             i: len(t[:-len(self.end)] if self.end and t.endswith(self.end) else t)
             for i, t in self.pieces.items()
         }
-        self.normal, self.split = self._steps(spec)
+        self.split_ascii, self.split = self._steps(spec)
         self.digits = {i: str(i) for i in self.pieces}
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.words: dict[str, tuple[int, ...]] = {}
@@ -101,16 +159,15 @@ class BPE:
         if split["behavior"] != "Removed" or not split["invert"]:
             raise ValueError("this split is not supported")
         # runs of space are made one space, which the pattern then leaves out; they need no step
-        pattern = regex.compile(split["pattern"]["Regex"])
-
-        def normal(text: str) -> str:
-            # one letter at a time: no final form of sigma
-            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-
-        return normal, pattern
+        pattern = split["pattern"]["Regex"]
+        for kind in "LN":
+            pattern = pattern.replace(rf"[\p{{{kind}}}]", f"[{letter_class(kind)}]").replace(rf"\p{{{kind}}}", letter_class(kind))
+        return regex.compile(split["pattern"]["Regex"]), regex.compile(pattern)
 
     def merge(self, ids: list[int]) -> list[int]:
-        """Tokens of a short run of symbols: the lowest rank first, from the left."""
+        """Tokens of a run of symbols: the lowest rank first, from the left."""
+        if len(ids) > SHORT:
+            return self._merge_long(ids)
         ranks, never = self.ranks, len(self.made)
         todo = [ranks.get(pair, never) for pair in zip(ids, ids[1:])]
         while todo:
@@ -126,6 +183,28 @@ class BPE:
                 todo[at] = ranks.get((ids[at], ids[at + 1]), never)
         return ids
 
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs over a linked list."""
+        ranks, made, n = self.ranks, self.made, len(ids)
+        after, before, dead = [*range(1, n + 1)], [*range(-1, n - 1)], -1
+        heap = [(rank, at) for at, pair in enumerate(zip(ids, ids[1:])) if (rank := ranks.get(pair)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, at = heapq.heappop(heap)
+            right = after[at]
+            if ids[at] == dead or right >= n or ranks.get((ids[at], ids[right])) != rank:
+                continue  # one of the two was merged meanwhile
+            ids[at], ids[right] = made[rank], dead
+            after[at] = right = after[right]
+            left = before[at]
+            if right < n:
+                before[right] = at
+                if (rank := ranks.get((ids[at], ids[right]))) is not None:
+                    heapq.heappush(heap, (rank, at))
+            if left >= 0 and (rank := ranks.get((ids[left], ids[at]))) is not None:
+                heapq.heappush(heap, (rank, left))
+        return [i for i in ids if i != dead]
+
     def stream_word(self, symbols: Iterator[int]) -> Iterator[list[int]]:
         """Tokens of one word of any length, emitted as soon as they are stable."""
         held: list[int] = []
@@ -169,7 +248,8 @@ class BPE:
             if part in self.special:
                 yield (self.special[part],)
                 continue
-            for m in self.split.finditer(self.normal(part)):
+            split = self.split_ascii if part.isascii() else self.split
+            for m in split.finditer(normal_form(part)):
                 word = m.group()
                 if len(word) <= MEMO_LENGTH:
                     yield self._word(word)

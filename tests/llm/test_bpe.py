@@ -1,10 +1,12 @@
 import hashlib
 import random
+import time
 
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
-from tokenizers import Tokenizer  # noqa: E402
+import regex  # noqa: E402
+from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers  # noqa: E402
 
 from panelrisk.llm import bpe  # noqa: E402
 
@@ -34,6 +36,47 @@ def test_matches_the_library_on_odd_texts(own, library):
         assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+POINTS = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+
+
+@pytest.mark.parametrize("kind", ["L", "N"])
+def test_every_code_point_is_classed_as_in_the_library(kind):
+    split = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}"), "removed", invert=True)
+    own = regex.compile(f"[{bpe.letter_class(kind)}]")
+    for first in range(0, len(POINTS), 512):
+        text = " ".join(map(chr, POINTS[first:first + 512]))
+        assert own.findall(text) == [piece for piece, _ in split.pre_tokenize_str(text)], hex(POINTS[first])
+
+
+def test_every_code_point_has_the_normal_form_of_the_library():
+    steps = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+    for c in POINTS:
+        text = f"{chr(c)} a{chr(c)}\u0300\u0315 a\u0315{chr(c)}"
+        assert bpe.normal_form(text) == steps.normalize_str(text), hex(c)
+
+
+def test_code_points_that_the_tables_name(own, library):
+    spans = " ".join([bpe.LETTERS, bpe.NUMBERS, bpe.STARTERS, *bpe.CAPITALS])
+    for first, last in bpe._spans(spans):
+        for c in range(first, last + 1)[:40]:
+            text = f"!a{chr(c)}1{chr(c)}\u0300\u0315 a\u0315{chr(c)}"
+            assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(c)
+
+
+def test_composition_is_that_of_the_library(own, library):
+    text = "\U00011935\U00011930 \U00011938 a\u0315\u0898\u0300"
+    assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_long_word_takes_linear_time(own, library):
+    draw = random.Random(5)
+    word = "".join(draw.choice("aeinrstlo") for _ in range(300_000))
+    began = time.monotonic()
+    ids = own.encode(word)
+    assert time.monotonic() - began < 20
+    assert ids == library.encode(word, add_special_tokens=False).ids
+
+
 def test_long_words_go_through_a_bounded_window(own, library, monkeypatch):
     monkeypatch.setattr(bpe, "WINDOW", 16)
     draw = random.Random(4)
