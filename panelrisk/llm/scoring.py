@@ -2,12 +2,15 @@
 
 Counts cover all training documents. The model interpolates trigrams, bigrams and
 an add-half unigram estimate with absolute discounting. It holds every n-gram that
-occurs ``LEAST`` times, whatever the size of the corpus, and so grows with it: the
-n-grams are dealt by their middle word to parts of about ``PART`` training tokens,
-and the levels of each part are a file in the shared folder. A task maps one part
-at a time and looks up the distinct n-grams of its texts there. Words that have a
-share of ``HEAD`` (at most 1/``HEAD``) are broadcast with their counts; the
-occurrences of all others are joined with the table of counts.
+occurs ``LEAST`` times, whatever the size of the corpus, and so grows with it.
+
+Every occurrence of a word with its neighbours goes once, packed, to the part of
+that word; a part has about ``PART`` of them. There the training occurrences are
+counted, the levels of the part are written to the shared folder and mapped, and
+the distinct n-grams of all texts are looked up. What they add returns as one sum
+per text and part. Words that have a share of ``HEAD`` (at most 1/``HEAD``) are
+broadcast with their counts; the occurrences of all others are joined with the
+table of counts.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from panelrisk.llm import bytesops as B
@@ -29,10 +33,11 @@ from panelrisk.llm.scratch import Scratch
 HEAD = 2.0 ** -20   # share of tokens from which a word is looked up in memory
 LEAST = 2.0         # occurrences from which a word, bigram or trigram is kept, at every size
 KEEP = 0.0          # share of tokens that it must have besides; not used unless asked for
-PART = 1_000_000    # training tokens whose n-grams make one part
+PART = 1_000_000    # tokens whose n-grams make one part
 DISCOUNT = 0.75
 FLUSH = 4_000_000   # tokens counted together in a task
-GRAMS = 1_000_000   # the same for n-grams, which take more memory a token
+GRAMS = 1_000_000   # n-grams that a task packs together, and rows at most
+_SPOT = 22          # bits of a row's place among those packed together
 END = np.uint64(0x0DDC0FFEE0DDF00D)
 CONTEXT, FOLLOWER = -1, -2  # roles of a bigram in a part
 _BITS = 31          # bits of a word number in a packed bigram
@@ -51,32 +56,54 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Counter:
-    """Sums of int64 keys that are passed on now and then."""
+    """Occurrences of words, in training texts and in all, that are passed on now and then."""
 
-    def __init__(self, name: str):
-        self.name, self.held, self.size = name, [], 0
+    def __init__(self):
+        self.held, self.size = [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append(keys)
-        self.size += len(keys)
+    def add(self, words: np.ndarray, learned: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((words, learned))
+        self.size += len(words)
         if self.size >= FLUSH:
             yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(self.held or [np.zeros(0, np.int64)]), return_counts=True)
+        words, learned = (np.concatenate(x) for x in zip(*self.held)) if self.held else (np.zeros(0, np.int64),) * 2
         self.held, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=[self.name, "c"])
+        words, at, n = np.unique(words, return_inverse=True, return_counts=True)
+        c = np.bincount(at, learned, len(words)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(c), pa.array(n)], names=["word", "c", "everywhere"])
 
 
-def count_words(texts: DataFrame) -> DataFrame:
+def count_words(docs: DataFrame) -> DataFrame:
+    """(word, c, everywhere) of (text, held_out): how often training texts, and all texts, have a word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter("word")
+        counter = _Counter()
         for batch in batches:
             for piece in B.pieces(batch, "text"):
-                yield from counter.add(tokens(piece.column("text"))[0].view(np.int64))
+                words, row = tokens(piece.column("text"))
+                yield from counter.add(words.view(np.int64), ~_flags(piece)[row])
         yield counter.flush()
 
-    return texts.mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = docs.mapInArrow(run, "word long, c long, everywhere long")
+    return counts.groupBy("word").agg(F.sum("c").alias("c"), F.sum("everywhere").alias("everywhere"))
+
+
+def _flags(piece: pa.RecordBatch) -> np.ndarray:
+    return piece.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Whole numbers below 2^31, or single floats, compressed byte by byte of all values."""
+    flat = np.stack([c.view(np.int32) if c.dtype == np.float32 else c.astype(np.int32) for c in columns])
+    planes = flat.view(np.uint8).reshape(len(columns), -1, 4).transpose(0, 2, 1)
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, columns: int, n: int) -> np.ndarray:
+    raw = pa.decompress(blob, decompressed_size=4 * columns * n, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 4, n).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view(np.int32)[:, :, 0]
 
 
 class Vocabulary:
@@ -145,40 +172,6 @@ def store_vocabulary(table: DataFrame, least: float, size: int, folder: str) ->
     return Vocabulary([files.get(k, (0, empty)) for k in range(ranges)])
 
 
-def count_grams(texts: DataFrame, vocabulary: Vocabulary, order: int) -> DataFrame:
-    """(pair, last, c): counts of n-grams of words that are in the vocabulary.
-
-    ``pair`` holds the numbers of two words; ``last`` is the third, -1 for bigrams.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def flush(held: list) -> pa.RecordBatch:
-        pair, last = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64),) * 2
-        pair, last, n = _distinct(pair, last)[:3]
-        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(last), pa.array(n)], names=["pair", "last", "c"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for piece in B.pieces(batch, "text"):
-                h, row = tokens(piece.column("text"))
-                number = shared.value.numbers(h)
-                ok = (number[1:] >= 0) & (number[:-1] >= 0) & (row[1:] == row[:-1])
-                two = number[:-1] << _BITS | number[1:]
-                if order == 2:
-                    held.append((two[ok], np.full(ok.sum(), -1, np.int64)))
-                else:
-                    at = np.flatnonzero(ok[1:] & ok[:-1])
-                    held.append((two[at], number[at + 2]))
-                size += len(held[-1][0])
-                if size >= GRAMS:
-                    yield flush(held)
-                    held, size = [], 0
-        yield flush(held)
-
-    return texts.mapInArrow(run, "pair long, last long, c long").groupBy("pair", "last").agg(F.sum("c").alias("c"))
-
-
 def _distinct(pair: np.ndarray, last: np.ndarray) -> tuple:
     """Distinct rows in order, how often each is there, a place of each, and the number of each row's own."""
     order = np.lexsort((last, pair))
@@ -200,7 +193,8 @@ class TrigramModel:
     vocabulary: Vocabulary   # the words of n-grams
     parts: int
     spread: dict[int, int]   # over how many parts the n-grams around a very frequent word are dealt
-    paths: dict[int, str]    # the levels of each part
+    least: float = LEAST
+    folder: str = ""         # of the levels
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
@@ -213,9 +207,9 @@ class TrigramModel:
             at[spot] += B.mix((u[spot] + 1).astype(np.uint64)) % np.uint64(times)
         return (at % np.uint64(self.parts)).astype(np.int64)
 
-    def parts_after(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in v, and all parts that hold the followers of the word there."""
-        times = np.ones(len(v), np.int64)
+    def parts_around(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in v, and all parts that hold n-grams around the very frequent word there."""
+        times = np.zeros(len(v), np.int64)
         for word, n in self.spread.items():
             times[v == word] = min(n, self.parts)
         place = np.repeat(np.arange(len(v)), times)
@@ -223,34 +217,31 @@ class TrigramModel:
         return place, ((B.mix(v[place].astype(np.uint64)) + turn.astype(np.uint64)) % np.uint64(self.parts)).astype(np.int64)
 
 
-def _often(counts: DataFrame, least: float) -> pd.DataFrame:
+def _often(counts: DataFrame, column: str, least: float) -> pd.DataFrame:
     # at most one row per share: the shares of all rows sum to one
-    return counts.where(F.col("c") >= least).toPandas()
+    return counts.where((F.col("c") > 0) & (F.col(column) >= least)).select("word", "c", "everywhere").toPandas()
 
 
 def train(
-    texts: DataFrame, scratch: Scratch, head: float = HEAD, keep: float = KEEP, part: int = PART
+    docs: DataFrame, scratch: Scratch, head: float = HEAD, keep: float = KEEP, part: int = PART
 ) -> tuple[TrigramModel, DataFrame]:
-    """Model and the table (word, c) of all training tokens."""
-    table = scratch.write(count_words(texts), "words")
-    n, v = table.agg(F.sum("c"), F.count(F.lit(1))).first()
-    n = int(n or 0)
-    often = _often(table, max(1.0, head * n))
+    """Words of the model for (text, held_out), and the table (word, c) of all training tokens."""
+    table = scratch.write(count_words(docs), "words")
+    n, everywhere, v = table.agg(F.sum("c"), F.sum("everywhere"), F.count_if(F.col("c") > 0)).first()
+    n, everywhere = int(n or 0), int(everywhere or 0)
+    often = _often(table, "c", max(1.0, head * n))
     hashes = often["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     hashes, counts = hashes[order], often["c"].to_numpy(np.int64)[order]
     least = max(LEAST, keep * n)
     folder = mounted(scratch.folder) + "/levels"
     vocabulary = store_vocabulary(table, least, part, folder)
-    hot = _often(table, max(part, least))  # at most n / part words
-    number = vocabulary.numbers(hot["word"].to_numpy(np.int64).view(np.uint64))
-    spread = {int(k): int(-(-c // part)) for k, c in zip(number, hot["c"])}
-    model = TrigramModel(hashes, counts, n, int(v), vocabulary, max(1, -(-n // part)), spread, {})
-    pairs = scratch.write(count_grams(texts, vocabulary, 2).where(F.col("c") >= least), "pairs")
-    triples = scratch.write(count_grams(texts, vocabulary, 3).where(F.col("c") >= least), "triples")
-    model.paths = _store_parts(pairs.unionByName(triples), model, folder)
-    scratch.drop("pairs", "triples")
-    return model, table
+    hot = _often(table, "everywhere", part)  # at most everywhere / part words
+    words = hot["word"].to_numpy(np.int64).view(np.uint64)
+    number = vocabulary.numbers(words)
+    spread = {int(k): int(-(-c // part)) for k, c, w in zip(number, hot["everywhere"], words) if k >= 0 and w != END}
+    parts = max(1, -(-everywhere // part))
+    return TrigramModel(hashes, counts, n, int(v), vocabulary, parts, spread, least, folder), table.where("c > 0")
 
 
 def mounted(folder: str) -> str:
@@ -260,38 +251,95 @@ def mounted(folder: str) -> str:
     return "/" + folder.removeprefix("file:").lstrip("/")
 
 
-def _store_parts(grams: DataFrame, model: TrigramModel, folder: str) -> dict[int, str]:
-    """Deal the n-grams to the parts and write the levels of each.
+def _hot_followers(packed: DataFrame, model: TrigramModel) -> DataFrame:
+    """What follows the very frequent words, counted over all parts and sent to each that needs it."""
+    shared = packed.sparkSession.sparkContext.broadcast(model)
 
-    A part has the trigrams of its middle words, their contexts (``CONTEXT``) and
-    all followers of those words (``FOLLOWER``).
-    """
-    shared = grams.sparkSession.sparkContext.broadcast(model)
-    names = ["part", "pair", "last", "c"]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = np.array(sorted(shared.value.spread), np.int64)
+        for batch in batches:
+            codes = [np.zeros(0, np.int64)]
+            for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
+                _, v, w, place = _unpack(blob.as_py(), 4, n).astype(np.int64)
+                spot = np.flatnonzero((place & 1 == 1) & (w >= 0) & np.isin(v, hot))
+                codes.append(v[spot] << _BITS | w[spot])
+            code, c = np.unique(np.concatenate(codes), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(c)], names=["pair", "c"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pair, last, c = (batch.column(x).to_numpy() for x in names[1:])
-            u, v = pair >> _BITS, pair & _MASK
-            part = shared.value.part_of(u, v)
-            two = np.flatnonzero(last < 0)
-            place, after = shared.value.parts_after(u[two])
-            place = two[place]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([part, after])), pa.array(np.concatenate([pair, pair[place]])),
-                pa.array(np.concatenate([np.where(last < 0, CONTEXT, last), np.full(len(place), FOLLOWER)])),
-                pa.array(np.concatenate([c, c[place]]))], names=names)
-
-    def write(rows: pd.DataFrame) -> pd.DataFrame:
-        path = f"{folder}/part-{uuid.uuid4().hex}"
-        words, trie = _levels(shared.value, *(rows[x].to_numpy(np.int64) for x in names[1:]))
-        trie.save(path)
-        write_arrays(f"{path}/words", {"words": words})
-        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "path": [path]})
-
-    dealt = grams.mapInArrow(deal, "part long, pair long, last long, c long")
-    made = dealt.groupBy("part").applyInPandas(write, "part long, path string").collect()  # a row for each part
-    return {r["part"]: r["path"] for r in made}
+            pair, c = batch.column("pair").to_numpy(), batch.column("c").to_numpy()
+            place, part = shared.value.parts_around(pair >> _BITS)
+            order = np.argsort(part, kind="stable")
+            made = []
+            for spot in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                if len(spot):
+                    at = place[spot]
+                    made.append((int(part[spot[0]]), -1, len(spot), _pack(
+                        pair[at] >> _BITS, pair[at] & _MASK, c[at] >> _BITS, c[at] & _MASK)))
+            columns = zip(*made) if made else ([],) * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                names=["part", "chunk", "n", "blob"])
+
+    counted = packed.select("n", "blob").mapInArrow(count, "pair long, c long")
+    counted = counted.groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= model.least)
+    return counted.mapInArrow(deal, "part long, chunk long, n int, blob binary")
+
+
+def _kept(code: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    code, c = np.unique(code, return_counts=True)
+    return code[c >= least], c[c >= least]
+
+
+def look_up_part(rows: pd.DataFrame, model: TrigramModel) -> pd.DataFrame:
+    """What the n-grams of one part add to the texts that have them, packed as (place of the row, sum) per chunk."""
+    own = rows[rows["chunk"] >= 0]
+    if not len(own):
+        return pd.DataFrame({"chunk": [], "n": [], "blob": []})
+    u, v, w, place = np.concatenate([_unpack(b, 4, n) for b, n in zip(own["blob"], own["n"])], axis=1).astype(np.int64)
+    learned = place & 1 == 1
+    before, after = learned & (u >= 0), learned & (w >= 0)
+    context, context_c = _kept(u[before] << _BITS | v[before], model.least)
+    here = after & ~np.isin(v, np.array(sorted(model.spread), np.int64))
+    follow, follow_c = _kept(v[here] << _BITS | w[here], model.least)
+    for b, n in zip(rows.loc[rows["chunk"] < 0, "blob"], rows.loc[rows["chunk"] < 0, "n"]):
+        first, last, high, low = _unpack(b, 4, n).astype(np.int64)
+        follow, follow_c = np.append(follow, first << _BITS | last), np.append(follow_c, high << _BITS | low)
+    both = before & after
+    pair, last, triple_c = _distinct(u[both] << _BITS | v[both], w[both])[:3]
+    often = triple_c >= model.least
+    words, trie = _levels(
+        model, np.concatenate([context, follow, pair[often]]),
+        np.concatenate([np.full(len(context), CONTEXT), np.full(len(follow), FOLLOWER), last[often]]),
+        np.concatenate([context_c, follow_c, triple_c[often]]))
+    path = f"{model.folder}/part-{uuid.uuid4().hex}"
+    trie.save(path)
+    write_arrays(f"{path}/words", {"words": words})
+    # equal contexts and words are looked up once
+    _, _, _, one, back = _distinct((u + 1) << _BITS | v, w)
+    value, replaced = _looked_up(path, u[one], v[one], w[one])
+    # the base of the word is in the score already, or joined later
+    value[replaced] -= model.base(model.vocabulary.counts(w[one][replaced]))
+    row = np.repeat(np.arange(len(own)), own["n"]) << _SPOT | place >> 1
+    row, at = np.unique(row, return_inverse=True)
+    value = np.bincount(at, value[back], len(row)).astype(np.float32)
+    cuts = np.searchsorted(row >> _SPOT, np.arange(len(own) + 1))
+    return pd.DataFrame({
+        "chunk": own["chunk"].to_numpy(), "n": np.diff(cuts),
+        "blob": [_pack(row[a:b] & ((1 << _SPOT) - 1), value[a:b]) for a, b in zip(cuts, cuts[1:])]})
+
+
+def add_up(rows: pd.DataFrame) -> pd.DataFrame:
+    """Sums per row of one chunk over all parts."""
+    total = np.zeros(1 << _SPOT)
+    has = np.zeros(1 << _SPOT, bool)
+    for b, n in zip(rows["blob"], rows["n"]):
+        spot, value = _unpack(b, 2, n)
+        total[spot] += np.ascontiguousarray(value).view(np.float32)  # a row is there once
+        has[spot] = True
+    spot = np.flatnonzero(has)
+    return pd.DataFrame({"row": (int(rows["chunk"].iloc[0]) << _SPOT) + spot, "more": total[spot]})
 
 
 def _levels(model: TrigramModel, pair: np.ndarray, last: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, NgramTrie]:
@@ -322,6 +370,12 @@ def _levels(model: TrigramModel, pair: np.ndarray, last: np.ndarray, c: np.ndarr
     return words, trie
 
 
+def _once(find, *keys: np.ndarray) -> np.ndarray:
+    """Places of keys, each distinct one searched once and in order."""
+    code, one, back = np.unique(keys[0] << 40 | keys[1], return_index=True, return_inverse=True)
+    return find(*(k[one] for k in keys))[back]
+
+
 def _looked_up(path: str, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What n-grams of one part add to, or put in place of, the base of w; the part is mapped meanwhile only."""
     words, trie = map_arrays(f"{path}/words")["words"], NgramTrie.load(path)
@@ -331,11 +385,11 @@ def _looked_up(path: str, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[
     value[known] = trie.word_back.get(v[known])
     pair, before, triple = (np.full(len(w), -1, np.int64) for _ in range(3))
     has = np.flatnonzero((v >= 0) & (w >= 0))
-    pair[has] = trie.pair(v[has], w[has])
+    pair[has] = _once(trie.pair, v[has], w[has])
     replaced = pair >= 0
     value[replaced] = trie.pair_p.get(pair[replaced])
     two = np.flatnonzero((u >= 0) & (v >= 0))
-    before[two] = trie.pair(u[two], v[two])
+    before[two] = _once(trie.pair, u[two], v[two])
     both = np.flatnonzero((before >= 0) & replaced)
     triple[both] = trie.triple(before[both], v[both], pair[both])
     weight = np.flatnonzero((before >= 0) & (triple < 0))
@@ -345,8 +399,11 @@ def _looked_up(path: str, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[
     return value, replaced
 
 
-def score_piece(column: pa.Array, model: TrigramModel) -> dict:
-    """Per row: tokens, known tokens and sums over tokens in memory; and the other tokens."""
+def read_piece(column: pa.Array, model: TrigramModel) -> tuple[dict, tuple]:
+    """Per row: tokens, known tokens, sums over tokens in memory, the other tokens; and (u, v, w, row) of all n-grams.
+
+    v is a word of the model, u the one before it (-1: none or not in the model), w the same for the token after it.
+    """
     h, row = tokens(column)
     n = len(column)
     head = B.membership(model.head, h)
@@ -354,36 +411,30 @@ def score_piece(column: pa.Array, model: TrigramModel) -> dict:
     base = np.zeros(len(h))
     if len(model.head):
         base[known] = model.base(model.counts[head[known]])
-    score = base.copy()
     number = model.vocabulary.numbers(h)
-    ok = np.zeros(len(h), bool)  # a context stands before the token
-    ok[1:] = (number[:-1] >= 0) & (row[1:] == row[:-1])
-    at = np.flatnonzero(ok)
-    if len(at):
-        # equal contexts and words are looked up once
-        far = np.where(ok[at - 1], number[at - 2], -1)
-        _, _, _, one, back = _distinct((far + 1) << _BITS | number[at - 1], number[at])
-        u, v, w = far[one], number[at - 1][one], number[at][one]
-        value, replaced = np.zeros(len(one)), np.zeros(len(one), bool)
-        part = model.part_of(u, v)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order])) + 1
-        for spot in np.split(order, cuts):
-            path = model.paths.get(int(part[spot[0]]))
-            if path is not None:
-                value[spot], replaced[spot] = _looked_up(path, u[spot], v[spot], w[spot])
-        # the base of the word is in score already, or joined later
-        value[replaced] -= model.base(model.vocabulary.counts(w[replaced]))
-        score[at] += value[back]
+    at = np.flatnonzero((number[:-1] >= 0) & (row[1:] == row[:-1]))
+    u = np.where((at > 0) & (row[at - 1] == row[at]), number[at - 1], -1)
     tail = ~known
     return {
         "n": np.bincount(row, minlength=n), "known": np.bincount(row, known, n).astype(np.int64),
-        "base": np.bincount(row, base, n), "score": np.bincount(row, score, n),
-        "tail": h[tail], "tail_first": np.searchsorted(row[tail], np.arange(n + 1)),
-    }
+        "base": np.bincount(row, base, n), "tail": h[tail], "tail_first": np.searchsorted(row[tail], np.arange(n + 1)),
+    }, (u, number[at], number[at + 1], row[at])
 
 
-def score_documents(docs: DataFrame, held_out: Column, head: float = HEAD, keep: float = KEEP) -> DataFrame:
+def _packed(held: list[tuple], model: TrigramModel) -> list[tuple[int, int, bytes]]:
+    """(part, n-grams, packed n-grams) of a chunk."""
+    u, v, w, place = (np.concatenate(x) for x in zip(*held))
+    if not len(u):
+        return []
+    part = model.part_of(u, v)
+    order = np.lexsort((w, u, v, part))
+    return [(int(part[spot[0]]), len(spot), _pack(u[spot], v[spot], w[spot], place[spot]))
+            for spot in np.split(order, np.flatnonzero(np.diff(part[order])) + 1)]
+
+
+def score_documents(
+    docs: DataFrame, held_out: Column, head: float = HEAD, keep: float = KEEP, part: int = PART
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Null text is empty and has one token, the end. Rows where ``held_out`` is not
@@ -394,35 +445,66 @@ def score_documents(docs: DataFrame, held_out: Column, head: float = HEAD, keep:
     source = docs.select(
         "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    model, table = train(source.where("not held_out").select("text"), scratch, head, keep)
+    model, table = train(source.select("text", "held_out"), scratch, head, keep, part)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([source.schema["doc_id"], source.schema["held_out"]])
-    for name, kind in (("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base", T.DoubleType()),
-                       ("score", T.DoubleType()), ("rare", T.ArrayType(T.LongType()))):
+    schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType)])
+    for name, kind in (
+            ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()),
+            ("base", T.DoubleType()), ("rare", T.ArrayType(T.LongType())), ("row", T.LongType()),
+            ("part", T.LongType()), ("chunk", T.LongType()), ("n", T.IntegerType()), ("blob", T.BinaryType())):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a row of the result is a document, or the n-grams of a chunk of documents for one part
+        chunk, held, size, rows = TaskContext.get().partitionId() << 20, [], 0, 0
         for batch in batches:
+            kinds = [batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(),
+                     pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
             for piece in B.pieces(batch, "text"):
-                s = score_piece(piece.column("text"), shared.value)
+                s, (u, v, w, row) = read_piece(piece.column("text"), shared.value)
+                count = piece.num_rows
                 rare = pa.ListArray.from_arrays(pa.array(s["tail_first"].astype(np.int32)), pa.array(s["tail"].view(np.int64)))
+                spot = (chunk << _SPOT) + rows + np.arange(count)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("held_out"), pa.array(s["n"]), pa.array(s["known"]),
-                    pa.array(s["base"]), pa.array(s["score"]), rare], names=schema.names)
-
-    scored = source.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
-    scored = scratch.write(scored, "scored")
+                    pa.array(s["base"]), rare, pa.array(spot), *(pa.nulls(count, t) for t in kinds[7:])], names=schema.names)
+                held.append((u, v, w, (row + rows) << 1 | ~_flags(piece)[row]))
+                size, rows = size + len(u), rows + count
+                if max(size, rows) >= GRAMS:
+                    yield from emit(held, chunk, kinds)
+                    chunk, held, size, rows = chunk + 1, [], 0, 0
+        if held:
+            yield from emit(held, chunk, kinds)
+
+    def emit(held: list[tuple], chunk: int, kinds: list) -> Iterator[pa.RecordBatch]:
+        made = _packed(held, shared.value)
+        if made:
+            parts, n, blobs = zip(*made)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.nulls(len(made), t) for t in kinds[:7]), pa.array(parts, pa.int64()),
+                 pa.array([chunk] * len(made), pa.int64()), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())],
+                names=schema.names)
+
+    read = scratch.write(source.mapInArrow(run, schema), "read")
+    grams = read.where("part is not null").select("part", "chunk", "n", "blob")
+    if model.spread:
+        grams = grams.unionByName(_hot_followers(grams, model))
+    sums = grams.groupBy("part").applyInPandas(
+        lambda rows: look_up_part(rows, shared.value), "chunk long, n int, blob binary")
+    sums = scratch.write(sums.groupBy("chunk").applyInPandas(add_up, "row long, more double"), "sums")
+    scored = read.where("part is null").select("doc_id", "held_out", "n_tokens", "n_known", "base", "row")
     unseen = float(model.base(np.zeros(1))[0])
     scale = F.lit(model.total + 0.5 * (model.distinct + 1))
-    rare = scored.select("row", F.explode("rare").alias("word"))
-    found = rare.join(table, "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("c").isNull(), F.lit(unseen)).otherwise(F.log10((F.col("c") + 0.5) / scale))).alias("more"),
-        F.count("c").alias("known_more"))
-    total = scored.drop("rare").join(found, "row", "left")
-    more = F.coalesce("more", F.lit(0.0))
-    return total.select(
+    rare = read.where("part is null").select("row", F.explode("rare").alias("word"))
+    found = rare.join(table.select("word", "c"), "word", "left").select(
+        "row", F.when(F.col("c").isNull(), F.lit(unseen)).otherwise(F.log10((F.col("c") + 0.5) / scale)).alias("base_more"),
+        F.col("c").isNotNull().cast("int").alias("known_more"), F.lit(0.0).alias("more"))
+    both = found.unionByName(sums.select("row", F.lit(0.0).alias("base_more"), F.lit(0).alias("known_more"), "more"))
+    both = both.groupBy("row").agg(*(F.sum(x).alias(x) for x in ("base_more", "known_more", "more")))
+    base = F.col("base") + F.coalesce("base_more", F.lit(0.0))
+    return scored.join(both, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"),
+        base.alias("base_score"), (base + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
