@@ -439,7 +439,9 @@ def score_documents(
 
     Null text is empty and has one token, the end. Rows where ``held_out`` is not
     true train the model. Repeated rows count each time. Without any training row
-    no token is known and both scores are those of unseen tokens.
+    no token is known and both scores are those of unseen tokens. Documents and their
+    n-grams leave in one shuffle, so nothing depends on the order of ``docs`` being
+    the same twice, but for a task that is run again after a loss.
     """
     scratch = Scratch(docs.sparkSession, "scoring")
     source = docs.select(
@@ -455,7 +457,7 @@ def score_documents(
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a row of the result is a document, or the n-grams of a chunk of documents for one part
+        # a row of the result is a document (part below 0), or the n-grams of a chunk of documents for one part
         chunk, held, size, rows = TaskContext.get().partitionId() << 20, [], 0, 0
         for batch in batches:
             kinds = [batch.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(),
@@ -467,7 +469,8 @@ def score_documents(
                 spot = (chunk << _SPOT) + rows + np.arange(count)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("doc_id"), piece.column("held_out"), pa.array(s["n"]), pa.array(s["known"]),
-                    pa.array(s["base"]), rare, pa.array(spot), *(pa.nulls(count, t) for t in kinds[7:])], names=schema.names)
+                    pa.array(s["base"]), rare, pa.array(spot), pa.array(np.full(count, -1 - chunk)),
+                    *(pa.nulls(count, t) for t in kinds[8:])], names=schema.names)
                 held.append((u, v, w, (row + rows) << 1 | ~_flags(piece)[row]))
                 size, rows = size + len(u), rows + count
                 if max(size, rows) >= GRAMS:
@@ -485,17 +488,25 @@ def score_documents(
                  pa.array([chunk] * len(made), pa.int64()), pa.array(n, pa.int32()), pa.array(blobs, pa.binary())],
                 names=schema.names)
 
-    read = scratch.write(source.mapInArrow(run, schema), "read")
-    grams = read.where("part is not null").select("part", "chunk", "n", "blob")
+    def look_up(rows: pa.Table) -> pa.Table:
+        if rows.column("part")[0].as_py() < 0:
+            return rows  # documents go on as they are
+        made = look_up_part(rows.select(["chunk", "n", "blob"]).to_pandas(), shared.value)
+        return pa.table([pa.array(made[f.name].tolist(), f.type) if f.name in made else pa.nulls(len(made), f.type)
+                         for f in rows.schema], schema=rows.schema)
+
+    read = source.mapInArrow(run, schema)
     if model.spread:
-        grams = grams.unionByName(_hot_followers(grams, model))
-    sums = grams.groupBy("part").applyInPandas(
-        lambda rows: look_up_part(rows, shared.value), "chunk long, n int, blob binary")
-    sums = scratch.write(sums.groupBy("chunk").applyInPandas(add_up, "row long, more double"), "sums")
-    scored = read.where("part is null").select("doc_id", "held_out", "n_tokens", "n_known", "base", "row")
+        hot = _hot_followers(read.where("blob is not null"), model)
+        read = read.unionByName(hot, allowMissingColumns=True)
+    read = scratch.write(read.groupBy("part").applyInArrow(look_up, schema), "read")
+    sums = read.where("blob is not null").select("chunk", "n", "blob")
+    sums = sums.groupBy("chunk").applyInPandas(add_up, "row long, more double")
+    documents = read.where("part < 0")
+    scored = documents.select("doc_id", "held_out", "n_tokens", "n_known", "base", "row")
     unseen = float(model.base(np.zeros(1))[0])
     scale = F.lit(model.total + 0.5 * (model.distinct + 1))
-    rare = read.where("part is null").select("row", F.explode("rare").alias("word"))
+    rare = documents.select("row", F.explode("rare").alias("word"))
     found = rare.join(table.select("word", "c"), "word", "left").select(
         "row", F.when(F.col("c").isNull(), F.lit(unseen)).otherwise(F.log10((F.col("c") + 0.5) / scale)).alias("base_more"),
         F.col("c").isNotNull().cast("int").alias("known_more"), F.lit(0.0).alias("more"))
