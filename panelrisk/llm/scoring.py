@@ -33,10 +33,10 @@ from panelrisk.llm.scratch import Scratch
 HEAD = 2.0 ** -20   # share of tokens from which a word is looked up in memory
 LEAST = 2.0         # occurrences from which a word, bigram or trigram is kept, at every size
 KEEP = 0.0          # share of tokens that it must have besides; not used unless asked for
-PART = 1_000_000    # tokens whose n-grams make one part
+PART = 500_000      # tokens whose n-grams make one part
 DISCOUNT = 0.75
 FLUSH = 4_000_000   # tokens counted together in a task
-GRAMS = 1_000_000   # n-grams that a task packs together, and rows at most
+GRAMS = 500_000     # n-grams that a task packs together, and rows at most
 _SPOT = 22          # bits of a row's place among those packed together
 END = np.uint64(0x0DDC0FFEE0DDF00D)
 CONTEXT, FOLLOWER = -1, -2  # roles of a bigram in a part
@@ -235,7 +235,7 @@ def train(
     hashes, counts = hashes[order], often["c"].to_numpy(np.int64)[order]
     least = max(LEAST, keep * n)
     folder = mounted(scratch.folder) + "/levels"
-    vocabulary = store_vocabulary(table, least, part, folder)
+    vocabulary = store_vocabulary(table, least, 2 * part, folder)
     hot = _often(table, "everywhere", part)  # at most everywhere / part words
     words = hot["word"].to_numpy(np.int64).view(np.uint64)
     number = vocabulary.numbers(words)
@@ -307,15 +307,18 @@ def look_up_part(rows: pd.DataFrame, model: TrigramModel) -> pd.DataFrame:
         first, last, high, low = _unpack(b, 4, n).astype(np.int64)
         follow, follow_c = np.append(follow, first << _BITS | last), np.append(follow_c, high << _BITS | low)
     both = before & after
+    del before, after, here
     pair, last, triple_c = _distinct(u[both] << _BITS | v[both], w[both])[:3]
     often = triple_c >= model.least
     words, trie = _levels(
         model, np.concatenate([context, follow, pair[often]]),
         np.concatenate([np.full(len(context), CONTEXT), np.full(len(follow), FOLLOWER), last[often]]),
         np.concatenate([context_c, follow_c, triple_c[often]]))
+    del context, follow, pair, last, triple_c, often, both, learned
     path = f"{model.folder}/part-{uuid.uuid4().hex}"
     trie.save(path)
     write_arrays(f"{path}/words", {"words": words})
+    del words, trie
     # equal contexts and words are looked up once
     _, _, _, one, back = _distinct((u + 1) << _BITS | v, w)
     value, replaced = _looked_up(path, u[one], v[one], w[one])
