@@ -4,7 +4,7 @@ Found values are put in a canonical form (digits of a number, lower case of an
 address), so that one person or number gets one surrogate wherever and however
 it is written. A surrogate is made from a keyed hash: it has the type, length,
 separators, letter case, script and grammatical gender of what it replaces.
-Surrogates are checked against each other and against all values of the corpus;
+Surrogates, given names too, are checked against each other and against all values of the corpus;
 whoever collides draws again, so different values stay different.
 
 Texts of any length and shape are read in linear time: every repeat inside a pattern
@@ -21,7 +21,7 @@ per task when values are collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelrisk.llm.scratch import Scratch
 
@@ -74,6 +74,7 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # cheap test that every match passes: an @, five characters of a number, or a title
 HINT = r"@|\d[\d.() -]{4}|[0-9a-fA-F]{32}|[A-Z]{2}\d\d|(?:" + "|".join(
     t for ts in TITLES.values() for t in ts) + r")\.? \p{Lu}"
+PLAIN = 3  # draws of a single given name, later ones join more and more of them
 DRAWS = 16  # draws after which a surrogate may be longer than what it replaces
 
 
@@ -129,7 +130,8 @@ def _drawn(key: str) -> Column:
     """Surrogate of (kind, canon) for the number of the draw.
 
     Later draws come from a larger space: addresses and surnames grow with every
-    draw, numbers get further digits from draw ``DRAWS`` on, so every value finds one.
+    draw, given names from draw ``PLAIN`` on, numbers get further digits from draw
+    ``DRAWS`` on, so every value finds one.
     """
     seed = F.concat_ws("\x1f", F.lit(key), "kind", "canon", F.col("draw").cast("string"))
     stream = F.concat(*[F.sha2(F.concat(seed, F.lit(f"\x1f{i}")), 256) for i in range(2)])
@@ -173,35 +175,41 @@ def _made(stream: Column, digits: Column, letters: Column, hexes: Column) -> Col
                 (F.conv(F.substr(stream, 24 + 2 * i, F.lit(2)), 16, 10).cast("int") % len(syllables))]).otherwise("")), "")))
         for (gender, of), names in GIVEN.items():
             if of == script:
-                name = F.array(*map(F.lit, names))[(number(41, 4) % len(names)).cast("int")]
-                out = out.when((F.col("kind") == f"given-{gender}") & own, F.lower(name))
+                one = lambda i: F.array(*map(F.lit, names))[
+                    (F.conv(F.substr(stream, 41 + 4 * (i % 22), F.lit(4)), 16, 10).cast("long") % len(names)).cast("int")]
+                joined = F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(F.col("draw") - PLAIN, F.lit(0))), one), "-")
+                out = out.when((F.col("kind") == f"given-{gender}") & own, F.lower(joined))
     return out.otherwise(F.concat(shaped(canon, letters, 1), more))  # phone, card, ssn keep their first digit
 
 
+def _family(kind: Column) -> Column:
+    """Kinds whose values could be taken for each other: names, digits, and each other kind alone."""
+    return F.when(kind.rlike("^(surname|given)"), "names").when(kind.isin("phone", "card", "ssn"), "digits").otherwise(kind)
+
+
 def surrogates(values: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(kind, canon, surrogate) of the distinct values, without collisions.
 
-    Given names are few and may be shared: a person is told by the surname.
+    No two values of a family share a surrogate, and no surrogate is a value of the corpus.
     """
     distinct = scratch.write(values.where("kind <> 'title'").select("kind", "canon").distinct(), "distinct")
-    real = distinct.select("kind", F.col("canon").alias("surrogate"))
-    shared, made = F.expr("startswith(kind, 'given-')"), _drawn(key).alias("surrogate")
-    given = distinct.where(shared).withColumn("draw", F.lit(0)).select("kind", "canon", made)
-    settled = scratch.write(given, "settled-given")
-    open_values, draw = distinct.where(~shared), 0
-    first = Window.partitionBy("kind", "surrogate").orderBy(F.xxhash64("canon"), "canon")
+    family, made = _family(F.col("kind")).alias("family"), _drawn(key).alias("surrogate")
+    real = distinct.select(family, F.col("canon").alias("surrogate"))
+    settled, open_values, draw = None, distinct, 0
+    first = F.min(F.struct(F.xxhash64("kind", "canon").alias("at"), "kind", "canon")).alias("first")
     while True:
         # only values without a surrogate draw; a surrogate has one drawer but for those that collide
         drawn = scratch.write(
-            open_values.withColumn("draw", F.lit(draw)).select("kind", "canon", made)
-            .withColumn("rank", F.row_number().over(first)), f"drawn-{draw}")
-        free = drawn.where("rank = 1").drop("rank").join(real, ["kind", "surrogate"], "left_anti")
-        free = scratch.write(free.join(settled, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate"), f"free-{draw}")
-        settled = settled.unionByName(free)
+            open_values.withColumn("draw", F.lit(draw)).select(family, "kind", "canon", made), f"drawn-{draw}")
+        free = drawn.groupBy("family", "surrogate").agg(first).join(real, ["family", "surrogate"], "left_anti")
+        if settled is not None:
+            free = free.join(settled, ["family", "surrogate"], "left_anti")
+        free = scratch.write(free.select("family", "first.kind", "first.canon", "surrogate"), f"free-{draw}")
+        settled = free if settled is None else settled.unionByName(free)
         open_values = scratch.write(
             drawn.select("kind", "canon").join(free, ["kind", "canon"], "left_anti"), f"open-{draw}")
         if not open_values.limit(1).count():
-            return settled
+            return settled.drop("family")
         draw += 1
 
 
@@ -229,7 +237,8 @@ def _rendered() -> Column:
         F.substr(made, signs + 1, F.char_length(made)))
     cased = (
         F.when((surface == F.upper(surface)) & (F.col("kind") != "email") & surface.rlike(r"\p{L}"), F.upper(made))
-        .when(F.col("kind").rlike("^(surname|given)"), F.initcap(made)).otherwise(made)
+        .when(F.col("kind").rlike("^(surname|given)"), F.array_join(F.transform(F.split(made, "-"), F.initcap), "-"))
+        .otherwise(made)
     )
     return (
         F.when(F.col("kind") == "title", surface)

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from panelrisk.llm import pii
 
 KEY = "test key"
@@ -106,3 +108,19 @@ def test_plain_numbers_and_spaced_accounts(make):
         new = out[i][2:-3]
         assert new != v and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", v)
     assert out[5].replace(" ", "") == out[6].replace(" ", "")
+
+
+def test_given_names_stay_different_and_are_no_names_of_the_corpus(make):
+    real = [*pii.GIVEN[("m", "latin")], *(f"N{a}{b}o" for a in "aeiou" for b in ("l", "m", "n", "r", "s", "t"))]
+    out = [r["text"] for r in pii.replace_values(make([f"Mr {g} Smith" for g in real]), KEY).collect()]
+    given = [t.split(" ")[1] for t in out]
+    assert len(set(given)) == len(real) and not set(given) & set(real) and len({t.split(" ")[2] for t in out}) == 1
+    assert all(set(g.split("-")) <= set(pii.GIVEN[("m", "latin")]) for g in given)
+
+
+def test_surrogates_are_no_values_of_a_like_kind(spark, monkeypatch):
+    drawn = F.when(F.col("draw") == 0, "4155552671000").otherwise(F.concat("canon", F.col("draw").cast("string")))
+    monkeypatch.setattr(pii, "_drawn", lambda key: drawn)
+    values = spark.createDataFrame([("phone", "14155552671"), ("card", "4155552671000")], "kind string, canon string")
+    made = {r["kind"]: r["surrogate"] for r in pii.surrogates(values, KEY, pii.Scratch(spark, "pii")).collect()}
+    assert made == {"phone": "141555526711", "card": "41555526710001"}
