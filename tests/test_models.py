@@ -170,3 +170,17 @@ def test_importance_finds_the_used_column(rows):
     out = tune.permutation_importance(model, data, "y", ["a", "b", "noise"], ["id"], 3).collect()
     assert out[-1]["coluna"] == "noise" and out[0]["importancia"] > 0.3
     assert all(r["repeticoes"] == 3 for r in out)
+
+
+def test_groups_are_fitted_on_rows_that_are_not_cached(spark, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+
+    from panelrisk.ml import cluster
+
+    seen, fits = [], cluster._fits
+    monkeypatch.setattr(cluster, "_fits", lambda rows, points: seen.append(rows) or fits(rows, points))
+    data = spark.range(60).selectExpr("cast(id % 3 * 100 + id / 60 as double) as x", "cast(id % 3 as double) as y")
+    model, curve = cluster.choose_k(VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(data), (2, 3, 4), (1, 2))
+    assert model.summary.k == 3 and [k for k, _, _ in curve] == [2, 3, 4]
+    level = seen[0].storageLevel
+    assert not level.useMemory and not level.useDisk and seen[0].columns == ["features"]
