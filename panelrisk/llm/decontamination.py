@@ -13,7 +13,7 @@ the tasks once; spans of several blocks are merged per document at the end.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -199,14 +199,15 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
 
 
 def locate_windows(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
 ) -> DataFrame:
     """(doc_id, text, n_words, spans, byte_spans, items) of every document.
 
     ``spans`` are merged [first word, end word) pairs hit by a window, and
     ``byte_spans`` the same in UTF-8 bytes. Null text has no words and stays
     null. Repeated rows are scanned each on its own. An empty benchmark hits
-    nothing.
+    nothing. ``then`` turns these columns into (doc_id, text) in the same tasks.
     """
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     pairs = T.ArrayType(T.ArrayType(T.LongType()))
@@ -214,22 +215,27 @@ def locate_windows(
         T.StructType(list(source.schema.fields)).add("n_words", T.LongType()).add("spans", pairs)
         .add("byte_spans", pairs).add("items", T.ArrayType(T.StringType()))
     )
-    spark = docs.sparkSession
-    parts = []
-    for rows in item_blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(benchmark_windows(rows, window))
+    blocks = [docs.sparkSession.sparkContext.broadcast(benchmark_windows(rows, window))
+              for rows in item_blocks(benchmark, block_bytes)]
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def scanned(shared, finish=None, finished=schema) -> DataFrame:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in B.pieces(batch, "text"):
-                    yield _scan(piece, shared.value)
+                    found = _scan(piece, shared.value)
+                    yield finish(found) if finish else found
 
-        parts.append(source.mapInArrow(scan, schema))
-    found = parts[0]
-    if len(parts) == 1:
-        return found
+        return source.mapInArrow(scan, finished)
+
+    if len(blocks) == 1:
+        # one function for both: a second one would be a second worker beside each task
+        return scanned(blocks[0], then, source.schema if then else schema)
     # several benchmark blocks: a document is scanned once per block, its spans meet by row
-    return _merge_blocks(parts)
+    found = _merge_blocks([scanned(b) for b in blocks])
+    if then is None:
+        return found
+    return found.select("doc_id", "text", "byte_spans").mapInArrow(
+        lambda batches: map(then, batches), source.schema)
 
 
 def _merge_blocks(parts: list[DataFrame]) -> DataFrame:
@@ -285,18 +291,13 @@ def remove_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select(F.struct("doc_id", *rest).alias("doc_id"), "text")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            spans = batch.column("byte_spans").to_pylist()
-            out = [
-                t if not s else cut_spans(t.encode(), s).decode() for t, s in zip(texts, spans)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
-
-    found = locate_windows(packed, benchmark, window).select("doc_id", "text", "byte_spans")
-    clean = found.mapInArrow(cut, packed.schema)
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, spans = batch.column("text").to_pylist(), batch.column("byte_spans").to_pylist()
+        out = [t if not s else cut_spans(t.encode(), s).decode() for t, s in zip(texts, spans)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
+
+    clean = locate_windows(packed, benchmark, window, then=cut)
     out = clean.select("doc_id.*", "text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

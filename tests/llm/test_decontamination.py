@@ -66,3 +66,15 @@ def test_empty_tables(make, spark):
     assert [r["n_hit"] for r in D.digest(D.locate_windows(make(["a b"]), none)).collect()] == [0]
     some = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert D.locate_windows(make([]), some).count() == 0
+
+
+def test_scan_and_removal_share_a_worker(make, spark):
+    texts, items = cases()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    plan = D.remove_windows(make(texts), bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    kept = {r["doc_id"]: r["text"] for r in D.remove_windows(make(texts), bench).collect()}
+    blocks = D.locate_windows(make(texts), bench, block_bytes=64)
+    spans = {r["doc_id"]: r["byte_spans"] for r in blocks.collect()}
+    for i, t in enumerate(texts):
+        assert kept[i] == (t if t is None else D.cut_spans(t.encode(), spans[i]).decode())
