@@ -30,6 +30,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -45,6 +46,7 @@ ROUNDS = 8              # leaders tried before lists are read block by block
 BLOCK = 256             # entries of a block of an index list
 POSITIONS = 40          # blocks tell positions apart by this part of a set
 COMPARED = 128          # pairs whose texts are in memory at once
+OPENED = 1 << 18        # pairs of entries of opened blocks told apart at once
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -382,39 +384,62 @@ def _block_pairs(lists: DataFrame, answers: DataFrame | None, scratch: Scratch)
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of entries of two blocks that their sizes, positions and answers do not exclude."""
-    t, s = THRESHOLD
+    """Pairs of entries of two blocks that their sizes, positions and answers do not exclude.
+
+    Most blocks are short, so about ``OPENED`` pairs of many block pairs are told apart at once.
+    """
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            x, y = ({k.name: row.column(side).field(k.name).flatten().to_numpy().astype(np.int64)
-                     for k in row.column(side).type} for side in ("x", "y"))
-            apart = x["comp"][:, None] != y["comp"][None, :]
-            if row.column("same")[0].as_py():
-                apart &= x["sid"][:, None] < y["sid"][None, :]
-            n, m = x["n"][:, None], y["n"][None, :]
-            most = np.minimum(n - x["pos"][:, None], m - y["pos"][None, :])
-            least = np.zeros_like(most)
-            led = x["lead"][:, None] == y["lead"][None, :]
-            o, p = x["both"][:, None], y["both"][None, :]
-            most = np.where(led, np.minimum(most, np.minimum(p + n - o, o + m - p)), most)
-            least = np.where(led, o + p - x["ln"][:, None], least)
-            apart &= (most * (s + t) >= t * (n + m)) & (np.minimum(n, m) * s >= np.maximum(n, m) * t)
-            u, v = np.nonzero(apart)
-            sure = least[u, v] * (s + t) >= (t * (n + m))[u, v]
-            # one sure pair for two groups is enough, and settles the others of these groups
-            groups = np.sort(np.column_stack([x["comp"][u], y["comp"][v]]), axis=1)
-            _, number = np.unique(groups, axis=0, return_inverse=True)
-            number = number.reshape(-1)
-            settled = np.zeros(number.max(initial=-1) + 1, bool)
-            settled[number[sure]] = True
-            first = np.zeros(len(u), bool)
-            at = np.flatnonzero(sure)
-            first[at[np.unique(number[at], return_index=True)[1]]] = True
-            keep = first | ~settled[number]
-            a, b = x["sid"][u[keep]], y["sid"][v[keep]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure[keep])], names=["a", "b", "sure"])
+        (x, x_size), (y, y_size) = _entries(batch.column("x")), _entries(batch.column("y"))
+        same = batch.column("same").to_numpy(zero_copy_only=False).astype(bool)
+        x_first, y_first = np.cumsum(x_size) - x_size, np.cumsum(y_size) - y_size
+        pairs = x_size * y_size
+        ends = np.cumsum(pairs)
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + OPENED, "right")))
+            row = np.repeat(np.arange(first, last), pairs[first:last])
+            at = np.arange(len(row)) + before - (ends - pairs)[row]
+            u, v = x_first[row] + at // y_size[row], y_first[row] + at % y_size[row]
+            apart = (x["comp"][u] != y["comp"][v]) & (~same[row] | (x["sid"][u] < y["sid"][v]))
+            yield _told_apart(x, y, u[apart], v[apart])
+            first = last
+
+
+def _entries(blocks: pa.StructArray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Values of the entries of all blocks one after the other, and the size of each block."""
+    lists = dict(zip((f.name for f in blocks.type), blocks.flatten()))
+    size = pc.list_value_length(lists["sid"]).to_numpy(zero_copy_only=False).astype(np.int64)
+    return {k: v.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for k, v in lists.items()}, size
+
+
+def _told_apart(x: dict, y: dict, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    """(a, b, sure) of the pairs of places u in x and v in y that are not excluded."""
+    t, s = THRESHOLD
+    n, m = x["n"][u], y["n"][v]
+    most = np.minimum(n - x["pos"][u], m - y["pos"][v])
+    can = (most * (s + t) >= t * (n + m)) & (np.minimum(n, m) * s >= np.maximum(n, m) * t)
+    u, v, n, m, most = (c[can] for c in (u, v, n, m, most))
+    led = x["lead"][u] == y["lead"][v]
+    o, p = x["both"][u], y["both"][v]
+    most = np.where(led, np.minimum(most, np.minimum(p + n - o, o + m - p)), most)
+    sure = led & ((o + p - x["ln"][u]) * (s + t) >= t * (n + m))
+    can = most * (s + t) >= t * (n + m)
+    u, v, sure = u[can], v[can], sure[can]
+    if sure.any():
+        # one sure pair for two groups is enough, and settles the others of these groups
+        groups = np.sort(np.column_stack([x["comp"][u], y["comp"][v]]), axis=1)
+        _, number = np.unique(groups, axis=0, return_inverse=True)
+        number = number.reshape(-1)
+        settled = np.zeros(number.max() + 1, bool)
+        settled[number[sure]] = True
+        keep = ~settled[number]
+        at = np.flatnonzero(sure)
+        keep[at[np.unique(number[at], return_index=True)[1]]] = True
+        u, v, sure = u[keep], v[keep], sure[keep]
+    a, b = x["sid"][u], y["sid"][v]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sure)], names=["a", "b", "sure"])
 
 
 def _joined(comp: DataFrame, links: DataFrame, scratch: Scratch, turn: int) -> DataFrame:

@@ -94,3 +94,22 @@ def test_answers_of_a_leader_link_or_exclude():
     assert {s for *_, s in opened(near, entries([4], [80], 8, 100, 2))} == {False}
     assert opened(near, entries([5], [95], 8, 100, 12)) == []
     assert len(opened(near, near, same=True)) == 1
+
+
+def test_many_block_pairs_are_told_apart_at_once(monkeypatch):
+    def block(*entries):
+        return {k: list(v) for k, v in zip(("sid", "n", "pos", "comp", "lead", "both", "ln"), zip(*entries))}
+
+    a, b, c = (1, 10, 0, 1, 9, 10, 10), (2, 10, 0, 2, 9, 10, 10), (3, 10, 0, 3, 3, 10, 10)
+    late, large, mate = (4, 10, 5, 4, 4, 10, 10), (5, 20, 0, 5, 5, 20, 20), (6, 10, 0, 3, 6, 10, 10)
+    one, two, three = block(a, b, c), block(late, large), block(mate)
+    kind = pa.struct([(k, pa.list_(pa.int64())) for k in one])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([True, False, False]), pa.array([one, one, one], kind), pa.array([one, two, three], kind)],
+        names=["same", "x", "y"])
+    want = {(1, 2, True), (1, 3, False), (2, 3, False), (1, 6, False), (2, 6, False)}
+    for size, batches in ((1 << 18, 1), (1, 3)):
+        monkeypatch.setattr(jaccard, "OPENED", size)
+        out = list(jaccard._opened(iter([batch])))
+        assert len(out) == batches
+        assert {tuple(r.values()) for o in out for r in o.to_pylist()} == want
