@@ -7,7 +7,7 @@ occurs ``LEAST`` times, whatever the size of the corpus, and so grows with it.
 Every occurrence of a word with its neighbours goes once, packed, to the part of
 that word; a part has about ``PART`` of them. There the training occurrences are
 counted, the levels of the part are written to the shared folder and mapped, and
-the distinct n-grams of all texts are looked up. What they add returns as one sum
+the distinct n-grams of all texts are looked up; then its levels go. What they add returns as one sum
 per text and part. Words that have a share of ``HEAD`` (at most 1/``HEAD``) are
 broadcast with their counts; the occurrences of all others are joined with the
 table of counts.
@@ -16,6 +16,7 @@ table of counts.
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -193,6 +194,7 @@ class TrigramModel:
     vocabulary: Vocabulary   # the words of n-grams
     parts: int
     spread: dict[int, int]   # over how many parts the n-grams around a very frequent word are dealt
+    hot: np.ndarray          # hashes of these words, sorted
     least: float = LEAST
     folder: str = ""         # of the levels
 
@@ -240,8 +242,9 @@ def train(
     words = hot["word"].to_numpy(np.int64).view(np.uint64)
     number = vocabulary.numbers(words)
     spread = {int(k): int(-(-c // part)) for k, c, w in zip(number, hot["everywhere"], words) if k >= 0 and w != END}
+    dealt = np.sort(words[(number >= 0) & (words != END)])
     parts = max(1, -(-everywhere // part))
-    return TrigramModel(hashes, counts, n, int(v), vocabulary, parts, spread, least, folder), table.where("c > 0")
+    return TrigramModel(hashes, counts, n, int(v), vocabulary, parts, spread, dealt, least, folder), table.where("c > 0")
 
 
 def mounted(folder: str) -> str:
@@ -251,20 +254,32 @@ def mounted(folder: str) -> str:
     return "/" + folder.removeprefix("file:").lstrip("/")
 
 
-def _hot_followers(packed: DataFrame, model: TrigramModel) -> DataFrame:
-    """What follows the very frequent words, counted over all parts and sent to each that needs it."""
-    shared = packed.sparkSession.sparkContext.broadcast(model)
+def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
+    code, c = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(code), pa.array(c)], names=["pair", "c"])
+
+
+def _hot_followers(source: DataFrame, model: TrigramModel) -> DataFrame:
+    """What follows the very frequent words in training texts, counted in (text, held_out) and sent to each part that needs it."""
+    shared = source.sparkSession.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = np.array(sorted(shared.value.spread), np.int64)
+        model, held, size = shared.value, [], 0
+        number = model.vocabulary.numbers(model.hot)
         for batch in batches:
-            codes = [np.zeros(0, np.int64)]
-            for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
-                _, v, w, place = _unpack(blob.as_py(), 4, n).astype(np.int64)
-                spot = np.flatnonzero((place & 1 == 1) & (w >= 0) & np.isin(v, hot))
-                codes.append(v[spot] << _BITS | w[spot])
-            code, c = np.unique(np.concatenate(codes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(c)], names=["pair", "c"])
+            for piece in B.pieces(batch, "text"):
+                h, row = tokens(piece.column("text"))
+                place = B.membership(model.hot, h[:-1])
+                at = np.flatnonzero((place >= 0) & (row[1:] == row[:-1]) & ~_flags(piece)[row[:-1]])
+                words, one = np.unique(h[at + 1], return_inverse=True)
+                after = model.vocabulary.numbers(words)[one]
+                known = after >= 0
+                held.append(number[place[at[known]]] << _BITS | after[known])
+                size += len(held[-1])
+                if size >= FLUSH:
+                    yield _counted(held)
+                    held, size = [], 0
+        yield _counted(held)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,7 +297,7 @@ def _hot_followers(packed: DataFrame, model: TrigramModel) -> DataFrame:
                 [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
                 names=["part", "chunk", "n", "blob"])
 
-    counted = packed.select("n", "blob").mapInArrow(count, "pair long, c long")
+    counted = source.select("text", "held_out").mapInArrow(count, "pair long, c long")
     counted = counted.groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= model.least)
     return counted.mapInArrow(deal, "part long, chunk long, n int, blob binary")
 
@@ -322,6 +337,7 @@ def look_up_part(rows: pd.DataFrame, model: TrigramModel) -> pd.DataFrame:
     # equal contexts and words are looked up once
     _, _, _, one, back = _distinct((u + 1) << _BITS | v, w)
     value, replaced = _looked_up(path, u[one], v[one], w[one])
+    shutil.rmtree(path, True)  # all n-grams of the part are looked up
     # the base of the word is in the score already, or joined later
     value[replaced] -= model.base(model.vocabulary.counts(w[one][replaced]))
     row = np.repeat(np.arange(len(own)), own["n"]) << _SPOT | place >> 1
@@ -500,7 +516,7 @@ def score_documents(
 
     read = source.mapInArrow(run, schema)
     if model.spread:
-        hot = _hot_followers(read.where("blob is not null"), model)
+        hot = _hot_followers(source, model)
         read = read.unionByName(hot, allowMissingColumns=True)
     read = scratch.write(read.groupBy("part").applyInArrow(look_up, schema), "read")
     sums = read.where("blob is not null").select("chunk", "n", "blob")

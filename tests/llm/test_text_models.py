@@ -2,6 +2,7 @@ import collections
 import math
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from panelrisk.llm import language, quality, scoring
 from panelrisk.llm.eliasfano import EliasFano, NgramTrie
 from panelrisk.llm.sampling import remainder
+from panelrisk.storage import run_dir
 
 ODD = [None, "", " \n ", "...", "12 34", "x" * 300_000, "same", "same"]
 
@@ -212,3 +214,12 @@ def test_every_repeated_ngram_counts_at_any_size(make, part, hot):
         assert abs(s["score"] - want) < (0.01 if text is filler[0] else 0.06) * abs(s["base_score"])
     same = [rows[k]["score"] for k in (0, len(train) + 2)]  # a row of training and its copy
     assert abs(same[0] - same[1]) < 1e-3 and rows[0]["train_tokens"] == n
+
+
+def test_levels_go_once_they_are_looked_up(make, spark):
+    filler = [" ".join(f"w{i % 7} x{i % 5}" for i in range(300)) for _ in range(10)]
+    before = set(Path(run_dir(spark)).glob("scoring-*"))
+    scored = scoring.score_documents(make(filler), F.lit(False), part=500)  # very frequent words are dealt
+    assert scored.count() == 10
+    made = [p for p in Path(run_dir(spark)).glob("scoring-*") if p not in before]
+    assert len(made) == 1 and list(made[0].glob("levels/words-*")) and not list(made[0].glob("levels/part-*"))
