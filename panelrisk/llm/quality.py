@@ -28,7 +28,7 @@ STEPS, RATE, SHRINK = 400, 0.05, 1e-4
 CUT = 0.3
 BUCKETS = 256
 FOLDS = 3    # parts of the fitting rows, each judged by the others when the prior is estimated
-ROWS = 1024  # texts whose features are in memory at once
+ROWS = 256   # texts whose features are in memory at once
 
 
 def features(column: pa.Array) -> np.ndarray:

@@ -1,6 +1,7 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from panelrisk.llm import language, quality, scoring
+from panelrisk.llm import bytesops as B, language, quality, scoring
 from panelrisk.llm.eliasfano import EliasFano, NgramTrie
 from panelrisk.llm.sampling import remainder
 from panelrisk.storage import run_dir
@@ -223,3 +224,17 @@ def test_levels_go_once_they_are_looked_up(make, spark):
     assert scored.count() == 10
     made = [p for p in Path(run_dir(spark)).glob("scoring-*") if p not in before]
     assert len(made) == 1 and list(made[0].glob("levels/words-*")) and not list(made[0].glob("levels/part-*"))
+
+
+def test_scratch_of_a_worker_stays_small():
+    """Python workers share the memory of their executor; a batch of 20 MB must not take several times as much."""
+    column = pa.array([" ".join(f"word{(i * 7 + k) % 997}" for k in range(260)) for i in range(10_000)])
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    B.powers(1)
+    tracemalloc.start()
+    try:
+        for piece in B.pieces(batch, "text", quality.ROWS):
+            quality.features(piece.column("text"))
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
