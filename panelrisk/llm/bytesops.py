@@ -116,6 +116,36 @@ def membership(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def key_starts(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where the keys of each slot begin; there are one to two slots for each key, of equal width between first and last key."""
+    if not len(sorted_keys):
+        return np.zeros(1, np.int32)
+    slot = (sorted_keys - sorted_keys[0]) >> _slot_shift(sorted_keys)
+    return np.searchsorted(slot, np.arange(int(slot[-1]) + 2, dtype=np.uint64)).astype(np.int32)
+
+
+def _slot_shift(sorted_keys: np.ndarray) -> np.uint64:
+    return np.uint64(max(0, int(sorted_keys[-1] - sorted_keys[0]).bit_length() - len(sorted_keys).bit_length()))
+
+
+def membership_from(starts: np.ndarray, sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """As ``membership``, for hashes that are spread evenly: each search begins at its slot."""
+    out = np.full(len(keys), -1, np.int64)
+    if not len(sorted_keys):
+        return out
+    spot = np.flatnonzero((keys >= sorted_keys[0]) & (keys <= sorted_keys[-1]))
+    wanted = keys[spot]
+    at = starts[((wanted - sorted_keys[0]) >> _slot_shift(sorted_keys)).astype(np.int64)].astype(np.int64)
+    there = sorted_keys[at]
+    live = np.flatnonzero(there < wanted)
+    while len(live):  # ends at the last key at the latest
+        at[live] += 1
+        there[live] = sorted_keys[at[live]]
+        live = live[there[live] < wanted[live]]
+    out[spot] = np.where(there == wanted, at, -1)
+    return out
+
+
 SPACE = np.ones(256, bool)  # words [^\x20\x09-\x0D]+
 SPACE[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, bool)  # words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of lower-cased text

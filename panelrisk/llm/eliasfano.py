@@ -8,7 +8,6 @@ import os
 
 import numpy as np
 
-_COUNT = np.array([bin(b).count("1") for b in range(256)], np.int64)
 # place of the k-th set bit of each byte
 _PLACE = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for k in range(8)] for b in range(256)], np.int64)
 
@@ -20,6 +19,18 @@ def _directory(high: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], counts[:-1]]).astype(kind)
 
 
+def _place_of(words: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Place of the one in each word of 64 bits that has ``left`` ones before it."""
+    place = np.zeros(len(words), np.int64)
+    for step in (32, 16, 8):
+        ones = np.bitwise_count(words & np.uint64((1 << step) - 1)).astype(np.int64)
+        over = left >= ones
+        left = left - ones * over
+        words = np.where(over, words >> np.uint64(step), words)
+        place += over * step
+    return place + _PLACE[(words & np.uint64(255)).astype(np.int64), left]
+
+
 class EliasFano:
     """A non-decreasing sequence: low bits packed, high bits in unary, read by rank and select."""
 
@@ -32,7 +43,7 @@ class EliasFano:
         for k in range(self.low_bits):
             bits[:, k] = (values >> np.uint64(k)) & np.uint64(1)
         low = np.packbits(bits.ravel(), bitorder="little")
-        self.low = np.concatenate([low, np.zeros(9, np.uint8)])
+        self.low = np.concatenate([low, np.zeros(8 + -len(low) % 8, np.uint8)])
         high = (values >> np.uint64(self.low_bits)).astype(np.int64) + np.arange(self.n)
         unary = np.zeros(int(high[-1]) + 1 if self.n else 1, np.uint8)
         unary[high] = 1
@@ -50,40 +61,47 @@ class EliasFano:
     def get(self, at: np.ndarray) -> np.ndarray:
         word = np.searchsorted(self.ranks, at, "right") - 1
         left = at - self.ranks[word].astype(np.int64)  # ones to pass in the word
-        counts = np.cumsum(_COUNT[self.high.reshape(-1, 8)[word]], 1)
-        byte = (counts <= left[:, None]).sum(1)
-        left -= np.where(byte > 0, counts[np.arange(len(at)), np.maximum(byte - 1, 0)], 0)
-        byte += word * 8
-        place = byte * 8 + _PLACE[self.high[byte], left]
-        out = (place - at).astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits:
-            bit = at * self.low_bits
-            word = np.zeros(len(at), np.uint64)
-            for k in range((self.low_bits + 7) // 8 + 1):
-                shift = 8 * k - (bit & 7)
-                part = self.low[(bit >> 3) + k].astype(np.uint64)
-                word |= np.where(shift >= 0, part << np.maximum(shift, 0).astype(np.uint64),
-                                 part >> np.maximum(-shift, 0).astype(np.uint64))
-            out |= word & np.uint64((1 << self.low_bits) - 1)
-        return out
-
-    def find(self, value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Place of each value between begin and end, -1 where it is absent."""
-        low, high = begin.copy(), end.copy()
-        if not self.n:
-            return np.full(len(value), -1, np.int64)
+        place = (word << 6) + _place_of(self.high.view(np.uint64)[word], left)
+        return (place - at).astype(np.uint64) << np.uint64(self.low_bits) | self._low(at)
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
+        if not self.low_bits:
+            return np.zeros(len(at), np.uint64)
+        bit, words = at * self.low_bits, self.low.view(np.uint64)
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        # the bits that go on in the next word; two shifts, as one by 64 is not defined
+        out = words[word] >> shift | words[word + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        return out & np.uint64((1 << self.low_bits) - 1)
+
+    def find(self, value: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Place of each value (between begin and end), -1 where it is absent."""
+        found = np.full(len(value), -1, np.int64)
+        if not self.n or not len(value):
+            return found
+        high = (value >> np.uint64(self.low_bits)).astype(np.int64)
+        most = int(self.get(np.array([self.n - 1]))[0] >> np.uint64(self.low_bits))
+        # values with the same high bits lie between two zeros of the unary bits
+        zeros = (np.arange(len(self.ranks)) << 6) - self.ranks
+        low, stop = np.zeros(len(value), np.int64), np.full(len(value), self.n)
+        for out, zero in ((low, high - 1), (stop, high)):
+            spot = np.flatnonzero((zero >= 0) & (zero < most))
+            zero = zero[spot]
+            word = np.searchsorted(zeros, zero, "right") - 1
+            out[spot] = (word << 6) + _place_of(~self.high.view(np.uint64)[word], zero - zeros[word]) - zero
+        low[high > most] = self.n
+        low = low if begin is None else np.maximum(low, begin)
+        stop = stop if end is None else np.minimum(stop, end)
+        top, rest = stop.copy(), value & np.uint64((1 << self.low_bits) - 1)
         while True:
-            live = np.flatnonzero(low < high)
+            live = np.flatnonzero(low < stop)
             if not len(live):
                 break
-            middle = (low[live] + high[live]) >> 1
-            less = self.get(middle) < value[live]
+            middle = (low[live] + stop[live]) >> 1
+            less = self._low(middle) < rest[live]
             low[live] = np.where(less, middle + 1, low[live])
-            high[live] = np.where(less, high[live], middle)
-        inside = low < end
-        found = np.full(len(value), -1, np.int64)
-        spot = np.flatnonzero(inside)
-        equal = self.get(low[spot]) == value[spot]
+            stop[live] = np.where(less, stop[live], middle)
+        spot = np.flatnonzero(low < top)
+        equal = self._low(low[spot]) == rest[spot]
         found[spot[equal]] = low[spot[equal]]
         return found
 
@@ -127,20 +145,16 @@ class NgramTrie:
         last = np.searchsorted(code, triples[:, 1] * words + triples[:, 2])
         self.span = int(np.diff(first).max(initial=0)) + 1
         relative = last - first[triples[:, 1]]
-        self.third_begin = EliasFano(np.searchsorted(context, np.arange(len(pairs) + 1)))
         self.third = EliasFano(context.astype(np.uint64) * np.uint64(self.span) + relative.astype(np.uint64))
         self.triple_p, self.pair_back = Quantised(triple_p), Quantised(pair_back)
 
     def pair(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        begin, end = self.begin.get(u).astype(np.int64), self.begin.get(u + 1).astype(np.int64)
-        return self.follow.find(u.astype(np.uint64) * np.uint64(self.words) + v.astype(np.uint64), begin, end)
+        return self.follow.find(u.astype(np.uint64) * np.uint64(self.words) + v.astype(np.uint64))
 
     def triple(self, context: np.ndarray, v: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Trigram of a bigram place and the place of its last bigram (v, w)."""
         relative = last - self.begin.get(v).astype(np.int64)
-        begin = self.third_begin.get(context).astype(np.int64)
-        end = self.third_begin.get(context + 1).astype(np.int64)
-        return self.third.find(context.astype(np.uint64) * np.uint64(self.span) + relative.astype(np.uint64), begin, end)
+        return self.third.find(context.astype(np.uint64) * np.uint64(self.span) + relative.astype(np.uint64))
 
     def save(self, path: str) -> None:
         """All levels one after the other in one file of a folder, to be mapped into memory."""

@@ -8,9 +8,11 @@ Every occurrence of a word with its neighbours goes once, packed, to the part of
 that word; a part has about ``PART`` of them. There the training occurrences are
 counted, the levels of the part are written to the shared folder and mapped, and
 the distinct n-grams of all texts are looked up; then its levels go. What they add returns as one sum
-per text and part. Words that have a share of ``HEAD`` (at most 1/``HEAD``) are
-broadcast with their counts; the occurrences of all others are joined with the
-table of counts.
+per text and part. A word with more occurrences is dealt over several parts; each
+asks for the counts of the bigrams that it has, and of no others. Words of the
+n-grams are looked up with their counts in mapped files, rarer ones that have a share
+of ``HEAD`` (at most 1/``HEAD``) are broadcast; the occurrences of all others are
+joined with the table of counts.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ GRAMS = 500_000     # n-grams that a task packs together, and rows at most
 _SPOT = 22          # bits of a row's place among those packed together
 END = np.uint64(0x0DDC0FFEE0DDF00D)
 CONTEXT, FOLLOWER = -1, -2  # roles of a bigram in a part
+_SUMS = pa.struct([("word", pa.int64()), ("share", pa.float64())])
 _BITS = 31          # bits of a word number in a packed bigram
 _MASK = (1 << _BITS) - 1
 
@@ -71,8 +74,10 @@ class _Counter:
     def flush(self) -> pa.RecordBatch:
         words, learned = (np.concatenate(x) for x in zip(*self.held)) if self.held else (np.zeros(0, np.int64),) * 2
         self.held, self.size = [], 0
-        words, at, n = np.unique(words, return_inverse=True, return_counts=True)
-        c = np.bincount(at, learned, len(words)).astype(np.int64)
+        known, found = np.unique(words[learned.astype(bool)], return_counts=True)
+        words, n = np.unique(words, return_counts=True)
+        c = np.zeros(len(words), np.int64)
+        c[np.searchsorted(words, known)] = found
         return pa.RecordBatch.from_arrays([pa.array(words), pa.array(c), pa.array(n)], names=["word", "c", "everywhere"])
 
 
@@ -130,7 +135,7 @@ class Vocabulary:
         of = _range_of(h, len(self.paths))
         for k, part in enumerate(self._maps()):
             spot = np.flatnonzero(of == k) if len(self.paths) > 1 else np.arange(len(h))
-            found = B.membership(part["word"], h[spot])
+            found = B.membership_from(part["first"], part["word"], h[spot])
             out[spot] = np.where(found >= 0, found + self.first[k], -1)
         return out
 
@@ -158,7 +163,8 @@ def store_vocabulary(table: DataFrame, least: float, size: int, folder: str) ->
         order = np.argsort(words)
         path = f"{folder}/words-{uuid.uuid4().hex}"
         os.makedirs(folder, exist_ok=True)
-        write_arrays(path, {"word": words[order], "c": rows["c"].to_numpy(np.int64)[order]})
+        words = words[order]
+        write_arrays(path, {"word": words, "c": rows["c"].to_numpy(np.int64)[order], "first": B.key_starts(words)})
         return pd.DataFrame({"k": [int(rows["k"].iloc[0])], "n": [len(rows)], "path": [path]})
 
     made = often.withColumn("k", place).groupBy("k").applyInPandas(write, "k int, n long, path string").collect()
@@ -169,25 +175,28 @@ def store_vocabulary(table: DataFrame, least: float, size: int, folder: str) ->
         return Vocabulary([])
     empty = f"{folder}/words-none"
     os.makedirs(folder, exist_ok=True)
-    write_arrays(empty, {"word": np.zeros(0, np.uint64), "c": np.zeros(0, np.int64)})
+    write_arrays(empty, {"word": np.zeros(0, np.uint64), "c": np.zeros(0, np.int64), "first": np.zeros(1, np.int32)})
     return Vocabulary([files.get(k, (0, empty)) for k in range(ranges)])
 
 
 def _distinct(pair: np.ndarray, last: np.ndarray) -> tuple:
-    """Distinct rows in order, how often each is there, a place of each, and the number of each row's own."""
-    order = np.lexsort((last, pair))
+    """Distinct rows in order, a place of each, and the number of each row's own."""
+    order = np.argsort(pair)
+    group = np.zeros(len(pair), np.int64)
+    group[order[1:]] = np.cumsum(pair[order[1:]] != pair[order[:-1]])
+    order = np.argsort(group << 32 | last + 1)  # last is -1 or below 2^31
     a, b = pair[order], last[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     first = np.flatnonzero(new)
     back = np.empty(len(a), np.int64)
     back[order] = np.cumsum(new) - 1
-    return a[first], b[first], np.diff(np.append(first, len(a))), order[first], back
+    return a[first], b[first], order[first], back
 
 
 @dataclass
 class TrigramModel:
-    head: np.ndarray         # hashes of frequent words, sorted
+    head: np.ndarray         # hashes of words with a share of ``HEAD`` that are too rare for the vocabulary, sorted
     counts: np.ndarray       # their counts
     total: int               # N
     distinct: int            # V
@@ -197,6 +206,7 @@ class TrigramModel:
     hot: np.ndarray          # hashes of these words, sorted
     least: float = LEAST
     folder: str = ""         # of the levels
+    back: tuple = ((), ())   # very frequent words by number, and what their followers leave to the base
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
@@ -209,15 +219,6 @@ class TrigramModel:
             at[spot] += B.mix((u[spot] + 1).astype(np.uint64)) % np.uint64(times)
         return (at % np.uint64(self.parts)).astype(np.int64)
 
-    def parts_around(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in v, and all parts that hold n-grams around the very frequent word there."""
-        times = np.zeros(len(v), np.int64)
-        for word, n in self.spread.items():
-            times[v == word] = min(n, self.parts)
-        place = np.repeat(np.arange(len(v)), times)
-        turn = np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
-        return place, ((B.mix(v[place].astype(np.uint64)) + turn.astype(np.uint64)) % np.uint64(self.parts)).astype(np.int64)
-
 
 def _often(counts: DataFrame, column: str, least: float) -> pd.DataFrame:
     # at most one row per share: the shares of all rows sum to one
@@ -231,11 +232,11 @@ def train(
     table = scratch.write(count_words(docs), "words")
     n, everywhere, v = table.agg(F.sum("c"), F.sum("everywhere"), F.count_if(F.col("c") > 0)).first()
     n, everywhere = int(n or 0), int(everywhere or 0)
-    often = _often(table, "c", max(1.0, head * n))
+    least = max(LEAST, keep * n)
+    often = _often(table.where(F.col("c") < least), "c", max(1.0, head * n))
     hashes = often["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     hashes, counts = hashes[order], often["c"].to_numpy(np.int64)[order]
-    least = max(LEAST, keep * n)
     folder = mounted(scratch.folder) + "/levels"
     vocabulary = store_vocabulary(table, least, 2 * part, folder)
     hot = _often(table, "everywhere", part)  # at most everywhere / part words
@@ -254,56 +255,87 @@ def mounted(folder: str) -> str:
     return "/" + folder.removeprefix("file:").lstrip("/")
 
 
-def _counted(held: list[np.ndarray]) -> pa.RecordBatch:
-    code, c = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(code), pa.array(c)], names=["pair", "c"])
+def _asked(held: list[tuple], model: TrigramModel) -> Iterator[pa.RecordBatch]:
+    """Bigrams (v, w) with the part that has them and how often training texts have them there, by v and w."""
+    code, part, learned = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64),) * 3
+    code, part, _, back = _distinct(code, part)
+    c = np.bincount(back, learned, len(code)).astype(np.int64)
+    yield _dealt(model.part_of(code & _MASK, code >> _BITS), code >> _BITS, code & _MASK, part, c)
+
 
+def _dealt(part: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """One row for each part with its rows of the columns, packed."""
+    order = np.argsort(part, kind="stable")
+    spots = np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []
+    made = [(int(part[s[0]]), -1, len(s), _pack(*(c[s] for c in columns))) for s in spots]
+    rows = zip(*made) if made else ([],) * 4
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+        names=["part", "chunk", "n", "blob"])
 
-def _hot_followers(source: DataFrame, model: TrigramModel) -> DataFrame:
-    """What follows the very frequent words in training texts, counted in (text, held_out) and sent to each part that needs it."""
+
+def _hot_followers(source: DataFrame, model: TrigramModel, scratch: Scratch) -> DataFrame:
+    """Training counts of the bigrams after very frequent words, for each part that has them in (text, held_out).
+
+    No part gets more of them than it has occurrences. What the followers of a word
+    leave to the base goes into ``model.back``.
+    """
     shared = source.sparkSession.sparkContext.broadcast(model)
+    schema = "part long, chunk long, n int, blob binary"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, held, size = shared.value, [], 0
         number = model.vocabulary.numbers(model.hot)
         for batch in batches:
             for piece in B.pieces(batch, "text"):
                 h, row = tokens(piece.column("text"))
                 place = B.membership(model.hot, h[:-1])
-                at = np.flatnonzero((place >= 0) & (row[1:] == row[:-1]) & ~_flags(piece)[row[:-1]])
-                words, one = np.unique(h[at + 1], return_inverse=True)
-                after = model.vocabulary.numbers(words)[one]
-                known = after >= 0
-                held.append(number[place[at[known]]] << _BITS | after[known])
-                size += len(held[-1])
+                at = np.flatnonzero((place >= 0) & (row[1:] == row[:-1]))
+                after = model.vocabulary.numbers(h[at + 1])
+                at, after = at[after >= 0], after[after >= 0]
+                before = np.where((at > 0) & (row[at - 1] == row[at]), model.vocabulary.numbers(h[at - 1]), -1)
+                v = number[place[at]]
+                held.append((v << _BITS | after, model.part_of(before, v), ~_flags(piece)[row[at]]))
+                size += len(at)
                 if size >= FLUSH:
-                    yield _counted(held)
+                    yield from _asked(held, model)
                     held, size = [], 0
-        yield _counted(held)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pair, c = batch.column("pair").to_numpy(), batch.column("c").to_numpy()
-            place, part = shared.value.parts_around(pair >> _BITS)
-            order = np.argsort(part, kind="stable")
-            made = []
-            for spot in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-                if len(spot):
-                    at = place[spot]
-                    made.append((int(part[spot[0]]), -1, len(spot), _pack(
-                        pair[at] >> _BITS, pair[at] & _MASK, c[at] >> _BITS, c[at] & _MASK)))
-            columns = zip(*made) if made else ([],) * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                names=["part", "chunk", "n", "blob"])
-
-    counted = source.select("text", "held_out").mapInArrow(count, "pair long, c long")
-    counted = counted.groupBy("pair").agg(F.sum("c").alias("c")).where(F.col("c") >= model.least)
-    return counted.mapInArrow(deal, "part long, chunk long, n int, blob binary")
-
-
-def _kept(code: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    code, c = np.unique(code, return_counts=True)
+        yield from _asked(held, model)
+
+    def answer(rows: pa.Table) -> pa.Table:
+        model = shared.value
+        v, w, part, c = np.concatenate([_unpack(b.as_py(), 4, n.as_py()) for b, n in zip(
+            rows.column("blob"), rows.column("n"))], axis=1).astype(np.int64)
+        code, part, _, back = _distinct(v << _BITS | w, part)
+        bigram, of = np.unique(code, return_inverse=True)
+        total = np.bincount(of, np.bincount(back, c, len(code)), len(bigram)).astype(np.int64)
+        kept = total >= model.least
+        word, at = np.unique(bigram[kept] >> _BITS, return_inverse=True)
+        share = np.bincount(at, total[kept] - DISCOUNT, len(word))
+        spot = np.flatnonzero(kept[of])
+        code, total = code[spot], total[of[spot]]
+        batch = _dealt(part[spot], code >> _BITS, code & _MASK, total >> _BITS, total & _MASK)
+        sums = pa.array([{"word": int(a), "share": float(b)} for a, b in zip(word, share)], _SUMS)
+        return pa.concat_tables([
+            pa.Table.from_batches([batch]).append_column("sums", pa.nulls(len(batch), pa.list_(_SUMS))),
+            pa.table([*(pa.nulls(1, f.type) for f in batch.schema), pa.ListArray.from_arrays([0, len(sums)], sums)],
+                     names=[*batch.schema.names, "sums"])])
+
+    asked = source.select("text", "held_out").mapInArrow(ask, schema)
+    answers = scratch.write(asked.groupBy("part").applyInArrow(
+        answer, schema + ", sums array<struct<word: long, share: double>>"), "followers")
+    # one row for each very frequent word
+    sums = answers.select(F.explode("sums").alias("s")).groupBy("s.word").agg(F.sum("s.share").alias("share")).collect()
+    share = {r["word"]: r["share"] for r in sums}
+    number = np.array(sorted(model.spread), np.int64)
+    left = 1 - np.array([share.get(int(k), 0.0) for k in number]) / model.vocabulary.counts(number)
+    model.back = (tuple(number.tolist()), tuple(np.clip(left, 1e-9, 1.0).tolist()))
+    return answers.where("part is not null").drop("sums")
+
+
+def _kept(code: np.ndarray, n: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    code, at = np.unique(code, return_inverse=True)
+    c = np.bincount(at, n, len(code)).astype(np.int64)
     return code[c >= least], c[c >= least]
 
 
@@ -314,32 +346,34 @@ def look_up_part(rows: pd.DataFrame, model: TrigramModel) -> pd.DataFrame:
         return pd.DataFrame({"chunk": [], "n": [], "blob": []})
     u, v, w, place = np.concatenate([_unpack(b, 4, n) for b, n in zip(own["blob"], own["n"])], axis=1).astype(np.int64)
     learned = place & 1 == 1
-    before, after = learned & (u >= 0), learned & (w >= 0)
-    context, context_c = _kept(u[before] << _BITS | v[before], model.least)
-    here = after & ~np.isin(v, np.array(sorted(model.spread), np.int64))
-    follow, follow_c = _kept(v[here] << _BITS | w[here], model.least)
-    for b, n in zip(rows.loc[rows["chunk"] < 0, "blob"], rows.loc[rows["chunk"] < 0, "n"]):
-        first, last, high, low = _unpack(b, 4, n).astype(np.int64)
-        follow, follow_c = np.append(follow, first << _BITS | last), np.append(follow_c, high << _BITS | low)
-    both = before & after
-    del before, after, here
-    pair, last, triple_c = _distinct(u[both] << _BITS | v[both], w[both])[:3]
-    often = triple_c >= model.least
+    # distinct n-grams, how often training texts have them, and their contexts
+    pair, last, one, back = _distinct(v << _BITS | u + 1, w)
+    n = np.bincount(back, learned, len(one)).astype(np.int64)
+    u, v, w = (pair & _MASK) - 1, pair >> _BITS, last
+    start = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+    context, context_c = u[start] << _BITS | v[start], np.add.reduceat(n, start)
+    kept = (u[start] >= 0) & (context_c >= model.least)
+    context, context_c = context[kept], context_c[kept]
+    dealt = np.isin(v, np.array(sorted(model.spread), np.int64))
+    here = (n > 0) & (w >= 0) & ~dealt
+    follow, follow_c = _kept(v[here] << _BITS | w[here], n[here], model.least)
+    for b, size in zip(rows.loc[rows["chunk"] < 0, "blob"], rows.loc[rows["chunk"] < 0, "n"]):
+        first, after, high, low = _unpack(b, 4, size).astype(np.int64)
+        follow, follow_c = np.append(follow, first << _BITS | after), np.append(follow_c, high << _BITS | low)
+    often = (u >= 0) & (w >= 0) & (n >= model.least)
     words, trie = _levels(
-        model, np.concatenate([context, follow, pair[often]]),
-        np.concatenate([np.full(len(context), CONTEXT), np.full(len(follow), FOLLOWER), last[often]]),
-        np.concatenate([context_c, follow_c, triple_c[often]]))
-    del context, follow, pair, last, triple_c, often, both, learned
+        model, np.concatenate([context, follow, u[often] << _BITS | v[often]]),
+        np.concatenate([np.full(len(context), CONTEXT), np.full(len(follow), FOLLOWER), w[often]]),
+        np.concatenate([context_c, follow_c, n[often]]), np.unique(v[dealt]))
+    del context, follow, pair, last, one, often, learned, dealt, here, n
     path = f"{model.folder}/part-{uuid.uuid4().hex}"
     trie.save(path)
     write_arrays(f"{path}/words", {"words": words})
     del words, trie
-    # equal contexts and words are looked up once
-    _, _, _, one, back = _distinct((u + 1) << _BITS | v, w)
-    value, replaced = _looked_up(path, u[one], v[one], w[one])
+    value, replaced = _looked_up(path, u, v, w)
     shutil.rmtree(path, True)  # all n-grams of the part are looked up
     # the base of the word is in the score already, or joined later
-    value[replaced] -= model.base(model.vocabulary.counts(w[one][replaced]))
+    value[replaced] -= model.base(model.vocabulary.counts(w[replaced]))
     row = np.repeat(np.arange(len(own)), own["n"]) << _SPOT | place >> 1
     row, at = np.unique(row, return_inverse=True)
     value = np.bincount(at, value[back], len(row)).astype(np.float32)
@@ -361,18 +395,23 @@ def add_up(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": (int(rows["chunk"].iloc[0]) << _SPOT) + spot, "more": total[spot]})
 
 
-def _levels(model: TrigramModel, pair: np.ndarray, last: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, NgramTrie]:
-    """Words of a part, sorted, and the trie over their places."""
+def _levels(
+    model: TrigramModel, pair: np.ndarray, last: np.ndarray, c: np.ndarray, dealt: np.ndarray
+) -> tuple[np.ndarray, NgramTrie]:
+    """Words of a part, sorted, and the trie over their places. Of words that are ``dealt``, some followers are elsewhere."""
     triple = last >= 0
     code, one = np.unique(pair[~triple], return_index=True)
     pair_c = c[~triple][one]
-    whole = np.isin(code, pair[last == FOLLOWER])  # all followers of the first word are here
-    words = np.unique(np.concatenate([code >> _BITS, code & _MASK]))
+    whole = np.isin(code, pair[last == FOLLOWER])  # the others are contexts only
+    words = np.unique(np.concatenate([code >> _BITS, code & _MASK, dealt]))
     u, v = np.searchsorted(words, code >> _BITS), np.searchsorted(words, code & _MASK)
     word_c = model.vocabulary.counts(words)
     base = 10.0 ** model.base(word_c)
     share = np.maximum(pair_c - DISCOUNT, 0) / word_c[u]
     back = np.clip(1 - np.bincount(u, np.where(whole, share, 0.0), len(words)), 1e-9, 1.0)
+    if len(dealt):
+        number, left = (np.array(x) for x in model.back)
+        back[np.searchsorted(words, dealt)] = left[np.searchsorted(number, dealt)]
     pair_p = np.log10(share + back[u] * base[v])
     if whole.any():
         pair_p[~whole] = pair_p[whole].mean()  # never read
@@ -425,12 +464,15 @@ def read_piece(column: pa.Array, model: TrigramModel) -> tuple[dict, tuple]:
     """
     h, row = tokens(column)
     n = len(column)
-    head = B.membership(model.head, h)
-    known = head >= 0
+    number = model.vocabulary.numbers(h)
+    known = number >= 0
     base = np.zeros(len(h))
+    base[known] = model.base(model.vocabulary.counts(number[known]))
     if len(model.head):
-        base[known] = model.base(model.counts[head[known]])
-    number = model.vocabulary.numbers(h)
+        rest = np.flatnonzero(~known)
+        head = B.membership(model.head, h[rest])
+        rest, head = rest[head >= 0], head[head >= 0]
+        base[rest], known[rest] = model.base(model.counts[head]), True
     at = np.flatnonzero((number[:-1] >= 0) & (row[1:] == row[:-1]))
     u = np.where((at > 0) & (row[at - 1] == row[at]), number[at - 1], -1)
     tail = ~known
@@ -446,7 +488,8 @@ def _packed(held: list[tuple], model: TrigramModel) -> list[tuple[int, int, byte
     if not len(u):
         return []
     part = model.part_of(u, v)
-    order = np.lexsort((w, u, v, part))
+    order = np.argsort(v << _BITS | u + 1)  # like n-grams together, for the packing
+    order = order[np.argsort(part[order].astype(np.uint16 if model.parts < 1 << 16 else np.int64), kind="stable")]
     return [(int(part[spot[0]]), len(spot), _pack(u[spot], v[spot], w[spot], place[spot]))
             for spot in np.split(order, np.flatnonzero(np.diff(part[order])) + 1)]
 
@@ -467,6 +510,7 @@ def score_documents(
         "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"))
     model, table = train(source.select("text", "held_out"), scratch, head, keep, part)
+    hot = _hot_followers(source, model, scratch) if model.spread else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType)])
     for name, kind in (
@@ -515,8 +559,7 @@ def score_documents(
                          for f in rows.schema], schema=rows.schema)
 
     read = source.mapInArrow(run, schema)
-    if model.spread:
-        hot = _hot_followers(source, model)
+    if hot is not None:
         read = read.unionByName(hot, allowMissingColumns=True)
     read = scratch.write(read.groupBy("part").applyInArrow(look_up, schema), "read")
     sums = read.where("blob is not null").select("chunk", "n", "blob")

@@ -238,3 +238,40 @@ def test_scratch_of_a_worker_stays_small():
         assert tracemalloc.get_traced_memory()[1] < 60 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_membership_from_slots():
+    draw = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000, 70_000):
+        keys = np.unique(draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        probe = np.concatenate([keys, keys + np.uint64(1), draw.integers(0, 1 << 63, 99, dtype=np.uint64)])
+        assert (B.membership_from(B.key_starts(keys), keys, probe) == B.membership(keys, probe)).all()
+
+
+def test_a_part_gets_no_followers_that_it_does_not_have(make, spark):
+    """Followers of a very frequent word went whole to each of its parts: parts times followers, both grow with the texts."""
+    draw = np.random.default_rng(8)
+    texts = [" ".join(f"a{i % 50} hot w{i}" for i in draw.integers(0, 400, 300)) for _ in range(60)]
+    docs = make(texts).select("text", F.lit(False).alias("held_out"))
+    scratch = scoring.Scratch(spark, "followers")
+    model, _ = scoring.train(docs, scratch, part=2000)
+    assert list(model.spread.values()) == [9]
+    rows = scoring._hot_followers(docs, model, scratch).toPandas()
+    v, w, high, low = np.concatenate([scoring._unpack(b, 4, n) for b, n in zip(rows["blob"], rows["n"])], axis=1).astype(np.int64)
+    part = np.repeat(rows["part"].to_numpy(), rows["n"])
+    words = np.unique(scoring.tokens(pa.array([" ".join(f"a{i}" for i in range(50))]))[0])
+    followers = {}  # of each part, by the words before that are dealt to it
+    for t in texts:
+        h = scoring.tokens(pa.array([t]))[0]
+        n = model.vocabulary.numbers(h)
+        at = np.flatnonzero(np.isin(h[:-2], words))
+        for k, x in zip(model.part_of(n[at], n[at + 1]), n[at + 2]):
+            followers.setdefault(int(k), collections.Counter())[int(x)] += 1
+    total = sum(followers.values(), collections.Counter())
+    got = collections.defaultdict(dict)
+    for k, x, a, b in zip(part, w, high, low):
+        got[int(k)][int(x)] = int(a << 31 | b)
+    assert got == {k: {x: total[x] for x in c if total[x] > 1} for k, c in followers.items()}
+    assert len(w) <= len(total) * len(followers) // 3
+    left = 1 - sum(c - 0.75 for c in total.values() if c > 1) / model.vocabulary.counts(v[:1])[0]
+    assert abs(model.back[1][0] - max(left, 1e-9)) < 1e-9
