@@ -184,3 +184,20 @@ def test_groups_are_fitted_on_rows_that_are_not_cached(spark, monkeypatch):
     assert model.summary.k == 3 and [k for k, _, _ in curve] == [2, 3, 4]
     level = seen[0].storageLevel
     assert not level.useMemory and not level.useDisk and seen[0].columns == ["features"]
+
+
+def test_search_on_stored_features_gives_the_errors_of_whole_pipelines(rows):
+    space = {"stepSize": (0.1, 0.3), "maxDepth": (2, 3), "maxIter": (2, 4), "minInstancesPerNode": (2,)}
+    ranked = tune.tune(rows, "y", ["a", "b"], ["kind"], space, 4, 2)
+    points = tune.draw_settings(space, 4)
+    want = {i: [] for i in range(4)}
+    for _, early, late in split.fold_years(split.year_folds(rows, 2)):
+        inner, outer = split.rows_of(rows, early), split.rows_of(rows, late)
+        preparation = fit_preparation(inner, ["a", "b"], ["kind"])
+        for i, point in enumerate(points):
+            model = models.fit(inner, "y", preparation, tune.boosting_from(point))
+            want[i].append([tune._errors(model, r, preparation.input_columns(), "y")["mae"] for r in (inner, outer)])
+    for r in ranked.collect():
+        assert r["parametros"] == runs.flatten(points[r["tentativa"]])
+        mean = np.mean(want[r["tentativa"]], axis=0)
+        assert (r["mae_treino_media"], r["mae_validacao_media"]) == pytest.approx(tuple(mean), abs=1e-9)

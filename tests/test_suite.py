@@ -2,8 +2,9 @@
 
 import pytest
 
-from panelrisk.ml import store
-from panelrisk.plans import suite
+from panelrisk import settings
+from panelrisk.ml import store, tune
+from panelrisk.plans import model_queries, suite
 from panelrisk.plans.inputs import UNIT_KEYS, joined_rows
 from panelrisk.plans.model_queries import CATEGORICAL, NUMERIC, PROFILE
 from panelrisk.sources import panel as recipe
@@ -71,3 +72,16 @@ def test_helpers(spark, small, tmp_path):
     assert len(calls) == 1
     append_rows(tables["region"], path)
     assert spark.read.parquet(path).count() == 2 * tables["region"].count()
+
+
+def test_ranking_searches_the_whole_space(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(model_queries, "joined_rows", lambda spark, folder: None)
+    monkeypatch.setattr(suite, "scored_table", lambda rows, options: asked.append(options) or (rows, {}))
+    model_queries.risk_ranking(spark, "nowhere")
+    o = asked[0]
+    assert o.space == settings.SEARCH_SPACE and (o.draws, o.splits) == (18, 4)
+    assert len(tune.draw_settings(o.space, o.draws)) == 18
+    assert tuple(o.ks) == (2, 3, 4, 5, 6, 7, 8) and len(set(o.starts)) == 10
+    # the boosting and the tree of their own defaults: 200 trees of depth 5, one of depth 4
+    assert not o.boosting and not o.tree and o.neighbours == 5
