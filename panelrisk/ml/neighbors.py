@@ -331,11 +331,15 @@ def knn_regress(
     query: DataFrame, train: DataFrame, vec: str, query_ids: Sequence[str],
     train_ids: Sequence[str], target: str, k: int = 5, weights: str = "distance",
 ) -> DataFrame:
-    """Mean target of the neighbours, by inverse distance or equal weights.
-
-    Where a neighbour is at distance zero, only such neighbours count.
-    """
+    """Mean target of the neighbours, by inverse distance or equal weights."""
     near = nearest(query, train, vec, query_ids, train_ids, k, [target])
+    return neighbour_mean(near, query_ids, target, weights)
+
+
+def neighbour_mean(
+    near: DataFrame, query_ids: Sequence[str], target: str, weights: str = "distance",
+) -> DataFrame:
+    """Mean of the neighbours' target; where a neighbour is at distance zero, only such neighbours count."""
     d, y = F.col("distancia"), F.col(f"viz_{target}")
     if weights == "uniform":
         value = F.avg(y)

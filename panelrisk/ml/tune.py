@@ -9,11 +9,13 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelrisk import settings
 from panelrisk.functions.columns import half_even
 from panelrisk.ml import models, runs
+from panelrisk.ml.neighbors import nearest, neighbour_mean
 from panelrisk.ml.prep import FEATURES, fit_features, fit_preparation
 from panelrisk.ml.split import fold_years, rows_of, year_folds
 from panelrisk.operators.ordering import number_rows
@@ -281,40 +283,48 @@ def run_campaign(
 ) -> DataFrame:
     """Fit, evaluate and log each (name, algorithm, parameters) of a plan.
 
-    All fits share one preparation. Returns the run table; the parent row holds
-    the shared settings.
+    All fits share one preparation and its stored rows, and the neighbour runs one
+    search: the neighbours of a small k are the first ones of a larger k. Returns the
+    run table; the parent row holds the shared settings.
     """
+    spark = train.sparkSession
     preparation = fit_preparation(train, numeric, categorical)
     inputs = preparation.input_columns()
     parent = runs.new_run("campanha", None, {"dados": {"colunas": len(inputs)}}, {}, tags)
+    features = fit_features(train, preparation)
+    learn, check = (
+        materialize(features.transform(r).select(*ids, target, FEATURES), "campaign") for r in (train, test))
+    asked = [params["k"] for _, algorithm, params in plan if algorithm == "knn"]
+    if asked:
+        query, known = (r.withColumn("vec", vector_to_array(FEATURES)) for r in (check, learn))
+        near = materialize(nearest(query, known, "vec", ids, ids, max(asked), [target]), "near")
 
     def run(item: tuple) -> tuple:
         name, algorithm, params = item
         if algorithm == "knn":
-            near = models.knn_predict(train, test, target, preparation, ids,
-                                      params["k"], params["weights"])
-            scored = test.select(*ids, target).join(near, list(ids))
+            first = near.where(F.col("ordem") <= params["k"])
+            found = neighbour_mean(first, ids, target, params["weights"])
+            scored = check.select(*ids, target).join(found, list(ids))
             row = regression_metrics(scored, target, models.PREDICTION).first()
             found = {"mae": row["mae"], "rmse": row["rmse"], "r2": row["r2"]}
         else:
             build = boosting_from(params) if algorithm == "boosting" else models.tree(
                 params["maxDepth"], params["minInstancesPerNode"]
             )
-            model = models.fit(train, target, preparation, build)
-            found = _errors(model, test, inputs, target)
+            found = _errors(build(learn, target).fit(learn), check, [FEATURES], target)
         metrics = {f"test_{k}": v for k, v in found.items()}
         return runs.new_run(name, algorithm, params, metrics, tags, parent[0])
 
-    done = in_threads(train.sparkSession, run, list(plan))
-    return runs.runs_table(train.sparkSession, [parent, *done])
+    done = longest_first(spark, run, list(plan), [params for _, _, params in plan])
+    return runs.runs_table(spark, [parent, *done])
 
 
-def campaign_plan(spaces: Mapping[str, Mapping[str, Sequence]], each: int) -> list[tuple]:
-    """The same number of drawn settings for every algorithm."""
+def campaign_plan(named: Mapping[str, Mapping[str, Mapping]] = settings.CAMPAIGN) -> list[tuple]:
+    """(name, algorithm, parameters) of every named run."""
     return [
-        (f"{algorithm}_{i:02d}", algorithm, point)
-        for algorithm, space in spaces.items()
-        for i, point in enumerate(draw_settings(space, each), 1)
+        (name, algorithm, params)
+        for algorithm, listed in named.items()
+        for name, params in listed.items()
     ]
 
 

@@ -31,8 +31,6 @@ PROFILE = ["tdi_em", "reprov_em", "aband_ef", "atu_em", "had_em"]
 NEAR_PROFILE = ["tdi_em", "reprov_em", TARGET, "atu_em"]
 SMALL_SPACE = {"stepSize": (0.1, 0.3), "maxDepth": (2, 3), "maxIter": (3, 6),
                "minInstancesPerNode": (2, 5)}
-TREE_SPACE = {"maxDepth": tuple(range(2, 9)), "minInstancesPerNode": tuple(range(4, 31))}
-KNN_SPACE = {"k": tuple(range(3, 16)), "weights": ("uniform", "distance")}
 
 # panel column -> column whose label, range and default it takes
 SCENARIO_NAMES = {"tdi_em": "tdi_em", "reprov_em": "taxa_reprovacao_em",
@@ -338,9 +336,7 @@ def risk_ranking(spark, folder):
 
 def run_campaign(spark, folder):
     train, test = sides(spark, folder)
-    plan = tune.campaign_plan(
-        {"boosting": SMALL_SPACE, "tree": TREE_SPACE, "knn": KNN_SPACE}, 2
-    )
+    plan = tune.campaign_plan()
     path = new_path(spark, "runs")
     done = tune.run_campaign(train, test, TARGET, UNIT_KEYS, NUMERIC, CATEGORICAL, plan)
     append_rows(done, path)

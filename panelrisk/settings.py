@@ -129,3 +129,43 @@ SEARCH_SPACE = {
     "maxIter": (80, 120, 160, 220),
     "minInstancesPerNode": (5, 8, 12, 16, 20, 24),
 }
+
+# algorithm -> run -> parameters; Spark's boosting has no L2 term and no leaf-count limit
+CAMPAIGN = {
+    "boosting": {
+        "hgb_01_baseline": {"stepSize": 0.15, "maxDepth": 3, "maxIter": 80, "minInstancesPerNode": 24},
+        "hgb_02_mais_iter_l2": {"stepSize": 0.1, "maxDepth": 4, "maxIter": 180, "minInstancesPerNode": 16},
+        "hgb_03_arvore_rasa": {"stepSize": 0.1, "maxDepth": 2, "maxIter": 220, "minInstancesPerNode": 20},
+        "hgb_04_balanceado": {"stepSize": 0.1, "maxDepth": 4, "maxIter": 220, "minInstancesPerNode": 12},
+        "hgb_05_lr_alto_curto": {"stepSize": 0.2, "maxDepth": 3, "maxIter": 60, "minInstancesPerNode": 30},
+        "hgb_06_lr_baixo_longo": {"stepSize": 0.05, "maxDepth": 3, "maxIter": 300, "minInstancesPerNode": 18},
+        "hgb_07_profundo_moderado": {"stepSize": 0.08, "maxDepth": 5, "maxIter": 200, "minInstancesPerNode": 14},
+        "hgb_08_folhas_pequenas": {"stepSize": 0.12, "maxDepth": 3, "maxIter": 150, "minInstancesPerNode": 8},
+        "hgb_09_l2_forte": {"stepSize": 0.1, "maxDepth": 3, "maxIter": 250, "minInstancesPerNode": 22},
+        "hgb_10_muito_raso": {"stepSize": 0.08, "maxDepth": 2, "maxIter": 280, "minInstancesPerNode": 28},
+    },
+    "tree": {
+        "tree_01_rasa": {"maxDepth": 3, "minInstancesPerNode": 12},
+        "tree_02_media": {"maxDepth": 4, "minInstancesPerNode": 8},
+        "tree_03_profunda": {"maxDepth": 6, "minInstancesPerNode": 4},
+        "tree_04_folhas_grandes": {"maxDepth": 5, "minInstancesPerNode": 16},
+        "tree_05_muito_rasa": {"maxDepth": 2, "minInstancesPerNode": 20},
+        "tree_06_media_folhas_grandes": {"maxDepth": 4, "minInstancesPerNode": 20},
+        "tree_07_profunda_restrita": {"maxDepth": 7, "minInstancesPerNode": 8},
+        "tree_08_intermediaria": {"maxDepth": 5, "minInstancesPerNode": 6},
+        "tree_09_super_rasa": {"maxDepth": 2, "minInstancesPerNode": 30},
+        "tree_10_muito_profunda": {"maxDepth": 8, "minInstancesPerNode": 5},
+    },
+    "knn": {
+        "knn_01_poucos_vizinhos": {"k": 3, "weights": "uniform"},
+        "knn_02_padrao": {"k": 5, "weights": "distance"},
+        "knn_03_mais_vizinhos": {"k": 7, "weights": "distance"},
+        "knn_04_muitos_vizinhos": {"k": 11, "weights": "distance"},
+        "knn_05_k4_uniform": {"k": 4, "weights": "uniform"},
+        "knn_06_k6_distance": {"k": 6, "weights": "distance"},
+        "knn_07_k9_distance": {"k": 9, "weights": "distance"},
+        "knn_08_k13_distance": {"k": 13, "weights": "distance"},
+        "knn_09_k15_uniform": {"k": 15, "weights": "uniform"},
+        "knn_10_k5_uniform": {"k": 5, "weights": "uniform"},
+    },
+}

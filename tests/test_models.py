@@ -201,3 +201,34 @@ def test_search_on_stored_features_gives_the_errors_of_whole_pipelines(rows):
         assert r["parametros"] == runs.flatten(points[r["tentativa"]])
         mean = np.mean(want[r["tentativa"]], axis=0)
         assert (r["mae_treino_media"], r["mae_validacao_media"]) == pytest.approx(tuple(mean), abs=1e-9)
+
+
+def test_campaign_runs_every_named_setting():
+    plan = tune.campaign_plan()
+    assert len({name for name, _, _ in plan}) == len(plan) == 30
+    by = {a: [p for _, algorithm, p in plan if algorithm == a] for a in ("boosting", "tree", "knn")}
+    assert all(len({tuple(p.items()) for p in listed}) == 10 for listed in by.values())
+    assert {p["maxIter"] for p in by["boosting"]} == {60, 80, 150, 180, 200, 220, 250, 280, 300}
+    assert {p["maxDepth"] for p in by["tree"]} == set(range(2, 9))
+    assert {p["k"] for p in by["knn"]} == {3, 4, 5, 6, 7, 9, 11, 13, 15}
+
+
+def test_campaign_errors_are_those_of_single_fits(rows):
+    train, test = split.supervised_split(rows, "y", 2004)
+    twice = train.unionByName(train.withColumn("id", F.col("id") + 1000))  # equal points, ties
+    plan = [("b", "boosting", {"stepSize": 0.3, "maxDepth": 2, "maxIter": 3, "minInstancesPerNode": 2}),
+            ("t", "tree", {"maxDepth": 3, "minInstancesPerNode": 4}),
+            *[(f"k{k}{w}", "knn", {"k": k, "weights": w}) for k in (3, 7) for w in ("uniform", "distance")]]
+    table = tune.run_campaign(twice, test, "y", ["id"], ["a", "b"], ["kind"], plan)
+    got = {r["nome"]: r for r in table.where("parent_id is not null").collect()}
+    preparation = fit_preparation(twice, ["a", "b"], ["kind"])
+    for name, algorithm, params in plan:
+        if algorithm == "knn":
+            near = models.knn_predict(twice, test, "y", preparation, ["id"], params["k"], params["weights"])
+            want = regression_metrics(test.select("id", "y").join(near, ["id"]), "y", "pred").first()
+        else:
+            build = tune.boosting_from(params) if algorithm == "boosting" else models.tree(3, 4)
+            want = tune._errors(models.fit(twice, "y", preparation, build), test, preparation.input_columns(), "y")
+        assert got[name]["parametros"] == runs.flatten(params) and got[name]["algoritmo"] == algorithm
+        for m in ("mae", "rmse", "r2"):
+            assert got[name]["metricas"][f"test_{m}"] == pytest.approx(want[m], abs=1e-9)
